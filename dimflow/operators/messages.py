@@ -15,14 +15,26 @@ PLAN = "improvement_plan"
 PLAN_WORD = "improve"
 
 
-def prepare_messages(messages: DataFrame, contacts: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
-    """``from_number, seq, text, children, intent`` from messages ``from_number, seq, body, model_reply``."""
-    families = contacts.groupBy(F.col("whatsapp_number").alias("_phone")).agg(F.count(F.lit(1)).alias("_children"))
-    rows = messages.select("from_number", "seq", normalize_text(F.col("body")).alias("text"),
+def readable(messages: DataFrame) -> DataFrame:
+    """``from_number, seq, text, intent, _phone`` from messages ``from_number, seq, body, model_reply``."""
+    return messages.select("from_number", "seq", normalize_text(F.col("body")).alias("text"),
                            parse_intent(F.col("model_reply")).alias("intent"),
                            strip_address(F.col("from_number")).alias("_phone"))
-    return join_skewed(rows, families, ["_phone"], "left", limit).select(
-        "from_number", "seq", "text", F.coalesce("_children", F.lit(0)).alias("children"), "intent")
+
+
+def families(contacts: DataFrame) -> DataFrame:
+    """The number of children per phone number."""
+    return contacts.groupBy(F.col("whatsapp_number").alias("_phone")).agg(F.count(F.lit(1)).alias("_children"))
+
+
+def with_children(joined: DataFrame) -> DataFrame:
+    children = F.coalesce("_children", F.lit(0))
+    return joined.select("from_number", "seq", "text", children.alias("children"), "intent")
+
+
+def prepare_messages(messages: DataFrame, contacts: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
+    """``from_number, seq, text, children, intent``: what the turn of a message is decided from."""
+    return with_children(join_skewed(readable(messages), families(contacts), ["_phone"], "left", limit))
 
 
 def choice() -> Column:
