@@ -124,11 +124,11 @@ def quality_report(spark, sf_dir):
 
 
 @CHECKS.add("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority "
-            f"FROM ({_FAILS}) WHERE {_NAMES} = ''")
+            f"FROM ({_FAILS}) WHERE NOT (f0 OR f1 OR f2 OR coalesce(f3, false) OR f5)")
 def quality_valid(spark, sf_dir):
     # without the rule on repeated customers, which nearly every order breaks
     rows, rules = _orders_and_rules(spark, sf_dir)
-    return quality.split_valid(rows, rules)[0]
+    return quality.split_valid(rows, [r for r in rules if r.kind != "unique"])[0]
 
 
 @CHECKS.add(f"SELECT o_orderkey, o_custkey, o_orderstatus, {_NAMES} AS violations FROM ({_FAILS}) WHERE {_NAMES} <> ''")

@@ -37,9 +37,13 @@ _ROW = "sha256(concat_ws('||', name, department, CAST(salary AS VARCHAR))) AS ha
 _ROWS = f"id, name, department, salary, {_ROW}"
 
 
+def _stored(dim):
+    return overwrite_table(dim, f"target.{fresh_name('dim')}")
+
+
 @CHECKS.add(f"SELECT * FROM {_sql(0)} UNION ALL SELECT * FROM {_sql(1)} WHERE id NOT IN (SELECT id FROM {_sql(0)})")
 def scd_type0(spark, sf_dir):
-    return scd.scd0(state(spark, sf_dir, 0), state(spark, sf_dir, 1), KEYS)
+    return scd.scd0(_stored(state(spark, sf_dir, 0)), state(spark, sf_dir, 1), KEYS)
 
 
 @CHECKS.add(f"SELECT {_ROWS} FROM {_sql(1)}")
@@ -53,7 +57,7 @@ _UPSERT = (f"SELECT {_ROWS} FROM {_sql(1)} UNION ALL "
 
 @CHECKS.add(_UPSERT)
 def scd_type1_upsert(spark, sf_dir):
-    dim = scd.scd1_reload(state(spark, sf_dir, 0), TRACKED)
+    dim = _stored(scd.scd1_reload(state(spark, sf_dir, 0), TRACKED))
     return scd.scd1_upsert(dim, state(spark, sf_dir, 1), KEYS, TRACKED)
 
 
@@ -82,7 +86,7 @@ _TYPE2 = (_HISTORY + f"SELECT id, name, department, salary, start_date, end_date
 def _three_days(spark, sf_dir):
     dim = scd.scd2_initial(state(spark, sf_dir, 0), TRACKED, DAYS[0])
     for day in (1, 2):
-        dim = scd.scd2_merge(dim, state(spark, sf_dir, day), KEYS, TRACKED, DAYS[day])
+        dim = scd.scd2_merge(_stored(dim), state(spark, sf_dir, day), KEYS, TRACKED, DAYS[day])
     return dim
 
 
@@ -93,7 +97,7 @@ def scd_type2_merge(spark, sf_dir):
 
 @CHECKS.add(_TYPE2)
 def scd_type2_idempotent(spark, sf_dir):
-    return scd.scd2_merge(_three_days(spark, sf_dir), state(spark, sf_dir, 2), KEYS, TRACKED, "2024-01-04")
+    return scd.scd2_merge(_stored(_three_days(spark, sf_dir)), state(spark, sf_dir, 2), KEYS, TRACKED, "2024-01-04")
 
 
 @CHECKS.add(_TYPE2)
@@ -132,12 +136,12 @@ FROM {_sql(2)} LEFT JOIN ({_prev('name')}) USING (id) LEFT JOIN ({_prev('salary'
 def scd_type3(spark, sf_dir):
     dim = scd.scd3_initial(state(spark, sf_dir, 0), ["name", "salary"])
     for day in (1, 2):
-        dim = scd.scd3(dim, state(spark, sf_dir, day), KEYS, ["name", "salary"])
+        dim = scd.scd3(_stored(dim), state(spark, sf_dir, day), KEYS, ["name", "salary"])
     return dim
 
 
 def _type4(spark, sf_dir):
-    dim = scd.scd1_reload(state(spark, sf_dir, 0), TRACKED)
+    dim = _stored(scd.scd1_reload(state(spark, sf_dir, 0), TRACKED))
     return scd.scd4(dim, state(spark, sf_dir, 1), KEYS, TRACKED, DAYS[1])
 
 
@@ -166,7 +170,7 @@ WINDOW v AS (PARTITION BY id ORDER BY start_date),
 def scd_type6(spark, sf_dir):
     dim = scd.scd6_initial(state(spark, sf_dir, 0), TRACKED, DAYS[0])
     for day in (1, 2):
-        dim = scd.scd6(dim, state(spark, sf_dir, day), KEYS, TRACKED, DAYS[day])
+        dim = scd.scd6(_stored(dim), state(spark, sf_dir, day), KEYS, TRACKED, DAYS[day])
     return dim
 
 
@@ -176,7 +180,7 @@ SELECT id, CASE WHEN o.seen IS NULL THEN 'new' WHEN n.seen IS NULL THEN 'absent'
        ELSE 'unchanged' END AS change
 FROM (SELECT *, true AS seen FROM {_sql(0)}) o FULL JOIN (SELECT *, true AS seen FROM {_sql(1)}) n USING (id)""")
 def scd_changes(spark, sf_dir):
-    return scd.classify_changes(state(spark, sf_dir, 0), state(spark, sf_dir, 1), KEYS, TRACKED)
+    return scd.classify_changes(_stored(state(spark, sf_dir, 0)), state(spark, sf_dir, 1), KEYS, TRACKED)
 
 
 @CHECKS.add(_HISTORY + "SELECT id, name, department, salary FROM history "

@@ -239,7 +239,8 @@ def split_text(spark, sf_dir):
 
 _REPLIES = """
 SELECT event_id, CASE event_id % 11
-  WHEN 0 THEN concat('{{"intent":"', event_type, '"}}') WHEN 1 THEN '{{"intent": "grades"}}'
+  WHEN 0 THEN concat('{{"intent":"', CASE event_type WHEN 'view' THEN 'attendance' WHEN 'signup' THEN 'greeting'
+         WHEN 'purchase' THEN 'summary' WHEN 'error' THEN 'homework' ELSE event_type END, '"}}') WHEN 1 THEN '{{"intent": "grades"}}'
   WHEN 2 THEN concat(' {{ "intent" : "fee", "more": ', props, ' }} ') WHEN 3 THEN props
   WHEN 4 THEN event_type WHEN 5 THEN '{{"intent":5}}' WHEN 6 THEN '[{{"intent":"grades"}}]'
   WHEN 7 THEN concat('{{"intent":"grades"}} ', props) WHEN 8 THEN '' WHEN 9 THEN NULL

@@ -126,6 +126,7 @@ def split_valid(df: DataFrame, rules: Sequence[Rule], limit: int = HOT_ROWS,
 
 
 def split_corrupt(raw: DataFrame, corrupt_column: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
-    """(parsed rows, unparsable lines) of a source read with a corrupt-record column in its schema."""
+    """(parsed rows, rows of unparsable lines) of a source read with a corrupt-record column in its schema. Spark reads
+    that column only together with others, so the second keeps what could be parsed."""
     c = F.col(corrupt_column)
-    return raw.filter(c.isNull()).drop(corrupt_column), raw.filter(c.isNotNull()).select(corrupt_column)
+    return raw.filter(c.isNull()).drop(corrupt_column), raw.filter(c.isNotNull())

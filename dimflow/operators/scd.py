@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.protect import row_hash
-from dimflow.operators.skew import BROADCAST_BYTES, HOT_ROWS, OrderedGroups, join_skewed
+from dimflow.operators.skew import BROADCAST_BYTES, HOT_ROWS, OrderedGroups, byte_size, join_skewed
 
 VALIDITY = ("start_date", "end_date", "is_current")
 
@@ -28,14 +28,32 @@ def with_hash(stage: DataFrame, tracked: Sequence[str]) -> DataFrame:
     return stage.withColumn("hash", row_hash(tracked))
 
 
+def _unknown(stage: DataFrame, dim: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """The batch rows whose key the dimension lacks. A small batch is sent to the dimension, not the other way."""
+    known = dim.select(*keys)
+    if small:
+        known = F.broadcast(known.join(F.broadcast(stage.select(*keys)), list(keys), "left_semi"))
+    return stage.join(known, list(keys), "left_anti")
+
+
 def _paired(dim: DataFrame, stage: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
-    """Both sides by key as ``_old`` and ``_new`` structs, with the ``change`` between them."""
+    """Both sides by key as ``_old`` and ``_new`` structs, with the ``change`` between them.
+
+    A batch measured to be small is broadcast, so the dimension, however large, is scanned but not shuffled. Otherwise
+    both sides are shuffled once.
+    """
     old = dim.select(*keys, F.struct(*dim.columns).alias("_old"))
     new = stage.select(*keys, F.struct(*stage.columns).alias("_new"))
+    if byte_size(stage) <= BROADCAST_BYTES:
+        fresh = _unknown(new, dim, keys, True)
+        both = old.join(F.broadcast(new), list(keys), "left").unionByName(
+            fresh.withColumn("_old", F.lit(None).cast(old.schema["_old"].dataType)))
+    else:
+        both = old.join(new, list(keys), "full_outer")
     same = reduce(lambda a, b: a & b, [F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in tracked])
     change = (F.when(F.col("_old").isNull(), "new").when(F.col("_new").isNull(), "absent")
               .when(same, "unchanged").otherwise("changed"))
-    return old.join(new, list(keys), "full_outer").withColumn("change", change)
+    return both.withColumn("change", change)
 
 
 def classify_changes(dim: DataFrame, stage: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
@@ -45,7 +63,8 @@ def classify_changes(dim: DataFrame, stage: DataFrame, keys: Sequence[str], trac
 
 def scd0(dim: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Existing rows never change; new keys are added."""
-    return dim.unionByName(stage.join(dim.select(*keys), list(keys), "left_anti").select(*dim.columns))
+    small = byte_size(stage.select(*keys)) <= BROADCAST_BYTES
+    return dim.unionByName(_unknown(stage, dim, keys, small).select(*dim.columns))
 
 
 def scd1_reload(stage: DataFrame, tracked: Sequence[str]) -> DataFrame:

@@ -70,9 +70,17 @@ def join_skewed(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "
     A dimension measured to be at most ``broadcast_bytes`` is broadcast. A larger one is shuffled, except for the hot
     keys: their rows stay where they are and meet a broadcast of the matching, hence few, dimension rows, or copies of
     these under salted keys if they are too wide to broadcast. ``counts`` saves counting the keys of ``fact`` when
-    that is done already.
+    that is done already. The columns of ``fact`` come first, in their order.
     """
     on = list(on)
+    shown = list(fact.columns)
+    if how in ("inner", "left"):
+        shown += [c for c in dim.columns if c not in on]
+    return _join_by_size(fact, dim, on, how, limit, broadcast_bytes, counts).select(*[F.col(f"`{c}`") for c in shown])
+
+
+def _join_by_size(fact: DataFrame, dim: DataFrame, on: list[str], how: str, limit: int, broadcast_bytes: int,
+                  counts: DataFrame | None) -> DataFrame:
     if byte_size(dim) <= broadcast_bytes:
         return fact.join(F.broadcast(dim), on, how)
     hot = hot_keys(fact, on, limit) if counts is None else heaviest(counts, limit)
@@ -84,7 +92,8 @@ def join_skewed(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "
         joined = hot_rows.join(F.broadcast(hot_dim), on, how)
     else:
         salted = hot_rows.withColumn("_salt", F.monotonically_increasing_id() % SALTS)
-        copies = hot_dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+        copies = hot_dim.withColumn("_salt", F.explode(salts))
         joined = salted.join(copies, [*on, "_salt"], how).drop("_salt")
     return cold_rows.join(dim, on, how).unionByName(joined)
 

@@ -19,7 +19,7 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def rows(df, *order):
+def rows(df):
     """Collected rows as sorted tuples."""
     found = [tuple(r) for r in df.collect()]
     return sorted(found, key=lambda r: tuple((x is None, str(x)) for x in r))
