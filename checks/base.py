@@ -28,8 +28,15 @@ class Checks(list):
         return keep
 
 
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the file once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[key]
 
 
 def fresh_name(prefix: str) -> str:

@@ -10,6 +10,7 @@ from checks.base import Checks, table
 from dimflow.functions import intents, text
 from dimflow.operators import contacts as people
 from dimflow.operators import facts, messages
+from dimflow.sources.storage import checkpointed
 
 CHECKS = Checks()
 
@@ -115,7 +116,7 @@ def attendance_pct(spark, sf_dir):
 
 @CHECKS.add(_HW)
 def homework_text(spark, sf_dir):
-    return facts.homework_text(*_facts(spark, sf_dir, _HOMEWORK), DAY, ("event_id",))
+    return facts.homework_text(*_facts(spark, sf_dir, _HOMEWORK), DAY, ("event_id",), unique=True)
 
 
 @CHECKS.add(_GR)
@@ -124,7 +125,8 @@ def grades_text(spark, sf_dir):
 
 
 def _digest(spark, sf_dir):
-    return facts.weekly_digest(*_facts(spark, sf_dir, _ATTENDANCE, _HOMEWORK, _GRADES), DAY, homework_order=("event_id",))
+    return facts.weekly_digest(*_facts(spark, sf_dir, _ATTENDANCE, _HOMEWORK, _GRADES), DAY, homework_order=("event_id",),
+                               unique=True)
 
 
 @CHECKS.add(_DIGEST)
@@ -196,9 +198,10 @@ FROM states s LEFT JOIN children c ON c.whatsapp_number = replace(s.from_number,
 LEFT JOIN digest d ON d.student_id = c.student_id
 LEFT JOIN menus m ON m.whatsapp_number = replace(s.from_number, 'whatsapp:', '')""")
 def route_reply(spark, sf_dir):
-    known = family_contacts(spark, sf_dir)
+    known = checkpointed(family_contacts(spark, sf_dir))
     states = messages.session_state(incoming(spark, sf_dir), known)
-    return messages.route_reply(states, people.number_children(known), _digest(spark, sf_dir), people.menu_text(known))
+    return messages.route_reply(states, checkpointed(people.number_children(known)), checkpointed(_digest(spark, sf_dir)),
+                                checkpointed(people.menu_text(known)))
 
 
 @CHECKS.add(f"""

@@ -25,7 +25,7 @@ def contacts(parents: DataFrame, student_parent_map: DataFrame, students: DataFr
 
 def number_children(found: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
     """The contacts with ``child``, counting from 1 per number in the order of the student ids."""
-    return OrderedGroups.of(found, ["whatsapp_number"], ["student_id"], limit).row_number("child").result()
+    return OrderedGroups.of(found, ["whatsapp_number"], ["student_id"], limit, unique=False).row_number("child").result()
 
 
 def menu_text(found: DataFrame, limit: int = HOT_ROWS, lines_per_part: int = LINES_PER_PART) -> DataFrame:
@@ -34,7 +34,7 @@ def menu_text(found: DataFrame, limit: int = HOT_ROWS, lines_per_part: int = LIN
     entry = F.concat(F.col("child").cast("string"), F.lit(". "), "student_name", F.lit(" ("), "grade", F.lit("-"),
                      "section", F.lit(")"))
     lines = numbered.select("whatsapp_number", "child", entry.alias("line"))
-    text = join_lines(lines, ["whatsapp_number"], ["child"], "line", "menu", "\n", lines_per_part, limit)
+    text = join_lines(lines, ["whatsapp_number"], ["child"], "line", "menu", "\n", lines_per_part, limit, unique=True)
     first = F.concat_ws("\n", F.lit(MENU_HEADING), "menu")
     return (text.filter((F.col("part") > 1) | (F.col("lines") > 1))
             .select("whatsapp_number", "part", F.when(F.col("part") == 1, first).otherwise(F.col("menu")).alias("menu")))

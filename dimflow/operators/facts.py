@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.replies import DIGEST_HEADING, NO_GRADES, NO_HOMEWORK
 from dimflow.functions.text import render_prompt
 from dimflow.operators.scd import load_date
-from dimflow.operators.skew import HOT_ROWS, LINES_PER_PART, join_lines
+from dimflow.operators.skew import HOT_ROWS, LINES_PER_PART, join_lines, join_skewed
 
 
 def attendance_pct(students: DataFrame, attendance: DataFrame, as_of: str | None = None, days: int = 7) -> DataFrame:
@@ -20,44 +22,53 @@ def attendance_pct(students: DataFrame, attendance: DataFrame, as_of: str | None
             .select("student_id", F.coalesce(F.bround("_pct", 2), F.lit(0.0)).alias("attendance_pct")))
 
 
-def _text_or(students: DataFrame, lines: DataFrame, order: list[str], name: str, default: str, limit: int,
-             lines_per_part: int) -> DataFrame:
-    text = join_lines(lines, ["student_id"], order, "line", name, "\n", lines_per_part, limit)
-    return students.select("student_id").join(text, "student_id", "left").select(
-        "student_id", F.coalesce("part", F.lit(1)).alias("part"), F.coalesce(name, F.lit(default)).alias(name))
+def _text_or(students: DataFrame, lines: DataFrame, order: Sequence[str], name: str, default: str, limit: int,
+             lines_per_part: int, unique: bool) -> DataFrame:
+    """Texts of the students' lines, and the default for students without any.
+
+    The lines are matched with the students, not the finished texts, which may be long and many for one student.
+    """
+    known = students.select("student_id")
+    own = join_skewed(lines, known, ["student_id"], "left_semi", limit)
+    texts = join_lines(own, ["student_id"], order, "line", name, "\n", lines_per_part, limit, unique)
+    without = known.join(lines.select("student_id").distinct(), "student_id", "left_anti")
+    return texts.select("student_id", "part", name).unionByName(
+        without.select("student_id", F.lit(1).cast("long").alias("part"), F.lit(default).alias(name)))
 
 
 def homework_text(students: DataFrame, homework: DataFrame, as_of: str | None = None,
-                  order: tuple[str, ...] = ("subject", "status"), limit: int = HOT_ROWS,
+                  order: Sequence[str] = ("line",), unique: bool = False, limit: int = HOT_ROWS,
                   lines_per_part: int = LINES_PER_PART) -> DataFrame:
-    """``student_id, part, homework``: a line per homework of the date, or the sentence for none."""
+    """``student_id, part, homework``: a line per homework of the date, or the sentence for none. ``unique`` says that
+    the order columns are unique per student."""
     line = F.concat(F.lit("- "), "subject", F.lit(": "), "status").alias("line")
     lines = (homework.filter(F.col("homework_date") == load_date(as_of))
-             .select(*dict.fromkeys(["student_id", *order]), line))
-    return _text_or(students, lines, list(order), "homework", NO_HOMEWORK, limit, lines_per_part)
+             .select("student_id", *[c for c in order if c != "line"], line))
+    return _text_or(students, lines, order, "homework", NO_HOMEWORK, limit, lines_per_part, unique)
 
 
-def grades_text(students: DataFrame, grades: DataFrame, order: tuple[str, ...] = ("line",), limit: int = HOT_ROWS,
-                lines_per_part: int = LINES_PER_PART) -> DataFrame:
+def grades_text(students: DataFrame, grades: DataFrame, order: Sequence[str] = ("line",), unique: bool = False,
+                limit: int = HOT_ROWS, lines_per_part: int = LINES_PER_PART) -> DataFrame:
     """``student_id, part, grades``: a line per grade, or the sentence for none."""
     score, top = F.col("score").cast("string"), F.col("max_score").cast("string")
     line = F.concat(F.lit("- "), "subject", F.lit(": "), score, F.lit("/"), top).alias("line")
     lines = grades.select("student_id", *[c for c in order if c != "line"], line)
-    return _text_or(students, lines, list(order), "grades", NO_GRADES, limit, lines_per_part)
+    return _text_or(students, lines, order, "grades", NO_GRADES, limit, lines_per_part, unique)
 
 
 def weekly_digest(students: DataFrame, attendance: DataFrame, homework: DataFrame, grades: DataFrame,
-                  as_of: str | None = None, days: int = 7, homework_order: tuple[str, ...] = ("subject", "status"),
-                  grades_order: tuple[str, ...] = ("line",), limit: int = HOT_ROWS,
+                  as_of: str | None = None, days: int = 7, homework_order: Sequence[str] = ("line",),
+                  grades_order: Sequence[str] = ("line",), unique: bool = False, limit: int = HOT_ROWS,
                   lines_per_part: int = LINES_PER_PART) -> DataFrame:
     """``student_id, part, attendance_pct, homework, grades, body``: the week's facts and the message made of them.
 
-    Part 1 exists for every student and is the whole message unless a text needs more parts.
+    Part 1 exists for every student and is the whole message unless a text needs more parts. The joins are by student
+    and part, so the parts of one long text spread over tasks. ``unique`` is about the homework order.
     """
-    works = homework_text(students, homework, as_of, homework_order, limit, lines_per_part)
-    marks = grades_text(students, grades, grades_order, limit, lines_per_part)
-    present = attendance_pct(students, attendance, as_of, days)
-    facts = works.join(marks, ["student_id", "part"], "full_outer").join(present, "student_id", "left")
+    works = homework_text(students, homework, as_of, homework_order, unique, limit, lines_per_part)
+    marks = grades_text(students, grades, grades_order, False, limit, lines_per_part)
+    present = attendance_pct(students, attendance, as_of, days).withColumn("part", F.lit(1).cast("long"))
+    facts = works.join(marks, ["student_id", "part"], "full_outer").join(present, ["student_id", "part"], "left")
     heading = render_prompt(DIGEST_HEADING, attendance=F.col("attendance_pct"))
     texts = F.concat_ws("\n", F.when(F.col("part") == 1, heading), "homework", "grades")
     return facts.select("student_id", "part", "attendance_pct", "homework", "grades", texts.alias("body"))

@@ -73,17 +73,24 @@ def route_reply(states: DataFrame, numbered: DataFrame, facts: DataFrame, menus:
                 limit: int = HOT_ROWS) -> DataFrame:
     """``from_number, seq, part, reply`` from session states, numbered contacts, digest facts and menu texts.
 
-    Replies are one part, but for menus and texts that have more.
+    Replies are one part, but for menus and texts that have more. The three tables are measured before they are joined,
+    so pass stored (or checkpointed) ones rather than plans still to be computed.
     """
     keyed = states.withColumn("_phone", strip_address(F.col("from_number")))
     pupils = numbered.select(F.col("whatsapp_number").alias("_phone"), "child", "student_id", "student_name")
-    asked = join_skewed(keyed, pupils, ["_phone", "child"], "left", limit)
-    wanted = F.col("intent").isin("attendance", "homework", "grades")
-    # other turns read no facts: NULL keys keep them out of the join's way
-    keyed_facts = asked.withColumn("_student", F.when(wanted, F.col("student_id")))
-    facts = facts.select(F.col("student_id").alias("_student"), F.col("part").alias("_part"), "attendance_pct",
-                         "homework", "grades")
-    joined = join_skewed(keyed_facts, facts, ["_student"], "left", limit)
+    asked = join_skewed(keyed.filter(F.col("turn") != "menu"), pupils, ["_phone", "child"], "left", limit)
+    # how many parts each wanted text has, then every part by its own key
+    homework, grades = F.col("intent") == "homework", F.col("intent") == "grades"
+    sizes = facts.groupBy(F.col("student_id").alias("_student")).agg(
+        F.max(F.when(F.col("homework").isNotNull(), F.col("part"))).alias("_homework"),
+        F.max(F.when(F.col("grades").isNotNull(), F.col("part"))).alias("_grades"))
+    # other turns read no facts; a NULL key finds none
+    wanted = asked.withColumn("_student", F.when(homework | grades | (F.col("intent") == "attendance"), F.col("student_id")))
+    sized = join_skewed(wanted, sizes, ["_student"], "left", limit)
+    parts = F.coalesce(F.when(homework, F.col("_homework")).when(grades, F.col("_grades")), F.lit(1)).cast("long")
+    spread = sized.withColumn("part", F.explode(F.sequence(F.lit(1).cast("long"), parts)))
+    told = facts.select(F.col("student_id").alias("_student"), "part", "attendance_pct", "homework", "grades")
+    joined = join_skewed(spread, told, ["_student", "part"], "left", limit)
     text = (F.when(F.col("turn") == "unregistered", replies.NOT_REGISTERED)
             .when(F.col("turn") == "select", F.replace(F.lit(replies.SELECTED), F.lit("{name}"), F.col("student_name")))
             .when(F.col("intent") == "summary", replies.SUMMARY_STARTED)
@@ -91,21 +98,17 @@ def route_reply(states: DataFrame, numbered: DataFrame, facts: DataFrame, menus:
             .when(F.col("intent") == "attendance",
                   F.replace(F.lit(replies.ATTENDANCE), F.lit("{attendance}"),
                             F.coalesce("attendance_pct", F.lit(0.0)).cast("string")))
-            .when(F.col("intent") == "homework", F.when(F.col("_part").isNull(), replies.NO_HOMEWORK)
-                  .otherwise(F.col("homework")))
-            .when(F.col("intent") == "grades", F.when(F.col("_part").isNull(), replies.NO_GRADES)
-                  .otherwise(F.col("grades")))
+            .when(homework, F.coalesce("homework", F.lit(replies.NO_HOMEWORK)))
+            .when(grades, F.coalesce("grades", F.lit(replies.NO_GRADES)))
             .when(F.col("intent") == "greeting", replies.GREETING).otherwise(replies.HELP))
-    part = F.coalesce("_part", F.lit(1)).cast("long")
-    continued = part == 1
-    for intent in ("homework", "grades"):
-        continued = continued | ((F.col("intent") == intent) & F.col(intent).isNotNull())
-    direct = (joined.filter(F.col("turn") != "menu").filter(continued)
-              .select("from_number", "seq", part.alias("part"), text.alias("reply")))
-    shown = join_skewed(keyed.filter(F.col("turn") == "menu").select("from_number", "seq", "_phone"),
-                        menus.select(F.col("whatsapp_number").alias("_phone"), "part", F.col("menu").alias("reply")),
-                        ["_phone"], "inner", limit).select("from_number", "seq", "part", "reply")
-    return direct.unionByName(shown)
+    direct = joined.select("from_number", "seq", "part", text.alias("reply"))
+    texts = menus.select(F.col("whatsapp_number").alias("_phone"), "part", F.col("menu").alias("reply"))
+    lengths = texts.groupBy("_phone").agg(F.max("part").alias("_parts"))
+    listed = join_skewed(keyed.filter(F.col("turn") == "menu").select("from_number", "seq", "_phone"), lengths, ["_phone"],
+                         "inner", limit)
+    listed = listed.withColumn("part", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_parts"))))
+    shown = join_skewed(listed, texts, ["_phone", "part"], "inner", limit)
+    return direct.unionByName(shown.select("from_number", "seq", "part", "reply"))
 
 
 def outgoing(messages: DataFrame, number: str, text: str, limit: int = MESSAGE_LIMIT) -> DataFrame:

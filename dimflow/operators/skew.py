@@ -91,7 +91,8 @@ def _join_by_size(fact: DataFrame, dim: DataFrame, on: list[str], how: str, limi
     if byte_size(hot_dim) <= broadcast_bytes:
         joined = hot_rows.join(F.broadcast(hot_dim), on, how)
     else:
-        salted = hot_rows.withColumn("_salt", F.monotonically_increasing_id() % SALTS)
+        # from stored rows: a salt must not change when a lost task is repeated
+        salted = checkpointed(hot_rows).withColumn("_salt", F.monotonically_increasing_id() % SALTS)
         salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
         copies = hot_dim.withColumn("_salt", F.explode(salts))
         joined = salted.join(copies, [*on, "_salt"], how).drop("_salt")
@@ -105,7 +106,6 @@ class OrderedGroups:
     The rows of hot keys are range-partitioned by (key, order), so that a hot key spans many partitions, and each
     partition becomes one piece of its key. Windows run per (key, piece); what crosses a border between pieces is
     carried over from one summary row per piece, of which there are at most ``MAX_PIECES`` + ``MAX_HOT_KEYS``.
-    The order must be total among rows that differ in what is computed from them.
     """
 
     df: DataFrame
@@ -114,7 +114,10 @@ class OrderedGroups:
     pieced: bool
 
     @staticmethod
-    def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = HOT_ROWS) -> "OrderedGroups":
+    def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = HOT_ROWS,
+           unique: bool = True) -> "OrderedGroups":
+        """``unique`` says that the order columns decide between any two rows of a key. Without it copies, which
+        would all fall into one range, get a running number; that needs rows that do not move when read again."""
         keys, order = tuple(keys), tuple(order)
         hot = hot_keys(df, keys, limit)
         if hot is None:
@@ -122,12 +125,14 @@ class OrderedGroups:
         cold_rows, hot_rows = split_hot(df, keys, hot)
         rows = hot.agg(F.sum("_rows")).first()[0]
         pieces = min(MAX_PIECES, 2 * math.ceil(rows / limit))
-        # copies of one row tie in the order and would fill one partition; a running number spreads them
-        ranged = (hot_rows.withColumn("_tie", F.monotonically_increasing_id())
-                  .repartitionByRange(pieces, *keys, *order, "_tie").withColumn("_piece", F.spark_partition_id()))
-        # read twice below: both readings must see the same pieces
+        if not unique:
+            hot_rows = checkpointed(hot_rows).withColumn("_tie", F.monotonically_increasing_id())
+            cold_rows = cold_rows.withColumn("_tie", F.lit(0).cast("long"))
+            order = (*order, "_tie")
+        ranged = hot_rows.repartitionByRange(pieces, *keys, *order).withColumn("_piece", F.spark_partition_id())
+        # read more than once below: all readings must see the same pieces
         ranged = checkpointed(ranged)
-        cold_rows = cold_rows.withColumns({"_tie": F.lit(0).cast("long"), "_piece": F.lit(-1)})
+        cold_rows = cold_rows.withColumn("_piece", F.lit(-1))
         return OrderedGroups(cold_rows.unionByName(ranged), keys, order, True)
 
     def with_df(self, df: DataFrame) -> "OrderedGroups":
@@ -139,7 +144,7 @@ class OrderedGroups:
     def _window(self):
         if not self.pieced:
             return Window.partitionBy(*self.keys).orderBy(*self.order)
-        return Window.partitionBy(*self.keys, "_piece").orderBy(*self.order, "_tie")
+        return Window.partitionBy(*self.keys, "_piece").orderBy(*self.order)
 
     def _carry(self, name: str, summary: Column, across: Column) -> DataFrame:
         """Attach ``name``: ``across`` over the pieces of a key, of each piece's ``summary``."""
@@ -153,7 +158,7 @@ class OrderedGroups:
         return Window.partitionBy(*self.keys).orderBy("_piece")
 
     def _position(self) -> Column:
-        return F.struct(*self.order, "_tie")
+        return F.struct(*self.order)
 
     def lag(self, name: str, value: Column) -> "OrderedGroups":
         """``value`` (never NULL, e.g. a struct) of the row before."""
@@ -181,31 +186,51 @@ class OrderedGroups:
                          F.last("_sum", ignorenulls=True).over(self._between_pieces().rowsBetween(*earlier)))
         return self.with_df(df.withColumn(name, F.coalesce(running, F.col("_carry"))).drop("_carry"))
 
+    def sum_before(self, name: str, value: Column) -> "OrderedGroups":
+        """The sum of a whole-number ``value`` over all earlier rows, 0 for the first."""
+        earlier = (Window.unboundedPreceding, -1)
+        running = F.coalesce(F.sum(value).over(self._window().rowsBetween(*earlier)), F.lit(0)).cast("long")
+        if not self.pieced:
+            return self.with_df(self.df.withColumn(name, running))
+        df = self._carry("_carry", F.sum(value), F.sum("_sum").over(self._between_pieces().rowsBetween(*earlier)))
+        total = running + F.coalesce(F.col("_carry"), F.lit(0)).cast("long")
+        return self.with_df(df.withColumn(name, total).drop("_carry"))
+
     def row_number(self, name: str) -> "OrderedGroups":
         """1-based position in the group."""
-        number = F.row_number().over(self._window())
         if not self.pieced:
-            return self.with_df(self.df.withColumn(name, number.cast("long")))
-        df = self._carry("_carry", F.count(F.lit(1)),
-                         F.sum("_sum").over(self._between_pieces().rowsBetween(Window.unboundedPreceding, -1)))
-        return self.with_df(df.withColumn(name, number + F.coalesce(F.col("_carry"), F.lit(0).cast("long")))
-                            .drop("_carry"))
+            return self.with_df(self.df.withColumn(name, F.row_number().over(self._window()).cast("long")))
+        numbered = self.sum_before(name, F.lit(1))
+        return numbered.with_df(numbered.df.withColumn(name, F.col(name) + 1))
 
     def result(self) -> DataFrame:
-        return self.df.drop("_tie", "_piece") if self.pieced else self.df
+        return self.df.drop("_tie", "_piece")
 
 
 def join_lines(lines: DataFrame, keys: Sequence[str], order: Sequence[str], line: str, name: str,
-               separator: str = "\n", lines_per_part: int = LINES_PER_PART, limit: int = HOT_ROWS) -> DataFrame:
+               separator: str = "\n", lines_per_part: int = LINES_PER_PART, limit: int = HOT_ROWS,
+               unique: bool = False) -> DataFrame:
     """The lines of each group as text: ``keys, part, <name>, lines``, the last being the number of lines in it.
 
     A group of at most ``lines_per_part`` lines is one row with part 1. A larger one continues in parts 2, 3, ...,
-    which joined by the separator are the whole text, so no row and no task holds an unbounded group.
+    which joined by the separator are the whole text, so no row and no task holds an unbounded group. Copies of a line
+    travel as one row with a count, unless ``unique`` says that the order columns leave no copies.
     """
-    numbered = OrderedGroups.of(lines, keys, order, limit).row_number("_number").result()
-    part = F.floor((F.col("_number") - 1) / lines_per_part) + 1
-    # rows of a key already share a task, so the second grouping moves no data
-    return (numbered.groupBy(*keys, part.cast("long").alias("part"))
-            .agg(F.array_sort(F.collect_list(F.struct("_number", line))).alias("_lines"))
-            .select(*keys, "part", F.array_join(F.col(f"_lines.{line}"), separator).alias(name),
-                    F.size("_lines").alias("lines")))
+    columns = list(dict.fromkeys([*keys, *order, line]))
+    rows = lines.filter(F.col(line).isNotNull())
+    if unique:
+        counted = rows.select(*columns, F.lit(1).cast("long").alias("_copies"))
+    else:
+        counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+        order = list(dict.fromkeys([*order, line]))
+    placed = OrderedGroups.of(counted, keys, order, limit).sum_before("_start", F.col("_copies")).result()
+    first, last = (F.floor(x / lines_per_part) for x in (F.col("_start"), F.col("_start") + F.col("_copies") - 1))
+    # a line may go on in later parts: one row for each, with as many copies as fall into it
+    spread = placed.withColumn("_at", F.explode(F.sequence(first, last)))
+    begin, end = F.col("_at") * lines_per_part, (F.col("_at") + 1) * lines_per_part
+    inside = F.least(end, F.col("_start") + F.col("_copies")) - F.greatest(begin, F.col("_start"))
+    grouped = (spread.groupBy(*keys, (F.col("_at") + 1).cast("long").alias("part"))
+               .agg(F.array_sort(F.collect_list(F.struct("_start", inside.cast("int").alias("_n"), line))).alias("_lines"),
+                    F.sum(inside).cast("int").alias("lines")))
+    repeated = F.flatten(F.transform("_lines", lambda x: F.array_repeat(x[line], x["_n"])))
+    return grouped.select(*keys, "part", F.array_join(repeated, separator).alias(name), "lines")

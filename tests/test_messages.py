@@ -139,6 +139,18 @@ def test_replies(spark, contacts):
     assert {r.seq: r.reply for r in found} == expected and len(found) == len(expected)
 
 
+def test_replies_in_parts(spark, contacts):
+    data = messages_of(spark, [("+1", i, "so?", f'{{"intent": "{t}"}}') for i, t in enumerate(("homework", "grades", "attendance"))]
+                       + [("+3", 9, "hi", '{"intent": "fee"}')])
+    digest = facts.weekly_digest(*school(spark), "2024-03-08", limit=1, lines_per_part=1)
+    found = messages.route_reply(messages.session_state(data, contacts), people.number_children(contacts), digest,
+                                 people.menu_text(contacts, 2, 2))
+    assert rows(found.select("seq", "part", "reply")) == [
+        (0, 1, "- Art: Open"), (0, 2, "- Maths: Done"), (1, 1, "- Maths: 38/50"),
+        (2, 1, "📊 Attendance this week: 75.0%"),
+        (9, 1, "You have multiple children:\n1. Kid 1 (5-B)\n2. Kid 2 (5-B)"), (9, 2, "3. Kid 3 (5-B)")]
+
+
 def test_contacts_keep_repeated_links(spark):
     parents = spark.createDataFrame([("p1", "A", "+1"), ("p2", "B", "+2")], "parent_id STRING, parent_name STRING, phone_number STRING")
     links = spark.createDataFrame([("p1", "s1"), ("p1", "s1"), ("p2", "s1"), ("p9", "s1")], "parent_id STRING, student_id STRING")

@@ -84,12 +84,22 @@ def test_join_skewed(spark, how, monkeypatch):
     assert rows(join_skewed(df, dim, ["k"], how, 20)) == expected
 
 
+def test_copies_are_spread(spark):
+    df = spark.createDataFrame([(1, "same")] * 200, "k INT, v STRING").repartition(3)
+    groups = OrderedGroups.of(df, ["k"], ["v"], 20, unique=False).row_number("nr")
+    assert max(r[1] for r in groups.df.groupBy("_piece").count().collect()) < 60
+    assert rows(groups.result().select("nr")) == sorted([(i,) for i in range(1, 201)], key=str)
+    assert groups.result().columns == ["k", "v", "nr"]
+
+
 def test_join_lines_in_parts(spark):
     # one key with many copies of few lines
     data = [(1, "x") for _ in range(50)] + [(1, f"y{i:02}") for i in range(30)] + [(2, "z"), (3, None)]
     df = spark.createDataFrame(data, "k INT, line STRING")
     whole = {r[0]: r[2] for r in join_lines(df, ["k"], ["line"], "line", "text").collect()}
     assert whole[1] == "\n".join(sorted(x for k, x in data if k == 1)) and whole[2] == "z"
+    alone = join_lines(df, ["k"], ["line"], "line", "text", lines_per_part=16, limit=10, unique=True).collect()
+    assert "\n".join(r.text for r in sorted(alone, key=lambda r: r.part) if r.k == 1) == whole[1]
     parts = join_lines(df, ["k"], ["line"], "line", "text", lines_per_part=16, limit=10).collect()
     first = sorted((r.part, r.text, r.lines) for r in parts if r.k == 1)
     assert [p for p, _, _ in first] == [1, 2, 3, 4, 5] and max(n for _, _, n in first) == 16
