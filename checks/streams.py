@@ -7,20 +7,20 @@ from checks.dimensions import DAYS, KEYS, TRACKED, _STATES, _TYPE2
 from checks.school import _MESSAGES, _STATE_ROWS, family_contacts
 from dimflow.sources.storage import work_dir
 from dimflow.spec import PipelineSpec, SourceSpec
+from dimflow.streaming import sessions
 from dimflow.streaming.dimension_feed import feed_dimension
-from dimflow.streaming.sessions import OUTPUT, session_state_stream, write_sessions
 
 CHECKS = Checks()
 
 
 @CHECKS.add(_STATE_ROWS)
-def session_state_by_stream(spark, sf_dir):
+def session_state_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "conversations").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
     messages = spark.sql(_MESSAGES, conversations=stream)
     out = work_dir(spark, "sessions")
-    write_sessions(session_state_stream(messages, family_contacts(spark, sf_dir)), out, work_dir(spark, "checkpoint"))
-    return spark.read.schema(OUTPUT).parquet(out)
+    sessions.write_sessions(sessions.session_state_stream(messages, family_contacts(spark, sf_dir)), out, work_dir(spark, "checkpoint"))
+    return spark.read.schema(sessions.OUTPUT).parquet(out)
 
 
 @CHECKS.add(_TYPE2)

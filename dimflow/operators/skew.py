@@ -224,7 +224,8 @@ def join_lines(lines: DataFrame, keys: Sequence[str], order: Sequence[str], line
         counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
         order = list(dict.fromkeys([*order, line]))
     placed = OrderedGroups.of(counted, keys, order, limit).sum_before("_start", F.col("_copies")).result()
-    first, last = (F.floor(x / lines_per_part) for x in (F.col("_start"), F.col("_start") + F.col("_copies") - 1))
+    first = F.expr(f"_start div {lines_per_part}")
+    last = F.expr(f"(_start + _copies - 1) div {lines_per_part}")
     # a line may go on in later parts: one row for each, with as many copies as fall into it
     spread = placed.withColumn("_at", F.explode(F.sequence(first, last)))
     begin, end = F.col("_at") * lines_per_part, (F.col("_at") + 1) * lines_per_part

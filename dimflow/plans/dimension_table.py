@@ -2,16 +2,20 @@
 
 Every load writes its rows once, into its own partitions of ``<table>__loads``; then a view named like the dimension is
 replaced and shows the new state. Closed versions stay in the partitions of the load that closed them, so a load
-rewrites current rows only. A failed load leaves the view as it was, and its partitions are cleared by the next try.
+rewrites current rows only. A failed load leaves the view as it was, and its files are cleared by the next try.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dimflow.sources.tables import ensure_database
+from dimflow.sources.tables import ensure_database, table_path
+
+FLAGS = ("true", "false")
 
 
 def loads_table(table: str) -> str:
@@ -32,25 +36,42 @@ def current_rows(spark: SparkSession, table: str) -> DataFrame:
     return shown.filter("is_current") if "is_current" in shown.columns else shown
 
 
-def _clear(spark: SparkSession, loads: str, number: int, versioned: bool, current_only: bool = False) -> None:
-    flags = ([", is_current=true"] if current_only else [", is_current=true", ", is_current=false"]) if versioned else [""]
-    for flag in flags:
-        spark.sql(f"ALTER TABLE {loads} DROP IF EXISTS PARTITION (load={number}{flag})")
+def _has_files(rows: DataFrame, path: str) -> bool:
+    try:
+        rows.sparkSession.read.schema(rows.schema).parquet(path)
+        return True
+    except AnalysisException:
+        return False
+
+
+def _clear(rows: DataFrame, loads: str, partition: str) -> None:
+    """Empty and forget one partition, registered or not."""
+    spark = rows.sparkSession
+    plain = rows.drop("is_current").schema
+    spark.sql(f"INSERT OVERWRITE TABLE {loads} PARTITION ({partition}) SELECT * FROM {{none}}",
+              none=spark.createDataFrame([], plain))
+    spark.sql(f"ALTER TABLE {loads} DROP IF EXISTS PARTITION ({partition})")
 
 
 def _select(loads: str, columns: list[str], number: int, key: str | None, newest: Sequence[str]) -> str:
-    """The query behind the dimension after load ``number``."""
-    listed = ", ".join(f"`{c}`" for c in columns)
+    """The query behind the dimension after load ``number``.
+
+    The flag is shown as a literal per branch, so that a reader of current rows never plans the closed ones.
+    """
+    def listed(flag: str) -> str:
+        return ", ".join(f"{flag} AS is_current" if c == "is_current" else f"`{c}`" for c in columns)
+
     if "is_current" not in columns:
-        return f"SELECT {listed} FROM {loads} WHERE load = {number}"
+        return f"SELECT {listed('')} FROM {loads} WHERE load = {number}"
     current = f"FROM {loads} WHERE load = {number} AND is_current"
-    closed = f"FROM {loads} WHERE load <= {number} AND NOT is_current"
-    if not newest:
-        return f"SELECT {listed} {current} UNION ALL SELECT {listed} {closed}"
-    fresh = {f"current_{c}": f"n.`{c}` AS `current_{c}`" for c in newest}
-    joined = ", ".join(fresh.get(c, f"c.`{c}`") for c in columns)
-    return (f"SELECT {listed} {current} UNION ALL SELECT {joined} FROM (SELECT * {closed}) c "
-            f"LEFT JOIN (SELECT `{key}`, {', '.join(f'`{c}`' for c in newest)} {current}) n ON c.`{key}` = n.`{key}`")
+    closed = f"SELECT {listed('false')} FROM {loads} WHERE load <= {number} AND NOT is_current"
+    if newest:
+        fresh = {f"current_{c}": f"n.`{c}` AS `current_{c}`" for c in newest}
+        names = ", ".join(fresh.get(c, f"c.`{c}`") for c in columns)
+        values = ", ".join(f"`{c}`" for c in newest)
+        closed = (f"SELECT {names} FROM ({closed}) c LEFT JOIN (SELECT `{key}`, {values} {current}) n "
+                  f"ON c.`{key}` = n.`{key}`")
+    return f"SELECT {listed('true')} {current} UNION ALL {closed}"
 
 
 def publish(rows: DataFrame, table: str, key: str | None = None, newest: Sequence[str] = ()) -> int:
@@ -61,31 +82,28 @@ def publish(rows: DataFrame, table: str, key: str | None = None, newest: Sequenc
     """
     spark, loads = rows.sparkSession, loads_table(table)
     ensure_database(spark, table)
-    number = load_number(spark, table) + 1
+    number, path = load_number(spark, table) + 1, table_path(spark, loads)
     versioned = "is_current" in rows.columns
-    plain = [c for c in rows.columns if c != "is_current"]
-    partitions = "load, is_current" if versioned else "load"
+    partitions = ["load", "is_current"] if versioned else ["load"]
+    stored = rows.withColumn("load", F.lit(number)).write.format("parquet").partitionBy(*partitions)
     if number == 1:
-        spark.sql(f"DROP TABLE IF EXISTS {loads}")
-    if not spark.catalog.tableExists(loads):
-        columns = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in plain]
-        columns += ["load INT"] + (["is_current BOOLEAN"] if versioned else [])
-        spark.sql(f"CREATE TABLE {loads} ({', '.join(columns)}) USING PARQUET PARTITIONED BY ({partitions})")
-    # partitions of a failed try, also those it did not get to register
-    spark.sql(f"MSCK REPAIR TABLE {loads}")
-    _clear(spark, loads, number, versioned)
-    stored = rows.selectExpr(*[f"`{c}`" for c in plain], f"{number} AS load", *(["is_current"] if versioned else []))
-    stored.write.mode("append").format("parquet").partitionBy(*partitions.split(", ")).saveAsTable(loads)
+        # also replaces what a failed first load or a forgotten table left there
+        stored.mode("overwrite").option("path", path).saveAsTable(loads)
+    else:
+        if _has_files(rows, f"{path}/load={number}"):
+            for flag in FLAGS if versioned else ("",):
+                _clear(rows, loads, f"load={number}" + (f", is_current={flag}" if flag else ""))
+        stored.mode("append").saveAsTable(loads)
     spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('dimflow.load' = '{number}') AS "
               + _select(loads, rows.columns, number, key, newest))
     # readers of the previous state may still be running; the one before has been replaced for a whole load
     if number > 2:
-        _clear(spark, loads, number - 2, versioned, current_only=True)
+        _clear(rows, loads, f"load={number - 2}" + (", is_current=true" if versioned else ""))
     return number
 
 
 def reset(spark: SparkSession, table: str) -> None:
-    """Forget a dimension and its loads."""
+    """Forget a dimension; its next load is a first load."""
     ensure_database(spark, table)
     spark.sql(f"DROP VIEW IF EXISTS {table}")
     spark.sql(f"DROP TABLE IF EXISTS {loads_table(table)}")
