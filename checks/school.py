@@ -28,12 +28,12 @@ _HOMEWORK = ("SELECT CAST(user_id AS STRING) AS student_id, CAST(ts AS DATE) AS
              "props AS status, event_id FROM {events}")
 _GRADES = ("SELECT CAST(l_partkey AS STRING) AS student_id, l_returnflag AS subject, CAST(l_quantity AS INT) AS score, "
            "50 AS max_score FROM {lineitem}")
-# every conversation is a sender with none to three children
+# a conversation is a sender, registered unless its number is a labelled document's, with a child per role that speaks
 _FAMILIES = ("SELECT DISTINCT CAST(conv_id AS STRING) AS parent_id, concat('Parent ', CAST(conv_id AS STRING)) AS parent_name, "
-             "concat('+', CAST(1000 + conv_id AS STRING)) AS phone_number FROM {conversations}")
-_LINKS = " UNION ALL ".join(
-    f"SELECT DISTINCT CAST(conv_id AS STRING) AS parent_id, CAST(conv_id * 2 + {i} AS STRING) AS student_id "
-    f"FROM {{conversations}} WHERE conv_id % 4 >= {i}" for i in (1, 2, 3))
+             "concat('+', CAST(1000 + conv_id AS STRING)) AS phone_number FROM {conversations} "
+             "WHERE NOT EXISTS (SELECT 1 FROM {labels} WHERE doc_id = conv_id)")
+_LINKS = ("SELECT DISTINCT CAST(conv_id AS STRING) AS parent_id, CAST(conv_id * 3 + CASE role WHEN 'system' THEN 0 "
+          "WHEN 'user' THEN 1 ELSE 2 END AS STRING) AS student_id FROM {conversations}")
 _MESSAGES = """
 SELECT concat('whatsapp:+', CAST(1000 + conv_id AS STRING)) AS from_number, turn AS seq,
        CASE WHEN turn % 3 = 1 AND conv_id % 5 <> 0 THEN CAST(length(text) % 5 AS STRING)
@@ -42,7 +42,7 @@ SELECT concat('whatsapp:+', CAST(1000 + conv_id AS STRING)) AS from_number, turn
             WHEN 0 THEN 'attendance' WHEN 1 THEN 'homework' WHEN 2 THEN 'grades' WHEN 3 THEN 'fee' WHEN 4 THEN 'greeting'
             WHEN 5 THEN 'unknown' WHEN 6 THEN 'weather' ELSE 'summary' END END, '"}}') AS model_reply
 FROM {conversations}"""
-_NAMES = ("supplier", "lineitem", "part", "events", "conversations")
+_NAMES = ("supplier", "lineitem", "part", "events", "conversations", "labels")
 
 
 def _read(spark, sf_dir, query):

@@ -29,20 +29,27 @@ def history_table(spec: PipelineSpec) -> str:
     return f"{spec.target_table}_history"
 
 
+def _require_one_row_per_key(staged: DataFrame, spec: PipelineSpec) -> None:
+    repeated = staged.groupBy(spec.key).count().filter("count > 1").select(spec.key).take(1)
+    if repeated:
+        raise ValueError(f"{spec.pipeline_name}: key {repeated[0][0]!r} is staged more than once; set dedup_order")
+
+
 def apply_scd(staged: DataFrame, spec: PipelineSpec, as_of: str | None = None) -> DataFrame:
     """Bring a staged batch into the pipeline's dimension by its SCD type and return the dimension."""
     check_specs([spec])
     spark, table, keys, tracked = staged.sparkSession, spec.target_table, [spec.key], list(spec.tracked)
-    if spec.load == "reload":
+    if spec.merges:
+        _require_one_row_per_key(staged, spec)
+    elif spec.scd_type in (2, 6):
         reset(spark, table)
-    first = load_number(spark, table) == 0
+    first = not spec.merges or load_number(spark, table) == 0
     current = None if first else current_rows(spark, table)
     match spec.scd_type:
         case 0:
             rows = staged if first else scd.scd0(current, staged, keys)
         case 1:
-            rows = (scd.scd1_reload(staged, tracked) if first or spec.load == "reload"
-                    else scd.scd1_upsert(current, staged, keys, tracked))
+            rows = scd.scd1_reload(staged, tracked) if first else scd.scd1_upsert(current, staged, keys, tracked)
         case 2:
             rows = (scd.scd2_initial(staged, tracked, as_of) if first
                     else scd.scd2_changes(current, staged, keys, tracked, as_of))

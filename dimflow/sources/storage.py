@@ -15,7 +15,7 @@ def shared_root(spark: SparkSession) -> str:
     machine-local folder would be lost with its machine, so the missing setting is an error there.
     """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
         root = getattr(context, "_dimflow_root", None)
     if root is None:

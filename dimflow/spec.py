@@ -41,7 +41,12 @@ class PipelineSpec:
     pii_columns: tuple[str, ...] = ("name",)
     sensitive_columns: tuple[str, ...] = ("salary",)
     dedup_order: tuple[str, ...] = ()
-    load: str = "merge"
+    load: str | None = None
+
+    @property
+    def merges(self) -> bool:
+        """Whether a batch adds to the dimension or replaces it; unless stated, only type 1 is replaced."""
+        return self.scd_type != 1 if self.load is None else self.load == "merge"
 
     @property
     def view_name(self) -> str:
@@ -72,7 +77,7 @@ class PipelineSpec:
                 found.append(f"{self.pipeline_name}: table must be database.name, got {table!r}")
         if self.scd_type not in SCD_TYPES:
             found.append(f"{self.pipeline_name}: unsupported SCD type {self.scd_type!r}")
-        if self.load not in ("merge", "reload"):
+        if self.load not in (None, "merge", "reload"):
             found.append(f"{self.pipeline_name}: load must be merge or reload, got {self.load!r}")
         if self.key in self.tracked:
             found.append(f"{self.pipeline_name}: the key cannot be tracked")

@@ -14,7 +14,7 @@ from dimflow.spec import PipelineSpec, check_specs
 def feed_dimension(source: DataFrame, spec: PipelineSpec, checkpoint: str, as_of: str | None = None) -> StreamingQuery:
     """Merge each micro-batch of raw rows as one load. A batch repeated after a failure finds nothing changed."""
     check_specs([spec])
-    if spec.load != "merge":
+    if not spec.merges:
         raise ValueError("a feed adds to what is there: use load='merge'")
 
     def load(batch: DataFrame, batch_id: int) -> None:

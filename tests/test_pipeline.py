@@ -44,8 +44,8 @@ STEPS = [
 SCHEMA = "id INT, name STRING, department STRING, salary INT"
 
 
-def load_all(spark, scd_type, name, twice=False):
-    spec = PipelineSpec(name, SourceSpec("csv", "unused"), f"staging.{name}", f"target.{name}", scd_type)
+def load_all(spark, scd_type, name, twice=False, load=None):
+    spec = PipelineSpec(name, SourceSpec("csv", "unused"), f"staging.{name}", f"target.{name}", scd_type, load=load)
     for day, batch in STEPS:
         for _ in range(2 if twice else 1):
             staged = overwrite_table(spark.createDataFrame(batch, SCHEMA), spec.staging_table)
@@ -81,7 +81,9 @@ def test_type6_shows_newest_on_all_versions(spark):
 def test_other_types(spark):
     _, dim = load_all(spark, 0, "hist0", True)
     assert rows(dim) == [(1, "Ann", "IT", 10), (2, "Bob", "HR", 20), (3, "Cid", None, 30), (4, "Dan", "IT", 40)]
-    _, dim = load_all(spark, 1, "hist1", True)
+    _, dim = load_all(spark, 1, "hist1")
+    assert rows(dim.drop("hash")) == [(2, "Bob", "OPS", 30), (3, "Cid", "HR", 30)]
+    _, dim = load_all(spark, 1, "hist1m", True, "merge")
     assert rows(dim.drop("hash")) == [(1, "Ann", "IT", 10), (2, "Bob", "OPS", 30), (3, "Cid", "HR", 30),
                                       (4, "Dan", "IT", 40)]
     _, dim = load_all(spark, 3, "hist3", True)
@@ -101,6 +103,12 @@ def test_reload_keeps_no_history(spark):
         (2, "2024-01-03", True), (3, "2024-01-03", True)]
 
 
+def test_repeated_keys_are_not_merged(spark):
+    spec = PipelineSpec("rep", SourceSpec("csv", "unused"), "staging.rep", "target.rep")
+    with pytest.raises(ValueError, match="more than once"):
+        apply_scd(spark.createDataFrame([(1, "A", "B", 1), (1, "A", "C", 1)], SCHEMA), spec)
+
+
 def test_failed_load_leaves_the_dimension(spark, monkeypatch):
     spec, dim = load_all(spark, 2, "crash")
     before = rows(dim)
