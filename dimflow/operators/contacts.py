@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dimflow.functions.replies import MENU_HEADING
 from dimflow.functions.text import strip_address
-from dimflow.operators.skew import HOT_ROWS, LINES_PER_PART, OrderedGroups, join_lines, join_skewed
+from dimflow.operators.skew import HOT_ROWS, LINES_PER_PART, OrderedGroups, join_numbered, join_skewed
 
 
 def contacts(parents: DataFrame, student_parent_map: DataFrame, students: DataFrame, phone: str | None = None,
@@ -34,7 +34,7 @@ def menu_text(found: DataFrame, limit: int = HOT_ROWS, lines_per_part: int = LIN
     entry = F.concat(F.col("child").cast("string"), F.lit(". "), "student_name", F.lit(" ("), "grade", F.lit("-"),
                      "section", F.lit(")"))
     lines = numbered.select("whatsapp_number", "child", entry.alias("line"))
-    text = join_lines(lines, ["whatsapp_number"], ["child"], "line", "menu", "\n", lines_per_part, limit, unique=True)
+    text = join_numbered(lines, ["whatsapp_number"], "child", "line", "menu", "\n", lines_per_part)
     first = F.concat_ws("\n", F.lit(MENU_HEADING), "menu")
     return (text.filter((F.col("part") > 1) | (F.col("lines") > 1))
             .select("whatsapp_number", "part", F.when(F.col("part") == 1, first).otherwise(F.col("menu")).alias("menu")))

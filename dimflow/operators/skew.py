@@ -114,12 +114,12 @@ class OrderedGroups:
     pieced: bool
 
     @staticmethod
-    def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = HOT_ROWS,
+    def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = HOT_ROWS,
            unique: bool = True) -> "OrderedGroups":
-        """``unique`` says that the order columns decide between any two rows of a key. Without it copies, which
+        """``limit`` None says that no key is hot. ``unique`` says that the order columns decide between any two rows of a key. Without it copies, which
         would all fall into one range, get a running number; that needs rows that do not move when read again."""
         keys, order = tuple(keys), tuple(order)
-        hot = hot_keys(df, keys, limit)
+        hot = None if limit is None else hot_keys(df, keys, limit)
         if hot is None:
             return OrderedGroups(df, keys, order, False)
         cold_rows, hot_rows = split_hot(df, keys, hot)
@@ -223,15 +223,32 @@ def join_lines(lines: DataFrame, keys: Sequence[str], order: Sequence[str], line
     else:
         counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
         order = list(dict.fromkeys([*order, line]))
+        # all copies together are no fewer than the counted rows, and cheaper to count
+        if hot_keys(rows.select(*keys), keys, limit) is None:
+            limit = None
     placed = OrderedGroups.of(counted, keys, order, limit).sum_before("_start", F.col("_copies")).result()
+    return _in_parts(placed, keys, line, name, separator, lines_per_part)
+
+
+def join_numbered(numbered: DataFrame, keys: Sequence[str], number: str, line: str, name: str, separator: str = "\n",
+                  lines_per_part: int = LINES_PER_PART) -> DataFrame:
+    """:func:`join_lines` for lines that are numbered from 1 within their group already."""
+    placed = numbered.select(*keys, line, (F.col(number) - 1).alias("_start"), F.lit(1).cast("long").alias("_copies"))
+    return _in_parts(placed, keys, line, name, separator, lines_per_part)
+
+
+def _in_parts(placed: DataFrame, keys: Sequence[str], line: str, name: str, separator: str,
+              lines_per_part: int) -> DataFrame:
+    """Text of lines with the number of lines before them in ``_start`` and their number of ``_copies``."""
     first = F.expr(f"_start div {lines_per_part}")
     last = F.expr(f"(_start + _copies - 1) div {lines_per_part}")
     # a line may go on in later parts: one row for each, with as many copies as fall into it
     spread = placed.withColumn("_at", F.explode(F.sequence(first, last)))
     begin, end = F.col("_at") * lines_per_part, (F.col("_at") + 1) * lines_per_part
-    inside = F.least(end, F.col("_start") + F.col("_copies")) - F.greatest(begin, F.col("_start"))
-    grouped = (spread.groupBy(*keys, (F.col("_at") + 1).cast("long").alias("part"))
-               .agg(F.array_sort(F.collect_list(F.struct("_start", inside.cast("int").alias("_n"), line))).alias("_lines"),
-                    F.sum(inside).cast("int").alias("lines")))
-    repeated = F.flatten(F.transform("_lines", lambda x: F.array_repeat(x[line], x["_n"])))
-    return grouped.select(*keys, "part", F.array_join(repeated, separator).alias(name), "lines")
+    inside = (F.least(end, F.col("_start") + F.col("_copies")) - F.greatest(begin, F.col("_start"))).cast("int")
+    text = F.when(F.col("_n") == 1, F.col(line)).otherwise(F.array_join(F.array_repeat(line, F.col("_n")), separator))
+    # numbering has put the rows of a key into one task, so this grouping moves no data
+    return (spread.withColumn("_n", inside).groupBy(*keys, (F.col("_at") + 1).alias("part"))
+            .agg(F.sort_array(F.collect_list(F.struct(F.col("_start"), text.alias("_text")))).alias("_lines"),
+                 F.sum("_n").cast("int").alias("lines"))
+            .select(*keys, "part", F.array_join("_lines._text", separator).alias(name), "lines"))
