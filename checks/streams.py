@@ -16,7 +16,7 @@ CHECKS = Checks()
 @CHECKS.add(_STATE_ROWS)
 def session_state_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "conversations").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
+    stream = sessions.message_stream(spark, sf_dir, schema, pathGlobFilter="conversations.parquet")
     messages = spark.sql(_MESSAGES, conversations=stream)
     out = work_dir(spark, "sessions")
     sessions.write_sessions(sessions.session_state_stream(messages, family_contacts(spark, sf_dir)), out, work_dir(spark, "checkpoint"))

@@ -19,8 +19,8 @@ def trim_initcap(c: Column) -> Column:
 
 
 def normalize_text(c: Column) -> Column:
-    """Strip all Unicode white space at both ends, lower-case."""
-    return F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
+    """Strip Unicode white space and the separator controls at both ends, lower-case."""
+    return F.lower(F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
 
 
 def pad(c: Column, length: int, fill: str = " ", side: str = "left") -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dimflow.functions.protect import MASK, hash_column, mask_constant
 from dimflow.operators.skew import BROADCAST_BYTES, HOT_ROWS, join_skewed
+from dimflow.sources.tables import ensure_database, quoted
 from dimflow.spec import PipelineSpec
 
 
@@ -32,14 +33,13 @@ def create_secure_view(spark: SparkSession, spec: PipelineSpec) -> str:
         if c in technical:
             continue
         if c in spec.pii_columns:
-            shown.append(f"'{MASK}' AS `{c}_masked`")
+            shown.append(f"'{MASK}' AS {quoted(f'{c}_masked')}")
         elif c in spec.sensitive_columns:
-            shown.append(f"sha2(CAST(`{c}` AS STRING), 256) AS `{c}_hash`")
+            shown.append(f"sha2(CAST({quoted(c)} AS STRING), 256) AS {quoted(f'{c}_hash')}")
         else:
-            shown.append(f"`{c}`")
+            shown.append(quoted(c))
     where = " WHERE is_current" if "is_current" in columns else ""
-    database = spec.view_name.split(".")[0]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    ensure_database(spark, spec.view_name)
     spark.sql(f"CREATE OR REPLACE VIEW {spec.view_name} AS SELECT {', '.join(shown)} FROM {spec.target_table}{where}")
     return spec.view_name
 

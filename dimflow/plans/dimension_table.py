@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.sources.tables import ensure_database, table_path
+from dimflow.sources.tables import ensure_database, quoted, table_path
 
 FLAGS = ("true", "false")
 
@@ -59,18 +59,18 @@ def _select(loads: str, columns: list[str], number: int, key: str | None, newest
     The flag is shown as a literal per branch, so that a reader of current rows never plans the closed ones.
     """
     def listed(flag: str) -> str:
-        return ", ".join(f"{flag} AS is_current" if c == "is_current" else f"`{c}`" for c in columns)
+        return ", ".join(f"{flag} AS is_current" if c == "is_current" else quoted(c) for c in columns)
 
     if "is_current" not in columns:
         return f"SELECT {listed('')} FROM {loads} WHERE load = {number}"
     current = f"FROM {loads} WHERE load = {number} AND is_current"
     closed = f"SELECT {listed('false')} FROM {loads} WHERE load <= {number} AND NOT is_current"
     if newest:
-        fresh = {f"current_{c}": f"n.`{c}` AS `current_{c}`" for c in newest}
-        names = ", ".join(fresh.get(c, f"c.`{c}`") for c in columns)
-        values = ", ".join(f"`{c}`" for c in newest)
-        closed = (f"SELECT {names} FROM ({closed}) c LEFT JOIN (SELECT `{key}`, {values} {current}) n "
-                  f"ON c.`{key}` = n.`{key}`")
+        fresh = {f"current_{c}": f"n.{quoted(c)} AS {quoted(f'current_{c}')}" for c in newest}
+        names = ", ".join(fresh.get(c, f"c.{quoted(c)}") for c in columns)
+        values = ", ".join(quoted(c) for c in (key, *newest))
+        closed = (f"SELECT {names} FROM ({closed}) c LEFT JOIN (SELECT {values} {current}) n "
+                  f"ON c.{quoted(key)} = n.{quoted(key)}")
     return f"SELECT {listed('true')} {current} UNION ALL {closed}"
 
 

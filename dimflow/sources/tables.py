@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def quoted(name: str) -> str:
+    """A column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ensure_database(spark: SparkSession, table: str) -> str:
     """Create the database of a ``database.name`` table if it is absent."""
     database = table.split(".")[0]
@@ -44,7 +49,7 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
 
 def _content(df: DataFrame) -> DataFrame:
     # order-free: a sum of row hashes, wide enough not to overflow
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)]).cast("decimal(20,0)")
+    row = F.xxhash64(*[F.col(quoted(c)) for c in sorted(df.columns)]).cast("decimal(20,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row), F.lit(0)).alias("content"))
 
 

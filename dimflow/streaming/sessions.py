@@ -26,8 +26,8 @@ def _earlier(values: pd.Series, at_start: Any) -> pd.Series:
 class SessionProcessor(StatefulProcessor):
     """Keeps (chosen child, last mark) per sender; the rows of one sender in a micro-batch are taken in seq order.
 
-    A micro-batch bounds what one sender can bring at once: limit it at the source with ``maxFilesPerTrigger`` or
-    ``maxBytesPerTrigger``.
+    One task holds what a sender brings in one micro-batch, so the source must bound micro-batches, as
+    :func:`message_stream` does. Large backlogs belong to the batch operator, which cuts hot senders.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -60,6 +60,11 @@ class SessionProcessor(StatefulProcessor):
         pass
 
 
+def message_stream(spark: SparkSession, path: str, schema: Any, max_bytes: int = 1 << 30, **options: Any) -> DataFrame:
+    """Parquet message files as a stream of micro-batches of at most ``max_bytes`` (or one file, if that is larger)."""
+    return spark.readStream.schema(schema).options(maxBytesPerTrigger=max_bytes, **options).parquet(path)
+
+
 def session_state_stream(messages: DataFrame, contacts: DataFrame) -> DataFrame:
     """The streaming form of ``operators.messages.session_state``; contacts are a static table."""
     joined = readable(messages).join(families(contacts), "_phone", "left")

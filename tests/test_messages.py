@@ -7,7 +7,7 @@ import pytest
 from dimflow.functions import replies
 from dimflow.operators import contacts as people
 from dimflow.operators import facts, messages
-from dimflow.streaming.sessions import session_state_stream, write_sessions
+from dimflow.streaming.sessions import message_stream, session_state_stream, write_sessions
 from tests.conftest import rows
 
 CHILDREN = {"+0": 0, "+1": 1, "+2": 2, "+3": 3, "+4": 3}
@@ -73,7 +73,7 @@ def test_session_stream_goes_on_after_a_restart(spark, contacts, tmp_path):
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     for start in (0, 40, 80):  # three runs of the stream, each finding one more file
         messages_of(spark, data[start:start + 40]).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema("from_number STRING, seq BIGINT, body STRING, model_reply STRING").parquet(source)
+        stream = message_stream(spark, source, "from_number STRING, seq BIGINT, body STRING, model_reply STRING", 100)
         write_sessions(session_state_stream(stream, contacts), out, checkpoint)
     assert sorted(map(str, rows(spark.read.parquet(out)))) == fold(data)
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
