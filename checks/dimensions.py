@@ -1,7 +1,5 @@
 """Slowly changing dimensions over three daily states of the customer table, and a history from the event log."""
 
-from pyspark.sql import functions as F
-
 from checks.base import Checks, fresh_name, table
 from dimflow.operators import scd
 from dimflow.plans.pipeline import apply_scd

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.base import Checks, fresh_name, table
-from checks.dimensions import DAYS, KEYS, TRACKED, _STATES, _TYPE2
+from checks.dimensions import DAYS, _STATES, _TYPE2
 from checks.school import _MESSAGES, _STATE_ROWS, family_contacts
 from dimflow.sources.storage import work_dir
 from dimflow.spec import PipelineSpec, SourceSpec

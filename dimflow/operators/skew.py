@@ -22,7 +22,6 @@ HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 10_000
 MAX_PIECES = 20_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 64
 LINES_PER_PART = 100_000
 
 
@@ -91,14 +90,25 @@ def _join_by_size(fact: DataFrame, dim: DataFrame, on: list[str], how: str, limi
     if byte_size(hot_dim) <= broadcast_bytes:
         joined = hot_rows.join(F.broadcast(hot_dim), on, how)
     else:
-        # from stored rows: a salt must not change when a lost task is repeated
-        salted = checkpointed(hot_rows).withColumn("_salt", F.monotonically_increasing_id() % SALTS)
-        salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
-        copies = hot_dim.withColumn("_salt", F.explode(salts))
-        joined = salted.join(copies, [*on, "_salt"], how).drop("_salt")
+        joined = _join_salted(hot_rows, hot_dim, on, how, hot, limit)
     return cold_rows.join(dim, on, how).unionByName(joined)
 
 
+def _join_salted(hot_rows: DataFrame, hot_dim: DataFrame, on: list[str], how: str, hot: DataFrame,
+                 limit: int) -> DataFrame:
+    """A shuffled join in which a key is spread over as many salts as it has multiples of ``limit`` rows."""
+    names = [f"_hot{i}" for i in range(len(on))]
+    salts = hot.select(*[F.col(k).alias(n) for k, n in zip(on, names)],
+                       F.ceil(F.col("_rows") / limit).cast("long").alias("_salts"))
+    # from stored rows: a salt must not change when a lost task is repeated
+    salted = (checkpointed(hot_rows).join(F.broadcast(salts), _same(on, names))
+              .withColumn("_salt", F.monotonically_increasing_id() % F.col("_salts")).drop(*names, "_salts"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)
+    copies = (hot_dim.join(F.broadcast(salts), _same(on, names))
+              .withColumn("_salt", F.explode(every)).drop(*names, "_salts"))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
 @dataclass(frozen=True)
 class OrderedGroups:
     """Ordered windows per key over groups of any size.
@@ -116,8 +126,8 @@ class OrderedGroups:
     @staticmethod
     def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int | None = HOT_ROWS,
            unique: bool = True) -> "OrderedGroups":
-        """``limit`` None says that no key is hot. ``unique`` says that the order columns decide between any two rows of a key. Without it copies, which
-        would all fall into one range, get a running number; that needs rows that do not move when read again."""
+        """``limit`` None says that no key is hot. ``unique`` says that the order columns decide between any two rows
+        of a key. Without it copies, which would all fall into one range, get a running number once they are stored."""
         keys, order = tuple(keys), tuple(order)
         hot = None if limit is None else hot_keys(df, keys, limit)
         if hot is None:
@@ -227,7 +237,7 @@ def join_lines(lines: DataFrame, keys: Sequence[str], order: Sequence[str], line
         if hot_keys(rows.select(*keys), keys, limit) is None:
             limit = None
     placed = OrderedGroups.of(counted, keys, order, limit).sum_before("_start", F.col("_copies")).result()
-    return _in_parts(placed, keys, line, name, separator, lines_per_part)
+    return _in_parts(placed, keys, line, name, separator, lines_per_part, limit is not None and not unique)
 
 
 def join_numbered(numbered: DataFrame, keys: Sequence[str], number: str, line: str, name: str, separator: str = "\n",
@@ -237,18 +247,26 @@ def join_numbered(numbered: DataFrame, keys: Sequence[str], number: str, line: s
     return _in_parts(placed, keys, line, name, separator, lines_per_part)
 
 
-def _in_parts(placed: DataFrame, keys: Sequence[str], line: str, name: str, separator: str,
-              lines_per_part: int) -> DataFrame:
-    """Text of lines with the number of lines before them in ``_start`` and their number of ``_copies``."""
+def _in_parts(placed: DataFrame, keys: Sequence[str], line: str, name: str, separator: str, lines_per_part: int,
+              scatter: bool = False) -> DataFrame:
+    """Text of lines with the number of lines before them in ``_start`` and their number of ``_copies``.
+
+    ``scatter`` says that few rows may stand for very many copies, whose parts should not be written by one task.
+    """
     first = F.expr(f"_start div {lines_per_part}")
     last = F.expr(f"(_start + _copies - 1) div {lines_per_part}")
     # a line may go on in later parts: one row for each, with as many copies as fall into it
     spread = placed.withColumn("_at", F.explode(F.sequence(first, last)))
     begin, end = F.col("_at") * lines_per_part, (F.col("_at") + 1) * lines_per_part
     inside = (F.least(end, F.col("_start") + F.col("_copies")) - F.greatest(begin, F.col("_start"))).cast("int")
-    text = F.when(F.col("_n") == 1, F.col(line)).otherwise(F.array_join(F.array_repeat(line, F.col("_n")), separator))
-    # numbering has put the rows of a key into one task, so this grouping moves no data
-    return (spread.withColumn("_n", inside).groupBy(*keys, (F.col("_at") + 1).alias("part"))
-            .agg(F.sort_array(F.collect_list(F.struct(F.col("_start"), text.alias("_text")))).alias("_lines"),
-                 F.sum("_n").cast("int").alias("lines"))
-            .select(*keys, "part", F.array_join("_lines._text", separator).alias(name), "lines"))
+    spread = spread.select(*keys, "_at", "_start", line, inside.alias("_n"))
+    if scatter:
+        spread = spread.repartition(*keys, "_at")
+    # otherwise numbering has put the rows of a key into one task, and this grouping moves no data
+    grouped = spread.groupBy(*keys, (F.col("_at") + 1).alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct("_start", "_n", line))).alias("_lines"), F.sum("_n").cast("int").alias("lines"))
+    texts = F.transform("_lines", lambda x: F.when(x["_n"] == 1, x[line]).otherwise(
+        F.array_join(F.array_repeat(x[line], x["_n"]), separator)))
+    # mostly every line is there once
+    texts = F.when(F.size("_lines") == F.col("lines"), F.col(f"_lines.{line}")).otherwise(texts)
+    return grouped.select(*keys, "part", F.array_join(texts, separator).alias(name), "lines")
