@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import packing, simple8b
+from dimflow.llm import minhash, packing, simple8b
 from dimflow.llm.common import table
 from dimflow.sources.storage import work_dir
 
@@ -29,6 +29,10 @@ def tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer()))
 
@@ -48,6 +52,7 @@ def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [
+    Query("op1_minhash_near_dedup", op1_minhash_near_dedup),
     Query("op4_best_fit_packing", op4_best_fit_packing),
     Query("op7_simple8b", op7_simple8b),
 ]

@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 
-from dimflow.llm.words import find_words
+from dimflow.llm.words import find_words, kept
 
 CACHED = 500_000
 CHUNK_BYTES = 4 << 20
@@ -98,10 +98,5 @@ class WordEncoder:
         return np.concatenate(out) if out else np.zeros(0, np.uint32), lengths
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return kept(f"tokenizer {path}", lambda: WordEncoder(path))

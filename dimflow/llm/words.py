@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,7 +13,14 @@ CHUNK_BYTES = 2 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SHINGLE_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 SHINGLE_WORDS = 5
-_tables: dict = {}
+
+
+def kept(name: str, make: Callable):
+    """What ``make`` gives, made once per Python process: functions sent by value bring no module state along."""
+    cache = sys.__dict__.setdefault("_kept_by_workers", {})
+    if name not in cache:
+        cache[name] = make()
+    return cache[name]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -25,22 +33,23 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_tables.get("up", ())) < n:
-        size = max(n, CHUNK_BYTES * 2)
-        up = np.full(size, BASE, np.uint64)
-        down = np.full(size, np.uint64(pow(int(BASE), -1, 2**64)), np.uint64)
-        up[0] = down[0] = 1
-        _tables["up"], _tables["down"] = np.cumprod(up), np.cumprod(down)
-    return _tables["up"], _tables["down"]
+    size = max(2 * CHUNK_BYTES, 1 << (n - 1).bit_length())
+
+    def table(base: int) -> np.ndarray:
+        out = np.full(size, np.uint64(base), np.uint64)
+        out[0] = 1
+        return np.cumprod(out)
+
+    return kept(f"powers {size}", lambda: (table(int(BASE)), table(pow(int(BASE), -1, 2**64))))
 
 
 def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
-    if "value" not in _tables:
-        _tables["value"] = mix(np.arange(1, 257, dtype=np.uint64))
+    def make():
         space = np.zeros(256, bool)
         space[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-        _tables["space"] = space
-    return _tables["value"], _tables["space"]
+        return mix(np.arange(1, 257, dtype=np.uint64)), space
+
+    return kept("bytes", make)
 
 
 @dataclass(frozen=True)
