@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import minhash, packing, simple8b
+from dimflow.llm import minhash, packing, perfect_hash, simple8b
 from dimflow.llm.common import table
 from dimflow.sources.storage import work_dir
 
@@ -33,6 +31,20 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_perfect_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lower half of the ids counts as history, the rest as a new delivery."""
+    docs = table(spark, sf_dir, "documents")
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    return perfect_hash.exact_duplicates(docs, F.col("doc_id") < F.lit(((low or 0) + (high or 0)) // 2))
+
+
+OP3_SQL = """
+WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS h FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
+FROM t"""
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer()))
 
@@ -41,18 +53,13 @@ def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "simple8b")
     simple8b.write_ids(table(spark, sf_dir, "documents"), path, tokenizer(), end=2)
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [b.as_py() for b in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("start"), pa.array([len(b) // 4 for b in ids], pa.int64()),
-                 pa.array([zlib.crc32(b) for b in ids], pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return simple8b.read_ids(spark, path).mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return simple8b.read_ids(spark, path).select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                                                 F.crc32("ids").alias("ids_crc32"))
 
 
 QUERIES = [
     Query("op1_minhash_near_dedup", op1_minhash_near_dedup),
+    Query("op3_perfect_hash_dedup", op3_perfect_hash_dedup, OP3_SQL),
     Query("op4_best_fit_packing", op4_best_fit_packing),
     Query("op7_simple8b", op7_simple8b),
 ]
