@@ -162,7 +162,8 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 coded = Coded(np.frombuffer(row["words"], np.uint64), np.frombuffer(row["offsets"], np.uint32),
                               np.frombuffer(row["escapes"], np.uint64))
                 ids = decode(coded, row["n_ids"]).astype("<u4")

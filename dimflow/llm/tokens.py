@@ -9,8 +9,8 @@ import numpy as np
 
 from dimflow.llm.words import find_words, kept
 
-CACHED = 500_000
-CHUNK_BYTES = 4 << 20
+CACHED = 250_000
+CHUNK_BYTES = 2 << 20
 # Bytes of texts in which the tokenizer's white space, case folding and classes are those spelled out below:
 # ASCII without other control characters, and the Latin letters U+00C0 to U+00FF, whose UTF-8 begins with C3.
 ODD = np.ones(256, bool)
