@@ -197,14 +197,13 @@ def _blocks(members: DataFrame, percent: int) -> DataFrame:
     large = stored(whole.filter((F.col("_all") > BLOCK_NODES) | (F.col("_all_s") > BLOCK_SHINGLES)).join(parts, "_cluster")
                    .select("_cluster", "_step", "_parts", "_n"), "minhash-large")
     small = members.join(large.select("_cluster").distinct(), "_cluster", "left_anti").select(
-        "*", F.struct(F.col("_cluster"), F.lit(0).cast("long").alias("s"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))
-        .alias("_block"), F.lit(0).alias("side"))
+        "*", F.col("_cluster").cast("string").alias("_block"), F.lit(0).alias("side"))
     near = large.select("_cluster", (F.col("_step") - 1).alias("_step"), F.col("_parts").alias("_above"))
     far = large.select("_cluster", (F.col("_step") + 1).alias("_step"), F.col("_parts").alias("_below"))
     sized = large.join(near, ["_cluster", "_step"], "left").join(far, ["_cluster", "_step"], "left").drop("_n")
     own = F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int")
-    block = lambda s, i, j, side: F.struct(F.struct(F.col("_cluster"), s.alias("s"), i.alias("i"), j.alias("j"))
-                                           .alias("_block"), side.alias("side"))
+    block = lambda s, i, j, side: F.struct(F.concat_ws(":", "_cluster", s, i, j).alias("_block"),
+                                           side.alias("side"))
     zero, one = F.lit(0), F.lit(1)
     # within a step: (i, i) once, (i, j) for i < j; between a step and the next: (i of the lower, j of the upper)
     inside = F.transform(F.sequence(zero, F.col("_parts") - 1), lambda k: block(
