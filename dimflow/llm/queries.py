@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import minhash, packing, perfect_hash, simple8b
+from dimflow.llm import lines, minhash, packing, perfect_hash, simple8b
 from dimflow.llm.common import table
 from dimflow.sources.storage import work_dir
 
@@ -49,6 +49,31 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer()))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.without_repeated_runs(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+OP5_SQL = f"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS n FROM documents),
+b AS (SELECT *, row_number() OVER (ORDER BY doc_id, n) AS p, length(line) - length(replace(line, ' ', '')) + 1 AS w
+      FROM l WHERE trim(line) <> ''),
+c AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY p) AS c FROM b),
+pair AS (SELECT a.p AS s, z.p AS e FROM c a JOIN c z ON a.doc_id = z.doc_id AND z.p >= a.p AND z.p < a.p + {lines.MIN_WORDS}
+         WHERE z.c - a.c + a.w >= {lines.MIN_WORDS}),
+stretch AS (SELECT s, min(e) AS e FROM pair GROUP BY s UNION SELECT max(s), e FROM pair GROUP BY e),
+named AS (SELECT s, e, string_agg(line, chr(10) ORDER BY p) AS name FROM stretch JOIN b ON p BETWEEN s AND e GROUP BY s, e),
+later AS (SELECT s, e FROM (SELECT *, min(s) OVER (PARTITION BY name) AS f FROM named) WHERE s > f),
+gone AS (SELECT DISTINCT p FROM later JOIN b ON p BETWEEN s AND e),
+marked AS (SELECT l.doc_id, l.n, l.line, gone.p IS NOT NULL AS cut
+           FROM l LEFT JOIN b ON l.doc_id = b.doc_id AND l.n = b.n LEFT JOIN gone ON gone.p = b.p)
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN left_over END AS text,
+       CASE WHEN text IS NULL THEN 0 ELSE n_lines END AS n_lines, n_removed
+FROM (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT cut), '') AS left_over, count(*) AS n_lines,
+             count(*) FILTER (cut) AS n_removed FROM marked GROUP BY doc_id) JOIN documents USING (doc_id)"""
+
+
 def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "simple8b")
     simple8b.write_ids(table(spark, sf_dir, "documents"), path, tokenizer(), end=2)
@@ -61,5 +86,6 @@ QUERIES = [
     Query("op1_minhash_near_dedup", op1_minhash_near_dedup),
     Query("op3_perfect_hash_dedup", op3_perfect_hash_dedup, OP3_SQL),
     Query("op4_best_fit_packing", op4_best_fit_packing),
+    Query("op5_line_dedup", op5_line_dedup, OP5_SQL),
     Query("op7_simple8b", op7_simple8b),
 ]
