@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import lines, minhash, packing, perfect_hash, simple8b
+from dimflow.llm import lines, minhash, packing, perfect_hash, simple8b, toxicity
 from dimflow.llm.common import table
 from dimflow.sources.storage import work_dir
 
@@ -82,10 +82,30 @@ def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  F.crc32("ids").alias("ids_crc32"))
 
 
+LABEL_ROWS = 4_000_000
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with their labels. Labels are broadcast up to ``LABEL_ROWS`` rows (some 100 MB), else shuffled."""
+    return docs.join(F.broadcast(labels) if labels.limit(LABEL_ROWS + 1).count() <= LABEL_ROWS else labels, "doc_id")
+
+
+def fold_of(doc_id: str, folds: int):
+    return F.crc32(F.col(doc_id).cast("string")) % folds
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(fold_of("doc_id", 3) != 1)
+    lexicon = toxicity.learn(labelled(docs, labels))
+    return toxicity.scored(docs, lexicon).select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 QUERIES = [
     Query("op1_minhash_near_dedup", op1_minhash_near_dedup),
     Query("op3_perfect_hash_dedup", op3_perfect_hash_dedup, OP3_SQL),
     Query("op4_best_fit_packing", op4_best_fit_packing),
     Query("op5_line_dedup", op5_line_dedup, OP5_SQL),
     Query("op7_simple8b", op7_simple8b),
+    Query("op8_toxicity", op8_toxicity),
 ]
