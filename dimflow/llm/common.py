@@ -57,3 +57,11 @@ def per_batch(f: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:
 
 def arrow(schema: dict[str, pa.DataType], columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[k], t) for k, t in schema.items()], names=list(schema))
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a stored table that nothing will read again."""
+    spark = df.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import lines, minhash, packing, perfect_hash, simple8b, toxicity
+from dimflow.llm import lines, minhash, packing, perfect_hash, pitman_yor, simple8b, toxicity
 from dimflow.llm.common import table
 from dimflow.sources.storage import work_dir
 
@@ -31,6 +31,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scored(table(spark, sf_dir, "documents"), fold_of("doc_id", 10) == 0)
+
+
 def op3_perfect_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lower half of the ids counts as history, the rest as a new delivery."""
     docs = table(spark, sf_dir, "documents")
@@ -103,6 +107,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [
     Query("op1_minhash_near_dedup", op1_minhash_near_dedup),
+    Query("op2_pitman_yor", op2_pitman_yor),
     Query("op3_perfect_hash_dedup", op3_perfect_hash_dedup, OP3_SQL),
     Query("op4_best_fit_packing", op4_best_fit_packing),
     Query("op5_line_dedup", op5_line_dedup, OP5_SQL),
