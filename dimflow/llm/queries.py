@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import lines, minhash, packing, perfect_hash, pitman_yor, simple8b, toxicity
+from dimflow.llm import licenses, lines, minhash, mixing, neighbours, packing, perfect_hash, pitman_yor, simple8b, toxicity
 from dimflow.llm.common import table
 from dimflow.sources.storage import work_dir
 
@@ -78,6 +78,24 @@ FROM (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT c
              count(*) FILTER (cut) AS n_removed FROM marked GROUP BY doc_id) JOIN documents USING (doc_id)"""
 
 
+#: Domains of the labels, and the share of tokens each is to have.
+DOMAINS = {"good": 0.92, "poor": 0.08}
+
+
+def domain_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> mixing.Mix:
+    """Rates for ``docs`` that keep the good tokens and bring the poor ones to their share."""
+    labels = table(spark, sf_dir, "labels")
+    domain = F.when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "good")
+    known = labelled(table(spark, sf_dir, "documents").select("doc_id", "text"), labels.select("doc_id", domain.alias("domain")))
+    return mixing.fit(docs, mixing.learn(known, tuple(DOMAINS)), tuple(DOMAINS.values()), keep="good")
+
+
+def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rated = mixing.rated(docs, domain_mix(spark, docs, sf_dir))
+    return rated.select("doc_id", "tokens", *[F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", "copies")
+
+
 def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "simple8b")
     simple8b.write_ids(table(spark, sf_dir, "documents"), path, tokenizer(), end=2)
@@ -105,12 +123,23 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, lexicon).select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op9_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = [
     Query("op1_minhash_near_dedup", op1_minhash_near_dedup),
     Query("op2_pitman_yor", op2_pitman_yor),
     Query("op3_perfect_hash_dedup", op3_perfect_hash_dedup, OP3_SQL),
     Query("op4_best_fit_packing", op4_best_fit_packing),
     Query("op5_line_dedup", op5_line_dedup, OP5_SQL),
+    Query("op6_soft_mixing", op6_soft_mixing),
     Query("op7_simple8b", op7_simple8b),
     Query("op8_toxicity", op8_toxicity),
+    Query("op9_collision_counting", op9_collision_counting),
+    Query("op10_license_scan", op10_license_scan),
 ]

@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.llm.common import stored
-from dimflow.llm.words import chunks, find_words, kept, mix
+from dimflow.llm.sketch import sketch
+from dimflow.llm.words import kept
 
 MAX_WORDS = 5_000  # bound of the lexicon, and of its exceptions
 FIT_ROWS = 20_000  # bound of the sample on which the curve is fitted
 MIN_TOXIC, MIN_DEVIATIONS, MIN_WEIGHT = 3, 4.0, 3.0
-SKETCH_WORDS = 4
 THRESHOLD = 0.7
 
 # Letters that look like Latin ones, and digits or signs written for letters.
@@ -116,19 +116,6 @@ def _counts(labelled: DataFrame, terms) -> DataFrame:
     return parts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _sketch(texts: pd.Series) -> pd.Series:
-    """A number that most near copies of a text share: its words with the smallest hashes."""
-    out = []
-    for _, part in chunks(pa.array(texts, pa.string())):
-        words = find_words(part)
-        for a, b in zip(words.first[:-1], words.first[1:]):
-            own, key = words.hashes[a:b], np.uint64(0)
-            for k in range(SKETCH_WORDS if b > a else 0):
-                key = mix(np.array([key ^ mix(own + np.uint64(k)).min()]))[0]
-            out.append(int(key.view(np.int64)))
-    return pd.Series(out, dtype="int64")
-
-
 def learn(labelled: DataFrame, max_words: int = MAX_WORDS, fit_rows: int = FIT_ROWS) -> Lexicon:
     """A lexicon from rows (text, toxic 0 or 1; other labels are left out).
 
@@ -137,7 +124,7 @@ def learn(labelled: DataFrame, max_words: int = MAX_WORDS, fit_rows: int = FIT_R
     is empty and every score low.
     """
     labelled = labelled.filter(F.col("toxic").isin(0, 1)).select("text", F.col("toxic").cast("int").alias("toxic"))
-    labelled = stored(labelled.withColumn("_sketch", F.pandas_udf(_sketch, "long")("text"))
+    labelled = stored(labelled.withColumn("_sketch", sketch("text"))
                       .dropDuplicates(["toxic", "_sketch"]).drop("_sketch"), "toxicity-labelled")
     toxic, clean = labelled.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()
     if not toxic or not clean:
