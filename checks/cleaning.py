@@ -65,6 +65,27 @@ def clean_full(spark, sf_dir):
     return cleaning.clean(raw, spec)
 
 
+@CHECKS.add(f"""
+SELECT c_custkey * 3000000000 AS id, {_TITLE.format('c_name')} AS name, c_mktsegment AS department,
+       CASE WHEN c_acctbal > 9000 THEN 0 ELSE CAST(trunc(c_acctbal * 1000000) AS BIGINT) END AS salary
+FROM customer WHERE c_mktsegment <> 'FURNITURE'""")
+def clean_typed_source(spark, sf_dir):
+    """Keys beyond 32 bits and numbers that text would show with an exponent."""
+    raw = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_mktsegment") != "FURNITURE", F.col("c_custkey") * 3_000_000_000).alias("id"),
+        F.lower("c_name").alias("name"), F.col("c_mktsegment").alias("department"),
+        F.when(F.col("c_acctbal") <= 9000, F.col("c_acctbal") * 1_000_000).alias("salary"))
+    spec = PipelineSpec("customers", SourceSpec("parquet", "unused"), "staging.customers", "target.customers_dim",
+                        key_type="bigint", int_type="bigint")
+    return cleaning.clean(raw, spec)
+
+
+@CHECKS.add("SELECT DISTINCT c_mktsegment, c_nationkey FROM customer")
+def dedup_by_columns(spark, sf_dir):
+    return cleaning.drop_duplicates(table(spark, sf_dir, "customer"), ["c_mktsegment", "c_nationkey"]).select(
+        "c_mktsegment", "c_nationkey")
+
+
 _HOLES = ("SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, "
           "CASE WHEN o_totalprice > 100000 THEN o_orderpriority END AS priority, "
           "CASE WHEN o_totalprice < 300000 THEN o_totalprice END AS price FROM {0}")

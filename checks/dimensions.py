@@ -1,6 +1,6 @@
 """Slowly changing dimensions over three daily states of the customer table, and a history from the event log."""
 
-from checks.base import Checks, fresh_name, table
+from checks.base import Check, Checks, fresh_name, table
 from dimflow.operators import scd
 from dimflow.plans.pipeline import apply_scd
 from dimflow.sources.tables import overwrite_table
@@ -108,6 +108,39 @@ def scd_type2_table(spark, sf_dir):
     return dim
 
 
+def _loaded(spark, sf_dir, scd_type, days, **options):
+    """The dimension after some days' loads by its type."""
+    name = fresh_name("customers")
+    spec = PipelineSpec(name, SourceSpec("csv", "unused"), f"staging.{name}", f"target.{name}_dim", scd_type, **options)
+    for day in range(days):
+        dim = apply_scd(overwrite_table(state(spark, sf_dir, day), spec.staging_table), spec, DAYS[day])
+    return dim
+
+
+@CHECKS.add(f"SELECT * FROM {_sql(0)} UNION ALL SELECT * FROM {_sql(1)} WHERE id NOT IN (SELECT id FROM {_sql(0)})")
+def scd_type0_table(spark, sf_dir):
+    return _loaded(spark, sf_dir, 0, 2)
+
+
+@CHECKS.add(f"SELECT {_ROWS} FROM {_sql(1)} UNION ALL "
+            f"SELECT {_ROWS} FROM {_sql(0)} WHERE id NOT IN (SELECT id FROM {_sql(1)})")
+def scd_type1_table(spark, sf_dir):
+    return _loaded(spark, sf_dir, 1, 2, load="merge")
+
+
+@CHECKS.add(f"SELECT {_ROWS} FROM {_sql(1)} UNION ALL "
+            f"SELECT {_ROWS} FROM {_sql(0)} WHERE id NOT IN (SELECT id FROM {_sql(1)})")
+def scd_type4_table(spark, sf_dir):
+    return _loaded(spark, sf_dir, 4, 2)
+
+
+@CHECKS.add(f"SELECT id, name, department, salary, DATE '2024-01-03' AS start_date, CAST(NULL AS DATE) AS end_date, "
+            f"true AS is_current, {_ROW} FROM {_sql(2)}")
+def scd_type2_reloaded(spark, sf_dir):
+    """Loads that start the history anew."""
+    return _loaded(spark, sf_dir, 2, 3, load="reload")
+
+
 @CHECKS.add("""
 WITH steps AS (
   SELECT user_id, event_type, ts, event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prior
@@ -138,6 +171,13 @@ def scd_type3(spark, sf_dir):
     return dim
 
 
+@CHECKS.add(f"""
+SELECT id, name, department, salary, prev_name, prev_department, prev_salary FROM {_sql(2)} LEFT JOIN ({_prev('name')}) USING (id)
+LEFT JOIN ({_prev('department')}) USING (id) LEFT JOIN ({_prev('salary')}) USING (id)""")
+def scd_type3_table(spark, sf_dir):
+    return _loaded(spark, sf_dir, 3, 3)
+
+
 def _type4(spark, sf_dir):
     dim = _stored(scd.scd1_reload(state(spark, sf_dir, 0), TRACKED))
     return scd.scd4(dim, state(spark, sf_dir, 1), KEYS, TRACKED, DAYS[1])
@@ -172,6 +212,9 @@ def scd_type6(spark, sf_dir):
     return dim
 
 
+CHECKS.append(Check("scd_type6_table", lambda spark, sf_dir: _loaded(spark, sf_dir, 6, 3), CHECKS[-1].sql))
+
+
 @CHECKS.add(f"""
 SELECT id, CASE WHEN o.seen IS NULL THEN 'new' WHEN n.seen IS NULL THEN 'absent'
        WHEN (o.name, o.department, o.salary) IS DISTINCT FROM (n.name, n.department, n.salary) THEN 'changed'

@@ -10,6 +10,7 @@ from checks.base import Checks, table
 from dimflow.functions import intents, text
 from dimflow.operators import contacts as people
 from dimflow.operators import facts, messages
+from dimflow.operators.skew import join_skewed
 from dimflow.sources.storage import checkpointed
 
 CHECKS = Checks()
@@ -20,14 +21,14 @@ DAY = "2024-01-30"
 _PARENTS = ("SELECT CAST(s_suppkey AS STRING) AS parent_id, s_name AS parent_name, "
             "concat('+', CAST(1000 + s_suppkey AS STRING)) AS phone_number FROM {supplier}")
 _MAP = "SELECT CAST(l_suppkey AS STRING) AS parent_id, CAST(l_partkey AS STRING) AS student_id FROM {lineitem}"
-_STUDENTS = ("SELECT CAST(p_partkey AS STRING) AS student_id, p_name AS student_name, CAST(p_size AS STRING) AS grade, "
-             "p_brand AS section FROM {part}")
+_STUDENTS = ("SELECT CAST(p_partkey AS STRING) AS student_id, CASE WHEN p_partkey % 31 <> 0 THEN p_name END AS student_name, "
+             "CAST(p_size AS STRING) AS grade, CASE WHEN p_partkey % 9 <> 0 THEN p_brand END AS section FROM {part}")
 _ATTENDANCE = ("SELECT CAST(user_id AS STRING) AS student_id, CAST(ts AS DATE) AS attendance_date, "
                "CASE WHEN event_type = 'view' THEN 'Present' ELSE 'Absent' END AS status FROM {events}")
 _HOMEWORK = ("SELECT CAST(user_id AS STRING) AS student_id, CAST(ts AS DATE) AS homework_date, event_type AS subject, "
-             "props AS status, event_id FROM {events}")
-_GRADES = ("SELECT CAST(l_partkey AS STRING) AS student_id, l_returnflag AS subject, CAST(l_quantity AS INT) AS score, "
-           "50 AS max_score FROM {lineitem}")
+             "CASE WHEN event_id % 7 <> 0 THEN props END AS status, event_id FROM {events}")
+_GRADES = ("SELECT CAST(l_partkey AS STRING) AS student_id, l_returnflag AS subject, "
+           "CASE WHEN l_linenumber <> 3 THEN CAST(l_quantity AS INT) END AS score, 50 AS max_score FROM {lineitem}")
 # a conversation is a sender, registered unless its number is a labelled document's, with a child per role that speaks
 _FAMILIES = ("SELECT DISTINCT CAST(conv_id AS STRING) AS parent_id, concat('Parent ', CAST(conv_id AS STRING)) AS parent_name, "
              "concat('+', CAST(1000 + conv_id AS STRING)) AS phone_number FROM {conversations} "
@@ -75,7 +76,8 @@ def contacts_lookup(spark, sf_dir):
 
 _MENU = """
 SELECT whatsapp_number, CAST(1 AS BIGINT) AS part, 'You have multiple children:' || chr(10) ||
-       string_agg(nr || '. ' || student_name || ' (' || grade || '-' || section || ')', chr(10) ORDER BY nr) AS menu
+       string_agg(nr || '. ' || coalesce(student_name, 'None') || ' (' || grade || '-' || coalesce(section, 'None') || ')',
+                  chr(10) ORDER BY nr) AS menu
 FROM (SELECT *, row_number() OVER (PARTITION BY whatsapp_number ORDER BY student_id) AS nr FROM ({0}))
 GROUP BY whatsapp_number HAVING count(*) > 1"""
 
@@ -91,13 +93,14 @@ SELECT s.student_id, coalesce(CAST(round_even(count(*) FILTER (WHERE status = 'P
 FROM {_sql(_STUDENTS)} s LEFT JOIN (SELECT * FROM {_sql(_ATTENDANCE)}
      WHERE attendance_date >= DATE '{DAY}' - 7) a ON s.student_id = a.student_id GROUP BY s.student_id"""
 _HW = f"""
-SELECT s.student_id, CAST(1 AS BIGINT) AS part, coalesce(string_agg('- ' || subject || ': ' || status, chr(10) ORDER BY event_id),
+SELECT s.student_id, CAST(1 AS BIGINT) AS part, coalesce(string_agg(CASE WHEN event_id IS NOT NULL
+       THEN '- ' || subject || ': ' || coalesce(status, 'None') END, chr(10) ORDER BY event_id),
        '📘 No homework assigned today.') AS homework
 FROM {_sql(_STUDENTS)} s LEFT JOIN (SELECT * FROM {_sql(_HOMEWORK)} WHERE homework_date = DATE '{DAY}') h
      ON s.student_id = h.student_id GROUP BY s.student_id"""
 _GR = f"""
 SELECT s.student_id, CAST(1 AS BIGINT) AS part, coalesce(string_agg(line, chr(10) ORDER BY line), '📊 No grades available.') AS grades
-FROM {_sql(_STUDENTS)} s LEFT JOIN (SELECT student_id, '- ' || subject || ': ' || score || '/' || max_score AS line
+FROM {_sql(_STUDENTS)} s LEFT JOIN (SELECT student_id, '- ' || subject || ': ' || coalesce(CAST(score AS VARCHAR), 'None') || '/' || max_score AS line
      FROM {_sql(_GRADES)}) g ON s.student_id = g.student_id GROUP BY s.student_id"""
 _DIGEST = f"""
 SELECT student_id, part, attendance_pct, homework, grades,
@@ -134,6 +137,15 @@ def weekly_digest(spark, sf_dir):
     return _digest(spark, sf_dir)
 
 
+@CHECKS.add(f"SELECT student_id, body FROM ({_DIGEST})")
+def weekly_digest_parts(spark, sf_dir):
+    """Parts of two lines, put together again: the same messages as whole ones."""
+    parts = facts.weekly_digest(*_facts(spark, sf_dir, _ATTENDANCE, _HOMEWORK, _GRADES), DAY, homework_order=("event_id",),
+                                unique=True, lines_per_part=2)
+    return parts.groupBy("student_id").agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("part", "body"))), lambda p: p["body"]), "\n").alias("body"))
+
+
 _PLAIN = """
 SELECT m.*, coalesce(n.children, 0) AS children, trim(lower(m.body)) AS text,
        CASE WHEN json_extract_string(model_reply, '$.intent') IN ('attendance', 'homework', 'grades', 'summary', 'fee',
@@ -175,6 +187,7 @@ def session_state(spark, sf_dir):
     return messages.session_state(incoming(spark, sf_dir), family_contacts(spark, sf_dir))
 
 
+# SQL spells the reply texts again, so that an altered one shows
 _GREETING = " || chr(10) || ".join(f"'{line}'" for line in (
     "Hello! 👋 You can ask:", "- How is my child doing?", "- Suggest improvement plan", "- Attendance this week",
     "- Homework", "- Grades"))
@@ -186,7 +199,7 @@ children AS (SELECT *, row_number() OVER (PARTITION BY whatsapp_number ORDER BY
 digest AS ({_DIGEST}), menus AS ({_MENU.format(_FAMILY)})
 SELECT s.from_number, s.seq, CAST(1 AS BIGINT) AS part, CASE
   WHEN turn = 'unregistered' THEN '❌ Your number is not registered with the school.'
-  WHEN turn = 'select' THEN '✅ Selected ' || c.student_name || '. How can I help?'
+  WHEN turn = 'select' THEN '✅ Selected ' || coalesce(c.student_name, 'None') || '. How can I help?'
   WHEN turn = 'menu' THEN m.menu
   WHEN intent = 'summary' THEN '⏳ Fetching detailed summary for you…'
   WHEN intent = 'improvement_plan' THEN '⏳ Creating an improvement plan…'
@@ -204,8 +217,47 @@ def route_reply(spark, sf_dir):
                                 checkpointed(people.menu_text(known)))
 
 
+# what the model answered: nothing, an empty text or a long one
+_MODEL_TEXTS = ("SELECT concat('whatsapp:+', CAST(1000 + conv_id AS STRING)) AS from_number, turn AS seq, CASE turn % 3 WHEN 0 "
+                "THEN repeat(concat(text, ' '), 3) WHEN 1 THEN '' END AS model_text FROM {conversations}")
+_PLAN_TEXT = " || chr(10) || ".join(f"'{line}'" for line in (
+    "Here are some general improvement suggestions:", "- Encourage regular attendance", "- Ensure homework is completed daily",
+    "- Spend time revising Maths and English", "- Communicate with the class teacher"))
+
+
+def _follow_ups(spark, sf_dir, intent):
+    known = checkpointed(family_contacts(spark, sf_dir))
+    states = checkpointed(messages.session_state(incoming(spark, sf_dir), known))
+    sent = messages.follow_ups(states, checkpointed(people.number_children(known)), checkpointed(_digest(spark, sf_dir)),
+                               checkpointed(_read(spark, sf_dir, _MODEL_TEXTS)))
+    return sent.filter(F.col("intent") == intent).drop("intent")
+
+
+@CHECKS.add(_STATE + f""",
+children AS (SELECT *, row_number() OVER (PARTITION BY whatsapp_number ORDER BY student_id) AS child FROM ({_FAMILY}))
+SELECT s.from_number, s.seq, CAST(1 AS BIGINT) AS part, CAST(1 AS INTEGER) AS piece, coalesce(nullif(t.model_text, ''), d.body) AS body
+FROM states s JOIN {_sql(_MODEL_TEXTS)} t ON t.from_number = s.from_number AND t.seq = s.seq
+LEFT JOIN children c ON c.whatsapp_number = replace(s.from_number, 'whatsapp:', '') AND c.child = s.child
+LEFT JOIN ({_DIGEST}) d ON d.student_id = c.student_id
+WHERE intent = 'summary' AND coalesce(nullif(t.model_text, ''), d.body) IS NOT NULL""")
+def summary_messages(spark, sf_dir):
+    """The model's summary whole, or the student's facts."""
+    return _follow_ups(spark, sf_dir, "summary")
+
+
+@CHECKS.add(_STATE + f"""
+SELECT from_number, seq, CAST(1 AS BIGINT) AS part, CAST(k.i // 1500 + 1 AS INTEGER) AS piece,
+       substr(body, CAST(k.i AS BIGINT) + 1, 1500) AS body
+FROM (SELECT s.from_number, s.seq, coalesce(nullif(t.model_text, ''), {_PLAN_TEXT}) AS body
+      FROM states s JOIN {_sql(_MODEL_TEXTS)} t ON t.from_number = s.from_number AND t.seq = s.seq
+      WHERE intent = 'improvement_plan'), unnest(range(0, length(body), 1500)) AS k(i)""")
+def plan_messages(spark, sf_dir):
+    """The model's plan or the standing one, in pieces."""
+    return _follow_ups(spark, sf_dir, "improvement_plan")
+
+
 @CHECKS.add(f"""
-SELECT p.phone_number AS "to", CAST(CASE WHEN b.body IS NULL THEN NULL ELSE k.i // 1500 + 1 END AS INTEGER) AS piece,
+SELECT student_id, part, p.phone_number AS "to", CAST(CASE WHEN b.body IS NULL THEN NULL ELSE k.i // 1500 + 1 END AS INTEGER) AS piece,
        substr(b.body, CAST(k.i AS BIGINT) + 1, 1500) AS body
 FROM (SELECT 'whatsapp:' || phone_number AS phone_number, parent_id FROM {_sql(_FAMILIES)}) p
 JOIN {_sql(_LINKS)} l USING (parent_id) JOIN ({_DIGEST}) b USING (student_id),
@@ -213,7 +265,10 @@ JOIN {_sql(_LINKS)} l USING (parent_id) JOIN ({_DIGEST}) b USING (student_id),
 def digest_messages(spark, sf_dir):
     """Every parent's weekly digests, cut into pieces and addressed."""
     known = family_contacts(spark, sf_dir).select("student_id", F.col("whatsapp_number").alias("to"))
-    return messages.outgoing(_digest(spark, sf_dir).join(known, "student_id").select("to", "body"), "to", "body")
+    bodies = _digest(spark, sf_dir).select("student_id", "part", "body")
+    # a child has few parents, so the links are the side with repeated keys
+    linked = join_skewed(known, checkpointed(bodies), ["student_id"])
+    return messages.outgoing(linked.select("student_id", "part", "to", "body"), "to", "body")
 
 
 @CHECKS.add("SELECT c_custkey, 'whatsapp:' || CAST(c_custkey AS VARCHAR) AS address, CAST(c_custkey AS VARCHAR) AS number FROM customer")

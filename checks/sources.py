@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.base import Checks, fresh_name, table
+from dimflow.operators import quality
 from dimflow.plans.pipeline import run_pipelines
 from dimflow.sources import readers, tables
 from dimflow.sources.storage import work_dir
@@ -134,6 +135,40 @@ def sink_export_dashboard(spark, sf_dir):
     return readers.read_csv(spark, path, schema="id BIGINT, name_masked STRING, department STRING")
 
 
+@CHECKS.add("""
+SELECT c_custkey * 3000000000 AS id, '****' AS name_masked, c_mktsegment AS department,
+       sha256('pepper' || CAST(CAST(trunc(c_acctbal * 10000) AS BIGINT) AS VARCHAR)) AS salary_hash, CAST('2024-01-31' AS DATE) AS start_date
+FROM customer""")
+def end_to_end_parquet(spark, sf_dir):
+    """A typed source read with a schema, 64-bit keys and a salted view."""
+    path = work_dir(spark, "typed")
+    table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey * 3000000000 AS id", "c_name AS name", "c_mktsegment AS department", "c_acctbal * 10000 AS salary",
+        "c_nationkey AS other").write.parquet(path)
+    name = fresh_name("typed")
+    spec = PipelineSpec(name, SourceSpec("parquet", path, schema="id BIGINT, name STRING, department STRING, salary DOUBLE"),
+                        f"staging.{name}", f"target.{name}_dim", key_type="bigint", int_type="bigint", hash_salt="pepper")
+    extract = run_pipelines(spark, [spec], work_dir(spark, "extracts"), "2024-01-31")[name]
+    return readers.read_csv(
+        spark, extract, schema="id BIGINT, name_masked STRING, department STRING, salary_hash STRING, start_date DATE")
+
+
+@CHECKS.add("SELECT r_regionkey, r_name FROM region")
+def src_preview(spark, sf_dir):
+    """More rows asked for than there are."""
+    return readers.preview(table(spark, sf_dir, "region"), 1000)
+
+
+@CHECKS.add("SELECT n_nationkey AS id, n_name AS name FROM nation WHERE n_nationkey % 3 <> 0")
+def quality_split_corrupt(spark, sf_dir):
+    path = work_dir(spark, "corrupt")
+    lines = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("{broken "), "n_name")).otherwise(
+        F.to_json(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))))
+    table(spark, sf_dir, "nation").select(lines.alias("value")).write.text(path)
+    raw = readers.read_json(spark, path, schema="id INT, name STRING, _corrupt_record STRING")
+    return quality.split_corrupt(raw)[0]
+
+
 @CHECKS.add("""
 SELECT CAST(c_custkey AS INTEGER) AS id, '****' AS name_masked, c_mktsegment AS department,
        sha256(CAST(CAST(floor(c_acctbal) AS INTEGER) AS VARCHAR)) AS salary_hash,

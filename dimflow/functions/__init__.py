@@ -1 +1 @@
-"""Column expressions: every function takes and returns Spark columns and stays inside code generation."""
+"""Column expressions: every function takes and returns Spark columns; none runs Python on rows."""

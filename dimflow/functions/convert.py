@@ -14,16 +14,19 @@ _WHOLE_PART = r"^[\x00-\x20\x7f]*([+-]?[0-9]*)(?:\.[0-9]*)?[\x00-\x20\x7f]*$"
 _FRACTION_ONLY = r"^[\x00-\x20\x7f]*[+-]?\.[0-9]*[\x00-\x20\x7f]*$"
 
 
-def cast_int_lenient(c: Column) -> Column:
-    """Text to INT: fractions are cut off, anything else that is no number in range becomes NULL."""
+def cast_int_lenient(c: Column, kind: str = "int", numeric: bool = False) -> Column:
+    """Text, or with ``numeric`` a number, to INT or BIGINT: fractions are cut off, anything else that is no number in
+    range becomes NULL."""
+    if numeric:
+        return c.try_cast(kind)
     whole = F.regexp_extract(c, _WHOLE_PART, 1)
     return (F.when(whole.isin("", "+", "-"), F.when(c.rlike(_FRACTION_ONLY), F.lit(0)))
-            .otherwise(whole.try_cast("int")))
+            .otherwise(whole.try_cast(kind)))
 
 
-def fill_null(c: Column, default: int) -> Column:
-    """NULL text to the default, other text to INT; malformed text becomes NULL, not the default."""
-    return F.when(c.isNull(), F.lit(default)).otherwise(cast_int_lenient(c))
+def fill_null(c: Column, default: int, kind: str = "int", numeric: bool = False) -> Column:
+    """NULL to the default, other values as :func:`cast_int_lenient`; malformed text becomes NULL, not the default."""
+    return F.when(c.isNull(), F.lit(default)).otherwise(cast_int_lenient(c, kind, numeric))
 
 
 def convert_date(c: Column, from_format: str, to_format: str) -> Column:

@@ -35,7 +35,8 @@ def create_secure_view(spark: SparkSession, spec: PipelineSpec) -> str:
         if c in spec.pii_columns:
             shown.append(f"'{MASK}' AS {quoted(f'{c}_masked')}")
         elif c in spec.sensitive_columns:
-            shown.append(f"sha2(CAST({quoted(c)} AS STRING), 256) AS {quoted(f'{c}_hash')}")
+            salt = "" if spec.hash_salt is None else spec.hash_salt.replace("\\", "\\\\").replace("'", "\\'")
+            shown.append(f"sha2(concat('{salt}', CAST({quoted(c)} AS STRING)), 256) AS {quoted(f'{c}_hash')}")
         else:
             shown.append(quoted(c))
     where = " WHERE is_current" if "is_current" in columns else ""

@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from dimflow.functions.convert import cast_int_lenient, fill_null
 from dimflow.functions.text import trim_initcap
@@ -20,13 +21,16 @@ def require_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def clean(df: DataFrame, spec: PipelineSpec) -> DataFrame:
-    """Names in title case, integers with defaults, a usable integer key: one projection and one filter."""
+    """Names in title case, integers with defaults, a usable key of the spec's type: one projection and one filter.
+
+    :func:`unusable_keys` has the rows the filter drops.
+    """
     def cleaned(name: str) -> Column:
-        c = F.col(f"`{name}`")
+        c, numeric = F.col(f"`{name}`"), isinstance(df.schema[name].dataType, NumericType)
         if name == spec.key:
-            return cast_int_lenient(c).alias(name)
+            return _key(df, spec).alias(name)
         if name in spec.int_defaults:
-            return fill_null(c, spec.int_defaults[name]).alias(name)
+            return fill_null(c, spec.int_defaults[name], spec.int_type, numeric).alias(name)
         return trim_initcap(c).alias(name) if name in spec.name_columns else c
 
     needed = {spec.key, *spec.name_columns, *spec.int_defaults, *spec.tracked}
@@ -35,6 +39,18 @@ def clean(df: DataFrame, spec: PipelineSpec) -> DataFrame:
     return require_key(df.select(*map(cleaned, df.columns)), spec.key)
 
 
+def _key(df: DataFrame, spec: PipelineSpec) -> Column:
+    c = F.col(f"`{spec.key}`")
+    if spec.key_type == "string":
+        return c.cast("string")
+    return cast_int_lenient(c, spec.key_type, isinstance(df.schema[spec.key].dataType, NumericType))
+
+
+def unusable_keys(df: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """The source rows that :func:`clean` drops, as they are: their key is NULL or not of the key's type."""
+    return df.filter(_key(df, spec).isNull())
+
+
 def handle_nulls(df: DataFrame, fill: Mapping[str, Any] | None = None, drop_any: Sequence[str] = (),
                  drop_all: Sequence[str] = ()) -> DataFrame:
     """Drop rows where any of ``drop_any``, or all of ``drop_all``, are NULL; then fill what is left."""

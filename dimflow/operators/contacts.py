@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.replies import MENU_HEADING
-from dimflow.functions.text import strip_address
+from dimflow.functions.text import render_prompt, strip_address
 from dimflow.operators.skew import HOT_ROWS, LINES_PER_PART, OrderedGroups, join_numbered, join_skewed
 
 
@@ -29,10 +29,10 @@ def number_children(found: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
 
 
 def menu_text(found: DataFrame, limit: int = HOT_ROWS, lines_per_part: int = LINES_PER_PART) -> DataFrame:
-    """``whatsapp_number, part, menu`` for numbers with more than one child."""
+    """``whatsapp_number, part, menu`` for numbers with more than one child. A NULL field reads ``None``."""
     numbered = number_children(found, limit)
-    entry = F.concat(F.col("child").cast("string"), F.lit(". "), "student_name", F.lit(" ("), "grade", F.lit("-"),
-                     "section", F.lit(")"))
+    entry = render_prompt("{child}. {student_name} ({grade}-{section})",
+                          **{c: F.col(c) for c in ("child", "student_name", "grade", "section")})
     lines = numbered.select("whatsapp_number", "child", entry.alias("line"))
     text = join_numbered(lines, ["whatsapp_number"], "child", "line", "menu", "\n", lines_per_part)
     first = F.concat_ws("\n", F.lit(MENU_HEADING), "menu")

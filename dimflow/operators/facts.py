@@ -40,8 +40,8 @@ def homework_text(students: DataFrame, homework: DataFrame, as_of: str | None =
                   order: Sequence[str] = ("line",), unique: bool = False, limit: int = HOT_ROWS,
                   lines_per_part: int = LINES_PER_PART) -> DataFrame:
     """``student_id, part, homework``: a line per homework of the date, or the sentence for none. ``unique`` says that
-    the order columns are unique per student."""
-    line = F.concat(F.lit("- "), "subject", F.lit(": "), "status").alias("line")
+    the order columns are unique per student. A NULL field reads ``None``."""
+    line = render_prompt("- {subject}: {status}", subject=F.col("subject"), status=F.col("status")).alias("line")
     lines = (homework.filter(F.col("homework_date") == load_date(as_of))
              .select("student_id", *[c for c in order if c != "line"], line))
     return _text_or(students, lines, order, "homework", NO_HOMEWORK, limit, lines_per_part, unique)
@@ -49,9 +49,9 @@ def homework_text(students: DataFrame, homework: DataFrame, as_of: str | None =
 
 def grades_text(students: DataFrame, grades: DataFrame, order: Sequence[str] = ("line",), unique: bool = False,
                 limit: int = HOT_ROWS, lines_per_part: int = LINES_PER_PART) -> DataFrame:
-    """``student_id, part, grades``: a line per grade, or the sentence for none."""
-    score, top = F.col("score").cast("string"), F.col("max_score").cast("string")
-    line = F.concat(F.lit("- "), "subject", F.lit(": "), score, F.lit("/"), top).alias("line")
+    """``student_id, part, grades``: a line per grade, or the sentence for none. A NULL field reads ``None``."""
+    line = render_prompt("- {subject}: {score}/{max_score}", subject=F.col("subject"), score=F.col("score"),
+                         max_score=F.col("max_score")).alias("line")
     lines = grades.select("student_id", *[c for c in order if c != "line"], line)
     return _text_or(students, lines, order, "grades", NO_GRADES, limit, lines_per_part, unique)
 
@@ -62,13 +62,29 @@ def weekly_digest(students: DataFrame, attendance: DataFrame, homework: DataFram
                   lines_per_part: int = LINES_PER_PART) -> DataFrame:
     """``student_id, part, attendance_pct, homework, grades, body``: the week's facts and the message made of them.
 
-    Part 1 exists for every student and is the whole message unless a text needs more parts. The joins are by student
-    and part, so the parts of one long text spread over tasks. ``unique`` is about the homework order.
+    ``homework`` and ``grades`` are the parts of either text. The bodies of a student's parts, joined by line breaks in
+    the order of ``part``, are the message: the heading, all homework, then all grades; the first part of the grades
+    shares a body with the last of the homework. Texts of up to ``lines_per_part`` lines have one part, and so has their
+    message. Only part 1 has the attendance. ``unique`` is about the homework order.
     """
     works = homework_text(students, homework, as_of, homework_order, unique, limit, lines_per_part)
     marks = grades_text(students, grades, grades_order, False, limit, lines_per_part)
-    present = attendance_pct(students, attendance, as_of, days).withColumn("part", F.lit(1).cast("long"))
-    facts = works.join(marks, ["student_id", "part"], "full_outer").join(present, ["student_id", "part"], "left")
-    heading = render_prompt(DIGEST_HEADING, attendance=F.col("attendance_pct"))
-    texts = F.concat_ws("\n", F.when(F.col("part") == 1, heading), "homework", "grades")
-    return facts.select("student_id", "part", "attendance_pct", "homework", "grades", texts.alias("body"))
+    present = attendance_pct(students, attendance, as_of, days)
+    none = F.lit(None).cast("string")
+    more = works.filter("part > 1").groupBy("student_id").agg((F.max("part") - 1).alias("_shift"))
+    one = F.lit(1).cast("long")
+    rows = works.select("student_id", "part", F.lit(None).cast("double").alias("attendance_pct"), "homework",
+                        none.alias("grades"), F.col("homework").alias("_first"), none.alias("_second"))
+    rows = rows.unionByName(marks.select("student_id", "part", F.lit(None).cast("double").alias("attendance_pct"),
+                                         none.alias("homework"), "grades", none.alias("_first"), none.alias("_second")))
+    shifted = F.col("part") + F.coalesce("_shift", F.lit(0))
+    rows = rows.unionByName(marks.join(more, "student_id", "left").select(
+        "student_id", shifted.alias("part"), F.lit(None).cast("double").alias("attendance_pct"), none.alias("homework"),
+        none.alias("grades"), none.alias("_first"), F.col("grades").alias("_second")))
+    rows = rows.unionByName(present.select("student_id", one.alias("part"), "attendance_pct", none.alias("homework"),
+                                           none.alias("grades"), none.alias("_first"), none.alias("_second")))
+    # at most four rows for each student and part
+    whole = rows.groupBy("student_id", "part").agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns[2:]])
+    heading = F.when(F.col("part") == 1, render_prompt(DIGEST_HEADING, attendance=F.col("attendance_pct")))
+    return whole.select("student_id", "part", "attendance_pct", "homework", "grades",
+                        F.concat_ws("\n", heading, "_first", "_second").alias("body"))

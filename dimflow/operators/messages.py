@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from dimflow.functions import replies
 from dimflow.functions.intents import parse_intent
-from dimflow.functions.text import MESSAGE_LIMIT, normalize_address, normalize_text, split_text, strip_address
+from dimflow.functions.text import (MESSAGE_LIMIT, normalize_address, normalize_text, split_text, strip_address,
+                                    with_default)
 from dimflow.operators.skew import HOT_ROWS, OrderedGroups, join_skewed
 
 # Fixed values
@@ -92,7 +93,7 @@ def route_reply(states: DataFrame, numbered: DataFrame, facts: DataFrame, menus:
     told = facts.select(F.col("student_id").alias("_student"), "part", "attendance_pct", "homework", "grades")
     joined = join_skewed(spread, told, ["_student", "part"], "left", limit)
     text = (F.when(F.col("turn") == "unregistered", replies.NOT_REGISTERED)
-            .when(F.col("turn") == "select", F.replace(F.lit(replies.SELECTED), F.lit("{name}"), F.col("student_name")))
+            .when(F.col("turn") == "select", F.replace(F.lit(replies.SELECTED), F.lit("{name}"), F.coalesce("student_name", F.lit("None"))))
             .when(F.col("intent") == "summary", replies.SUMMARY_STARTED)
             .when(F.col("intent") == PLAN, replies.PLAN_STARTED)
             .when(F.col("intent") == "attendance",
@@ -111,6 +112,34 @@ def route_reply(states: DataFrame, numbered: DataFrame, facts: DataFrame, menus:
     return direct.unionByName(shown.select("from_number", "seq", "part", "reply"))
 
 
+def follow_ups(states: DataFrame, numbered: DataFrame, bodies: DataFrame, model_texts: DataFrame,
+               limit: int = HOT_ROWS) -> DataFrame:
+    """``from_number, seq, intent, part, piece, body``: what is sent after the reply to a summary or plan turn.
+
+    ``model_texts`` holds ``from_number, seq, model_text``. A summary is the model's text whole, or without one the
+    student's weekly message, as many rows as ``bodies`` (``student_id, part, body``) has parts. A plan is the model's
+    text, or the standing suggestions, cut into pieces. Pass stored tables: they are measured before they are joined.
+    """
+    turns = states.filter(F.col("intent").isin("summary", PLAN)).select("from_number", "seq", "child", "intent")
+    turns = turns.join(model_texts.select("from_number", "seq", F.nullif("model_text", F.lit("")).alias("_text")),
+                       ["from_number", "seq"], "left")
+    plan = F.col("intent") == PLAN
+    told = turns.filter(plan | F.col("_text").isNotNull())
+    text = with_default(F.col("_text"), replies.DEFAULT_PLAN)
+    pieces = F.when(plan, split_text(text)).otherwise(F.array(text))
+    one = F.lit(1).cast("long")
+    direct = told.select("from_number", "seq", "intent", one.alias("part"), F.posexplode(pieces).alias("_at", "body")).select(
+        "from_number", "seq", "intent", "part", (F.col("_at") + 1).alias("piece"), "body")
+    keyed = turns.filter(~plan & F.col("_text").isNull()).withColumn("_phone", strip_address(F.col("from_number")))
+    pupils = numbered.select(F.col("whatsapp_number").alias("_phone"), "child", "student_id")
+    asked = join_skewed(keyed, pupils, ["_phone", "child"], "inner", limit).select("from_number", "seq", "intent", "student_id")
+    lengths = bodies.groupBy("student_id").agg(F.max("part").alias("_parts"))
+    spread = (join_skewed(asked, lengths, ["student_id"], "inner", limit)
+              .withColumn("part", F.explode(F.sequence(one, F.col("_parts")))))
+    facts = join_skewed(spread, bodies.select("student_id", "part", "body"), ["student_id", "part"], "inner", limit)
+    return direct.unionByName(facts.select("from_number", "seq", "intent", "part", F.lit(1).alias("piece"), "body"))
+
+
 def outgoing(messages: DataFrame, number: str, text: str, limit: int = MESSAGE_LIMIT) -> DataFrame:
     """The rows to send: each text cut into numbered pieces, addressed to its number."""
     kept = [c for c in messages.columns if c != text]

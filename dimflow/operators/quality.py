@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.operators.skew import BROADCAST_BYTES, HOT_ROWS, join_skewed
+from dimflow.operators.skew import BROADCAST_BYTES, HOT_ROWS, byte_size, join_skewed
 from dimflow.sources.storage import checkpointed
 
 VIOLATIONS = "violations"
@@ -85,14 +85,17 @@ def _failure_flags(df: DataFrame, rules: Sequence[Rule], limit: int,
             mark, key, counts = f"_mark{i}", F.col(rule.column), None
             if rule.kind == "unique":
                 # counting combines per task first; only the repeated values, kept on disk, come back to the rows
-                counts = checkpointed(base.filter(key.isNotNull()).groupBy(rule.column)
-                                      .agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1"))
-                found = counts.select(rule.column, F.lit(True).alias(mark))
+                counts = checkpointed(base.groupBy(rule.column).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1"))
+                # NULL is repeated too, and may be hot, but breaks no rule
+                found = counts.filter(key.isNotNull()).select(rule.column, F.lit(True).alias(mark))
                 failure = F.col(mark).isNotNull()
             else:
                 found = (rule.parent.select(F.col(rule.parent_key).alias(rule.column)).distinct()
                          .withColumn(mark, F.lit(True)))
                 failure = key.isNotNull() & F.col(mark).isNull()
+                # joins add no rows, so keys counted on the input hold for the rows joined so far
+                if byte_size(found) > broadcast_bytes:
+                    counts = base.groupBy(rule.column).agg(F.count(F.lit(1)).alias("_rows"))
             df = join_skewed(df, found, [rule.column], "left", limit, broadcast_bytes, counts)
         flags.append(F.coalesce(failure, F.lit(False)))
     return df, flags

@@ -1,8 +1,8 @@
 """Joins and ordered windows that hold when one key owns a large share of the rows.
 
 Keys are counted first (partial aggregation, so a hot key shuffles as one small row per task). Without hot keys the
-plain Spark join or window runs. Hot keys are few: at most ``MAX_HOT_KEYS`` are taken, heaviest first, and a key left
-out then holds less than 1/``MAX_HOT_KEYS`` of the rows, an ordinary task's share.
+plain Spark join or window runs. There are at most rows / limit hot keys; they are kept as a stored table, measured, and
+broadcast only when that is small enough.
 """
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ from pyspark.sql import types as T
 from dimflow.sources.storage import checkpointed
 
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 10_000
-MAX_PIECES = 20_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 LINES_PER_PART = 100_000
 
@@ -30,20 +28,25 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame | None:
-    """The keys with more than ``limit`` rows and their ``_rows``, or None. Bounded, so it may be broadcast."""
+    """The keys with more than ``limit`` rows and their ``_rows``, stored, or None."""
     return heaviest(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), limit)
 
 
 def heaviest(counts: DataFrame, limit: int = HOT_ROWS) -> DataFrame | None:
     """:func:`hot_keys` from keys already counted in ``_rows``."""
-    found = counts.filter(F.col("_rows") > limit).orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS).collect()
-    return counts.sparkSession.createDataFrame(found, counts.schema) if found else None
+    found = checkpointed(counts.filter(F.col("_rows") > limit))
+    return None if found.isEmpty() else found
+
+
+def _when_small(df: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if it measures at most ``BROADCAST_BYTES``."""
+    return F.broadcast(df) if byte_size(df) <= BROADCAST_BYTES else df
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of other keys, rows of hot keys); NULL counts as a key."""
     names = [f"_hot{i}" for i in range(len(keys))]
-    small = F.broadcast(hot.select([F.col(k).alias(n) for k, n in zip(keys, names)]))
+    small = _when_small(hot.select([F.col(k).alias(n) for k, n in zip(keys, names)]))
     condition = _same(keys, names)
     return df.join(small, condition, "left_anti"), df.join(small, condition, "left_semi")
 
@@ -86,7 +89,7 @@ def _join_by_size(fact: DataFrame, dim: DataFrame, on: list[str], how: str, limi
     if hot is None:
         return fact.join(dim, on, how)
     cold_rows, hot_rows = split_hot(fact, on, hot)
-    hot_dim = dim.join(F.broadcast(hot.select(*on)), on, "left_semi")
+    hot_dim = dim.join(_when_small(hot.select(*on)), on, "left_semi")
     if byte_size(hot_dim) <= broadcast_bytes:
         joined = hot_rows.join(F.broadcast(hot_dim), on, how)
     else:
@@ -101,10 +104,11 @@ def _join_salted(hot_rows: DataFrame, hot_dim: DataFrame, on: list[str], how: st
     salts = hot.select(*[F.col(k).alias(n) for k, n in zip(on, names)],
                        F.ceil(F.col("_rows") / limit).cast("long").alias("_salts"))
     # from stored rows: a salt must not change when a lost task is repeated
-    salted = (checkpointed(hot_rows).join(F.broadcast(salts), _same(on, names))
+    salts = _when_small(salts)
+    salted = (checkpointed(hot_rows).join(salts, _same(on, names))
               .withColumn("_salt", F.monotonically_increasing_id() % F.col("_salts")).drop(*names, "_salts"))
     every = F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)
-    copies = (hot_dim.join(F.broadcast(salts), _same(on, names))
+    copies = (hot_dim.join(salts, _same(on, names))
               .withColumn("_salt", F.explode(every)).drop(*names, "_salts"))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
@@ -115,7 +119,7 @@ class OrderedGroups:
 
     The rows of hot keys are range-partitioned by (key, order), so that a hot key spans many partitions, and each
     partition becomes one piece of its key. Windows run per (key, piece); what crosses a border between pieces is
-    carried over from one summary row per piece, of which there are at most ``MAX_PIECES`` + ``MAX_HOT_KEYS``.
+    carried over from one summary row per piece, of which there are about two for each ``limit`` rows of hot keys.
     """
 
     df: DataFrame
@@ -134,7 +138,7 @@ class OrderedGroups:
             return OrderedGroups(df, keys, order, False)
         cold_rows, hot_rows = split_hot(df, keys, hot)
         rows = hot.agg(F.sum("_rows")).first()[0]
-        pieces = min(MAX_PIECES, 2 * math.ceil(rows / limit))
+        pieces = 2 * math.ceil(rows / limit)
         if not unique:
             hot_rows = checkpointed(hot_rows).withColumn("_tie", F.monotonically_increasing_id())
             cold_rows = cold_rows.withColumn("_tie", F.lit(0).cast("long"))
@@ -161,7 +165,7 @@ class OrderedGroups:
         pieces = (self.df.filter(F.col("_piece") >= 0).groupBy(*self.keys, "_piece").agg(summary.alias("_sum"))
                   .select(*self.keys, "_piece", across.alias(name)))
         names = {k: f"_key{i}" for i, k in enumerate((*self.keys, "_piece"))}
-        small = F.broadcast(pieces.withColumnsRenamed(names))
+        small = _when_small(checkpointed(pieces.withColumnsRenamed(names)))
         return self.df.join(small, _same(list(names), list(names.values())), "left").drop(*names.values())
 
     def _between_pieces(self):

@@ -22,14 +22,18 @@ def loads_table(table: str) -> str:
     return f"{table}__loads"
 
 
-def load_number(spark: SparkSession, table: str) -> int:
-    """The number of the load the dimension shows, 0 before the first."""
+def _number(spark: SparkSession, table: str, name: str) -> int:
     if not spark.catalog.tableExists(table):
         return 0
-    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter("key = 'dimflow.load'").first()
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == f"dimflow.{name}").first()
     return int(found["value"]) if found else 0
 
 
+def load_number(spark: SparkSession, table: str) -> int:
+    """The number of the load the dimension shows, 0 before the first."""
+    return _number(spark, table, "load")
+
+
 def current_rows(spark: SparkSession, table: str) -> DataFrame:
     """The rows a merge starts from: current versions where there are versions, else all."""
     shown = spark.table(table)
@@ -53,8 +57,8 @@ def _clear(rows: DataFrame, loads: str, partition: str) -> None:
     spark.sql(f"ALTER TABLE {loads} DROP IF EXISTS PARTITION ({partition})")
 
 
-def _select(loads: str, columns: list[str], number: int, key: str | None, newest: Sequence[str]) -> str:
-    """The query behind the dimension after load ``number``.
+def _select(loads: str, columns: list[str], number: int, key: str | None, newest: Sequence[str], first: int = 1) -> str:
+    """The query behind the dimension after load ``number``, with versions closed since load ``first``.
 
     The flag is shown as a literal per branch, so that a reader of current rows never plans the closed ones.
     """
@@ -64,7 +68,7 @@ def _select(loads: str, columns: list[str], number: int, key: str | None, newest
     if "is_current" not in columns:
         return f"SELECT {listed('')} FROM {loads} WHERE load = {number}"
     current = f"FROM {loads} WHERE load = {number} AND is_current"
-    closed = f"SELECT {listed('false')} FROM {loads} WHERE load <= {number} AND NOT is_current"
+    closed = f"SELECT {listed('false')} FROM {loads} WHERE load BETWEEN {first} AND {number} AND NOT is_current"
     if newest:
         fresh = {f"current_{c}": f"n.{quoted(c)} AS {quoted(f'current_{c}')}" for c in newest}
         names = ", ".join(fresh.get(c, f"c.{quoted(c)}") for c in columns)
@@ -74,8 +78,9 @@ def _select(loads: str, columns: list[str], number: int, key: str | None, newest
     return f"SELECT {listed('true')} {current} UNION ALL {closed}"
 
 
-def publish(rows: DataFrame, table: str, key: str | None = None, newest: Sequence[str] = ()) -> int:
-    """Write a load and show it. ``rows`` are the current rows and, with versions, those this load closed.
+def publish(rows: DataFrame, table: str, key: str | None = None, newest: Sequence[str] = (), afresh: bool = False) -> int:
+    """Write a load and show it. ``rows`` are the current rows and, with versions, those this load closed. ``afresh``
+    leaves out the versions closed by earlier loads, from the moment the view is replaced.
 
     For the columns in ``newest`` closed versions show in ``current_<c>`` what the key's current version holds; that
     is joined on when read, so a load need not rewrite history for it.
@@ -94,8 +99,9 @@ def publish(rows: DataFrame, table: str, key: str | None = None, newest: Sequenc
             for flag in FLAGS if versioned else ("",):
                 _clear(rows, loads, f"load={number}" + (f", is_current={flag}" if flag else ""))
         stored.mode("append").saveAsTable(loads)
-    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('dimflow.load' = '{number}') AS "
-              + _select(loads, rows.columns, number, key, newest))
+    first = number if afresh else _number(spark, table, "first") or 1
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('dimflow.load' = '{number}', 'dimflow.first' = '{first}') AS "
+              + _select(loads, rows.columns, number, key, newest, first))
     # readers of the previous state may still be running; the one before has been replaced for a whole load
     if number > 2:
         _clear(rows, loads, f"load={number - 2}" + (", is_current=true" if versioned else ""))

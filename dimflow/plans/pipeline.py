@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dimflow.operators import scd
 from dimflow.operators.access import create_secure_view
 from dimflow.operators.cleaning import clean, dedup_latest
-from dimflow.plans.dimension_table import current_rows, load_number, publish, reset
+from dimflow.plans.dimension_table import current_rows, load_number, publish
 from dimflow.sources.readers import read_source
 from dimflow.sources.tables import ensure_database, export_csv, overwrite_table
 from dimflow.spec import PipelineSpec, check_specs
@@ -41,8 +41,6 @@ def apply_scd(staged: DataFrame, spec: PipelineSpec, as_of: str | None = None) -
     spark, table, keys, tracked = staged.sparkSession, spec.target_table, [spec.key], list(spec.tracked)
     if spec.merges:
         _require_one_row_per_key(staged, spec)
-    elif spec.scd_type in (2, 6):
-        reset(spark, table)
     first = not spec.merges or load_number(spark, table) == 0
     current = None if first else current_rows(spark, table)
     match spec.scd_type:
@@ -63,7 +61,8 @@ def apply_scd(staged: DataFrame, spec: PipelineSpec, as_of: str | None = None) -
         case 6:
             rows = (scd.scd6_initial(staged, tracked, as_of) if first
                     else scd.scd6_changes(current, staged, keys, tracked, as_of))
-    publish(rows, table, spec.key, tracked if spec.scd_type == 6 else ())
+    # a reload replaces what is there in the step that shows it
+    publish(rows, table, spec.key, tracked if spec.scd_type == 6 else (), afresh=not spec.merges)
     return spark.table(table)
 
 

@@ -26,9 +26,9 @@ def read_csv(spark: SparkSession, path: str, header: bool = True, schema: Schema
     return read_delimited(spark, path, ",", header, schema, **options)
 
 
-def read_text(spark: SparkSession, path: str) -> DataFrame:
+def read_text(spark: SparkSession, path: str, **options: Any) -> DataFrame:
     """One row per line in a single ``value`` column."""
-    return spark.read.text(path)
+    return spark.read.options(**options).text(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: Schema = None, **options: Any) -> DataFrame:
@@ -55,6 +55,13 @@ def read_sql(spark: SparkSession, text: str, args: Mapping[str, Any] | None = No
     return spark.sql(text, args=dict(args or {}))
 
 
+def as_schema(df: DataFrame, schema: StructType | str) -> DataFrame:
+    """The columns a schema names, by name and cast to its types; a column the data lacks is an error. Columnar files
+    have types of their own, which readers do not change."""
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields])
+
+
 def read_source(spark: SparkSession, source: SourceSpec) -> DataFrame:
     """Read what a pipeline names, by its file type."""
     options, schema = dict(source.options), source.schema
@@ -65,7 +72,7 @@ def read_source(spark: SparkSession, source: SourceSpec) -> DataFrame:
             return read_delimited(spark, source.path, sep="\t", schema=schema, **options)
         case "txt":
             return (read_delimited(spark, source.path, schema=schema, **options) if "sep" in options
-                    else read_text(spark, source.path))
+                    else read_text(spark, source.path, **options))
         case "json":
             return read_json(spark, source.path, schema=schema, **options)
         case "xml":
@@ -73,7 +80,8 @@ def read_source(spark: SparkSession, source: SourceSpec) -> DataFrame:
         case "sql":
             return read_sql(spark, source.path, options)
         case "parquet" | "orc" | "avro" as name:
-            return spark.read.format(name).options(**options).load(source.path)
+            rows = spark.read.format(name).options(**options).load(source.path)
+            return rows if schema is None else as_schema(rows, schema)
         case other:
             raise ValueError(f"unknown file type {other!r}")
 

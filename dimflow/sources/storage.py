@@ -2,28 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting; it gets a temporary folder once and keeps it. On a cluster a
-    machine-local folder would be lost with its machine, so the missing setting is an error there.
-    """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if root is None:
-        root = getattr(context, "_dimflow_root", None)
-    if root is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="dimflow-")
-        context._dimflow_root = root
-    return root.rstrip("/")
+    """The folder named by ``spark.checkpoint.dir``, or else one in the warehouse, which executors share as well."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared").rstrip("/")
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

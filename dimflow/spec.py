@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from typing import Any
 
 try:
@@ -42,6 +42,9 @@ class PipelineSpec:
     sensitive_columns: tuple[str, ...] = ("salary",)
     dedup_order: tuple[str, ...] = ()
     load: str | None = None
+    key_type: str = "int"
+    int_type: str = "int"
+    hash_salt: str | None = None
 
     @property
     def merges(self) -> bool:
@@ -79,6 +82,8 @@ class PipelineSpec:
             found.append(f"{self.pipeline_name}: unsupported SCD type {self.scd_type!r}")
         if self.load not in (None, "merge", "reload"):
             found.append(f"{self.pipeline_name}: load must be merge or reload, got {self.load!r}")
+        if self.key_type not in ("int", "bigint", "string") or self.int_type not in ("int", "bigint"):
+            found.append(f"{self.pipeline_name}: unsupported key or integer type {self.key_type!r}, {self.int_type!r}")
         if self.key in self.tracked:
             found.append(f"{self.pipeline_name}: the key cannot be tracked")
         return found
@@ -110,3 +115,9 @@ def parse_specs(text: str) -> list[PipelineSpec]:
 def load_specs(spark, path: str) -> list[PipelineSpec]:
     """Specs from one small file on any path Spark can read."""
     return parse_specs(spark.read.text(path, wholetext=True).first()[0])
+
+
+def save_specs(spark, specs: Iterable[PipelineSpec], path: str) -> None:
+    """Write the checked specs as one JSON file that :func:`load_specs` reads, in place of what is at ``path``."""
+    text = json.dumps({"pipelines": [asdict(s) for s in check_specs(specs)]}, default=dict)
+    spark.createDataFrame([(text,)], "value STRING").coalesce(1).write.mode("overwrite").text(path)
