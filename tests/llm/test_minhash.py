@@ -1,0 +1,62 @@
+import pytest
+
+from dimflow.llm import minhash
+from tests.llm.data import documents, empty, frame
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    n = min(5, len(words))
+    return frozenset(tuple(words[i:i + n]) for i in range(len(words) - n + 1)) if words else frozenset()
+
+
+def groups(rows, percent=85):
+    """Brute force: the smallest doc_id that links reach, by row."""
+    sets = [shingles(r[1]) for r in rows]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                up[root(i)] = root(j)
+    first = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            first[root(i)] = min(first.get(root(i), r[0]), r[0])
+    return [(r[0], len(sets[i]), first.get(root(i)) if sets[i] else r[0]) for i, r in enumerate(rows)]
+
+
+key = lambda r: tuple((x is None, x) for x in r)
+
+
+@pytest.mark.parametrize("nodes", [3, 400])
+def test_groups_as_by_brute_force(spark, monkeypatch, nodes):
+    monkeypatch.setattr(minhash, "BLOCK_NODES", nodes)  # few: clusters are cut into blocks
+    rows = documents() + [(1000 + i, documents(2)[i][1], *[None] * 6) for i in range(20)]
+    found = [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(frame(spark, rows)).collect()]
+    assert sorted((r[:3] for r in found), key=key) == sorted(groups(rows), key=key)
+    assert all(kept == (a == c) for a, _, c, kept in found)
+
+
+def test_stage_keeps_one_of_each_group(spark):
+    docs = frame(spark)
+    left = minhash.without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    want = sorted((r[0] for r in {(a, c) for a, _, c in groups(documents())} if r[0] == r[1]), key=lambda x: (x is None, x))
+    assert sorted({r.doc_id for r in left.collect()}, key=lambda x: (x is None, x)) == want
+
+
+def test_empty_table(spark):
+    assert minhash.near_duplicates(empty(spark)).count() == 0 and minhash.without_near_duplicates(empty(spark)).count() == 0
+
+
+def test_posterior_bounds_rise_and_spare_similar_pairs():
+    least = minhash.least_matches(85, 1e-7)
+    assert list(least.values()) == sorted(least.values()) and all(0 < m < n for n, m in least.items())
+    assert least[minhash.HASHES] < 0.85 * minhash.HASHES
