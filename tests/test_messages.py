@@ -111,7 +111,17 @@ def test_digest(spark):
     assert found["s+22"].grades == "- Art: 9/10\n- Art: 9/10" and len(found) == 3
     parts = sorted((r.part, r.body) for r in facts.weekly_digest(*school(spark), "2024-03-08", limit=1, lines_per_part=1)
                    .filter("student_id = 's+11'").collect())
-    assert parts == [(1, "Attendance: 75.0%\n- Art: Open\n- Maths: 38/50"), (2, "- Maths: Done")]
+    assert parts == [(1, "Attendance: 75.0%\n- Art: Open"), (2, "- Maths: Done\n- Maths: 38/50")]
+    assert "\n".join(body for _, body in parts) == found["s+11"].body
+
+
+def test_null_fields_are_told(spark):
+    students, attendance, homework, grades = school(spark)
+    grades = grades.unionByName(spark.createDataFrame([("s+21", "Maths", None, 100)], grades.schema))
+    homework = homework.unionByName(homework.filter("subject = 'Music'").selectExpr(
+        "'s+22' AS student_id", "DATE '2024-03-08' AS homework_date", "subject", "CAST(NULL AS STRING) AS status"))
+    found = {r.student_id: r for r in facts.weekly_digest(students, attendance, homework, grades, "2024-03-08").collect()}
+    assert found["s+21"].grades == "- Maths: None/100" and found["s+22"].homework == "- Music: None" and len(found) == 3
 
 
 def test_rounding_is_half_even(spark):
