@@ -10,6 +10,7 @@ from dimflow.functions.intents import parse_intent
 from dimflow.functions.text import (MESSAGE_LIMIT, normalize_address, normalize_text, split_text, strip_address,
                                     with_default)
 from dimflow.operators.skew import HOT_ROWS, OrderedGroups, join_skewed
+from dimflow.sources.storage import checkpointed
 
 # Fixed values
 PLAN = "improvement_plan"
@@ -74,10 +75,10 @@ def route_reply(states: DataFrame, numbered: DataFrame, facts: DataFrame, menus:
                 limit: int = HOT_ROWS) -> DataFrame:
     """``from_number, seq, part, reply`` from session states, numbered contacts, digest facts and menu texts.
 
-    Replies are one part, but for menus and texts that have more. The three tables are measured before they are joined,
-    so pass stored (or checkpointed) ones rather than plans still to be computed.
+    Replies are one part, but for menus and texts that have more. The states are stored here, once; the other three
+    tables are measured before they are joined, so pass stored ones rather than plans still to be computed.
     """
-    keyed = states.withColumn("_phone", strip_address(F.col("from_number")))
+    keyed = checkpointed(states.withColumn("_phone", strip_address(F.col("from_number"))))
     pupils = numbered.select(F.col("whatsapp_number").alias("_phone"), "child", "student_id", "student_name")
     asked = join_skewed(keyed.filter(F.col("turn") != "menu"), pupils, ["_phone", "child"], "left", limit)
     # how many parts each wanted text has, then every part by its own key

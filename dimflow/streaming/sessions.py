@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from dimflow.operators.messages import PLAN, PLAN_WORD, choice, families, readable, with_children
+from dimflow.sources.storage import checkpointed
+
+# the state handler travels to the workers by value, so they need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OUTPUT = "from_number STRING, seq BIGINT, turn STRING, child BIGINT, after_summary BOOLEAN, intent STRING"
 _STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -66,8 +72,12 @@ def message_stream(spark: SparkSession, path: str, schema: Any, max_bytes: int =
 
 
 def session_state_stream(messages: DataFrame, contacts: DataFrame) -> DataFrame:
-    """The streaming form of ``operators.messages.session_state``; contacts are a static table."""
-    joined = readable(messages).join(families(contacts), "_phone", "left")
+    """The streaming form of ``operators.messages.session_state``; contacts are a static table, counted once.
+
+    Messages are taken in the order of ``seq`` within a micro-batch and of arrival across micro-batches: one that comes
+    after a later one of its sender in another micro-batch meets the state that one left.
+    """
+    joined = readable(messages).join(checkpointed(families(contacts)), "_phone", "left")
     rows = with_children(joined)
     rows = rows.withColumn("pick", choice())
     return rows.groupBy("from_number").transformWithStateInPandas(
