@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.sources.storage import work_dir
@@ -65,3 +65,9 @@ def discard(df: DataFrame) -> None:
     for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(file)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def sampled(wanted: int, total: int) -> Column:
+    """Holds for some nine tenths of ``wanted`` of ``total`` rows, by the hash of their text; for all if they are fewer."""
+    share = 1.0 if total <= wanted else 0.9 * wanted / total
+    return F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))

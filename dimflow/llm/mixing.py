@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import stored
+from dimflow.llm.common import sampled, stored
 from dimflow.llm.sketch import sketch
 from dimflow.llm.words import chunks, find_words, mix
 
@@ -70,7 +70,7 @@ class Classifier:
 def learn(labelled: DataFrame, domains: Sequence[str], fit_rows: int = FIT_ROWS) -> Classifier:
     """A classifier from rows (text, domain); domains not asked for are left out. Copies would make any word of theirs look
     telling, so of rows with the same domain and sketch one is taken. Counts cover all such rows; only the sharpness is
-    fitted on a sample, the ``fit_rows`` rows with the smallest hashes. Without rows posteriors are even."""
+    fitted on a sample of at most ``fit_rows`` rows, chosen by hash. Without rows posteriors are even."""
     domains = tuple(domains)
     labelled = stored(labelled.filter(F.col("domain").isin(*domains)).select("text", "domain", sketch("text").alias("_sketch"))
                       .dropDuplicates(["domain", "_sketch"]).drop("_sketch"), "mixing-labelled")
@@ -98,7 +98,7 @@ def learn(labelled: DataFrame, domains: Sequence[str], fit_rows: int = FIT_ROWS)
     expected = counts.sum(axis=0) * (rows / max(rows.sum(), 1))[:, None]
     telling = (np.abs(counts - expected) / np.sqrt(expected + 1)).max(axis=0) >= MIN_DEVIATIONS
     model = Classifier(domains, priors, np.where(telling, logs - logs.mean(axis=0), 0.0).T.copy())
-    sample = labelled.withColumn("_h", F.xxhash64("text")).orderBy("_h").limit(fit_rows).select("text", "domain")
+    sample = labelled.filter(sampled(fit_rows, int(rows.sum())))
 
     def evidence(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import stored
+from dimflow.llm.common import sampled, stored
 from dimflow.llm.sketch import sketch
 from dimflow.llm.words import kept
 
@@ -120,8 +120,9 @@ def learn(labelled: DataFrame, max_words: int = MAX_WORDS, fit_rows: int = FIT_R
     """A lexicon from rows (text, toxic 0 or 1; other labels are left out).
 
     A word is taken if clearly more toxic rows hold it than its frequency leads to expect. Copies would make any word of
-    theirs look telling, so of rows with the same label and sketch one is taken. Counts cover all such rows; only the curve is fitted on a sample of at most ``fit_rows``, the rows with the smallest hashes. Without both labels the lexicon
-    is empty and every score low.
+    theirs look telling, so of rows with the same label and sketch one is taken. Counts cover all such rows; only the curve
+    is fitted on a sample of at most ``fit_rows`` rows, chosen by hash. Without both labels the lexicon is
+    empty and every score low.
     """
     labelled = labelled.filter(F.col("toxic").isin(0, 1)).select("text", F.col("toxic").cast("int").alias("toxic"))
     labelled = stored(labelled.withColumn("_sketch", sketch("text"))
@@ -146,7 +147,7 @@ def learn(labelled: DataFrame, max_words: int = MAX_WORDS, fit_rows: int = FIT_R
     safe = (_counts(labelled, around).filter((F.col("clean") >= MIN_TOXIC) & (F.col("toxic") <= rate * F.col("clean")))
             .orderBy(F.desc("clean"), "term").limit(max_words).collect()) if weights else []
     lexicon = Lexicon(weights, tuple(r.term for r in safe))
-    sample = labelled.withColumn("_h", F.xxhash64("text")).orderBy("_h").limit(fit_rows)
+    sample = labelled.filter(sampled(fit_rows, toxic + clean))
     rows = sample.select("toxic", lexicon.column()("text").alias("f")).select("toxic", "f.dense", "f.wide").toPandas()
     return Lexicon(lexicon.weights, lexicon.exceptions, _curve(rows[["dense", "wide"]].to_numpy(), rows["toxic"].to_numpy()))
 
