@@ -34,13 +34,11 @@ class Coded:
 
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
-    bits = np.zeros(values.shape, np.uint8)
-    rest = values.copy()
-    for step in (32, 16, 8, 4, 2, 1):
-        big = rest >= (np.uint64(1) << np.uint64(step))
-        bits[big] += np.uint8(step)
-        rest[big] >>= np.uint64(step)
-    return bits + (rest > 0)
+    high = values >> np.uint64(32)
+    if not high.any():
+        return np.frexp(values.astype(np.float32 if values.max(initial=0) < 1 << 24 else np.float64))[1].astype(np.uint8)
+    low = np.frexp(values.astype(np.float64))[1].astype(np.uint8)  # exact below 2^53
+    return np.where(high > 0, np.frexp(high.astype(np.float64))[1].astype(np.uint8) + np.uint8(32), low)
 
 
 def encode(ids: np.ndarray) -> Coded:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
-from dimflow.llm.words import find_words, kept
+from dimflow.llm.words import Words, find_words, kept
 
-CACHED = 250_000
+CACHED = 300_000
 CHUNK_BYTES = 2 << 20
 # Bytes of texts in which the tokenizer's white space, case folding and classes are those spelled out below:
 # ASCII without other control characters, and the Latin letters U+00C0 to U+00FF, whose UTF-8 begins with C3.
@@ -39,43 +40,63 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.alphabet = byte_alphabet()
+        self.alphabet = dict(enumerate(byte_alphabet()))
         self.pieces: dict[str, bytes] = {}
         self.words: dict[int, bytes] = {}
+        self.old_words: dict[int, bytes] = {}
 
     def _plain(self, texts: list[bytes]) -> list[bool]:
         data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         begin = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
-        odd = np.add.reduceat(ODD[data], begin, dtype=np.int64)
+        odd = ODD[data]
+        odd = np.add.reduceat(odd, begin, dtype=np.int64) if odd.any() else np.zeros(len(texts), np.int64)
         return [n == 0 and not (b"<|" in t and any(s in t for s in self.special)) for n, t in zip(odd.tolist(), texts)]
 
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
+    def _piece(self, shown: str) -> bytes:
+        """Ids of a piece in the tokenizer's byte alphabet."""
+        found = self.pieces.get(shown)
         if found is None:
             if len(self.pieces) >= CACHED:
                 self.pieces.clear()
-            shown = "".join([self.alphabet[b] for b in piece.encode()])
-            found = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], np.uint32).tobytes()
-            self.pieces[piece] = found
+            found = self.pieces[shown] = array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
         return found
 
     def _word(self, word: bytes) -> bytes:
-        parts = PIECES.findall(word.decode().lower())
-        return self._piece(parts[0]) if len(parts) == 1 else b"".join([self._piece(p) for p in parts])
+        if word.isalpha():  # ASCII letters, lower case already: one piece, shown as it is
+            return self._piece(word.decode())
+        if word[:-1].isalpha() and word[-1:] in b".,":
+            return self._piece(word[:-1].decode()) + self._piece(word[-1:].decode())
+        text = word.decode().lower()
+        parts = [text] if text.isalpha() else PIECES.findall(text)
+        return b"".join([self._piece(p.encode().decode("latin-1").translate(self.alphabet)) for p in parts])
+
+    def _coded(self, names: list[int], words: Words, at: np.ndarray) -> list[bytes]:
+        """Ids of the words at ``at``, named by their hashes. Words met lately are kept for two generations."""
+        coded = list(map(self.words.get, names))
+        new = [i for i, c in enumerate(coded) if c is None]
+        places = at[new]
+        starts, ends, data, old = words.starts[places].tolist(), words.ends[places].tolist(), words.data, self.old_words
+        if len(self.words) + len(new) > CACHED:
+            self.words, self.old_words = {}, self.words
+        held = self.words
+        for i, s, e in zip(new, starts, ends):
+            name = names[i]
+            found = old.get(name)
+            coded[i] = held[name] = self._word(data[s:e]) if found is None else found
+        return coded
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one text after the other, each followed by the id ``end``; the number of ids of each text."""
         plain = self._plain(texts)
         words = find_words([t if p else b"" for t, p in zip(texts, plain)], lower=True)
-        _, at, which = np.unique(words.hashes, return_index=True, return_inverse=True)
+        order = np.argsort(words.hashes)
+        ordered = words.hashes[order]
+        new = np.ones(len(order), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        at, which = order[new], np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
         names = words.hashes[at].tolist()
-        coded = list(map(self.words.get, names))
-        new = [i for i, c in enumerate(coded) if c is None]
-        if len(self.words) + len(new) > CACHED:
-            self.words.clear()
-        for i in new:
-            k = at[i]
-            coded[i] = self.words[names[i]] = self._word(words.data[words.starts[k]:words.ends[k]])
+        coded = self._coded(names, words, at)
         size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         flat = np.frombuffer(b"".join(coded), np.uint32)
         begin = np.cumsum(size) - size
