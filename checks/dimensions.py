@@ -155,7 +155,7 @@ def scd_type2_from_log(spark, sf_dir):
 def _prev(column):
     # the value before the last change, per column
     return f"""
-  SELECT id, arg_max(before, start_date) AS prev_{column} FROM (
+  SELECT id, arg_max_null(before, start_date) AS prev_{column} FROM (
     SELECT id, start_date, {column}, lag({column}) OVER day AS before, row_number() OVER day AS nr
     FROM ({_SNAPSHOTS}) WINDOW day AS (PARTITION BY id ORDER BY start_date))
   WHERE nr > 1 AND before IS DISTINCT FROM {column} GROUP BY id"""
