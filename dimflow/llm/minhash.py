@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from dimflow.llm.common import attach, stored
 from dimflow.llm.components import components
-from dimflow.llm.words import Words, chunks, find_words, kept, mix
+from dimflow.llm.words import Words, chunks, find_words, give_back, kept, mix
 
 PERCENT = 85
 BANDS, ROWS = 36, 7  # a pair at 0.85 shares no band with probability 9e-7
@@ -30,6 +30,7 @@ BATCH = 36
 MISS = 1e-7
 BLOCK_NODES, BLOCK_SHINGLES = 400, 1_000_000
 SHINGLES_AT_ONCE = 512
+BROADCAST_KEYS = 4_000_000  # of one or two 64-bit numbers
 
 
 def _seeds() -> tuple[np.ndarray, np.ndarray]:
@@ -106,6 +107,7 @@ def signed(docs: DataFrame) -> DataFrame:
                     [ids.slice(first, len(texts)), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()),
                      pa.array(lows, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                     names=["doc_id", "n_shingles", "node", "signature", "bands"])
+            give_back()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SIGNED)
 
@@ -177,6 +179,7 @@ def _compare(percent: int):
         signatures = np.array([np.frombuffer(s, "<u2") for s in rows.column("signature").to_pylist()]).reshape(len(keep), HASHES)
         bands = np.array(rows.column("bands").to_pylist(), np.int64).reshape(len(keep), BANDS)
         links = linked(sets, signatures, bands, np.array(rows.column("side").to_pylist(), np.int64), percent)
+        give_back()
         return pa.table({"a": pa.array([nodes[keep[i]] for i, _ in links], pa.binary()),
                          "b": pa.array([nodes[keep[j]] for _, j in links], pa.binary())})
     return run
@@ -220,6 +223,11 @@ def _blocks(members: DataFrame, percent: int) -> DataFrame:
     return small.unionByName(spread)
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    """Stored keys, marked for broadcast if there are at most ``BROADCAST_KEYS``."""
+    return F.broadcast(keys) if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else keys
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text; more columns do no harm).
 
@@ -227,36 +235,46 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     component_id is the smallest doc_id that links reach. NULL, empty and blank texts have no shingles and are linked with
     nothing. Rows with the same set belong together, repeated rows too; a NULL doc_id counts only where a group has no other.
     """
-    spark = docs.sparkSession
     rows = stored(signed(docs), "minhash-signed")
-    nodes = stored(rows.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "n_shingles", "signature", "bands")).alias("_r"),
-        F.count(F.lit(1)).alias("copies")).select("node", "_r.doc_id", "_r.n_shingles", "_r.signature", "_r.bands", "copies"),
-        "minhash-nodes")
+    full = rows.filter("node IS NOT NULL")
     # clusters of candidates; nodes go by 64 bits here, where a clash only makes a cluster larger
     short = F.xxhash64("node").alias("h")
-    banded = nodes.select(short, F.explode("bands").alias("band"))
-    shared = stored(banded.groupBy("band").agg(F.min("h").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1"),
-                    "minhash-buckets")
+    banded = full.select(short, F.explode("bands").alias("band"))
+    shared = stored(banded.groupBy("band").agg(F.min("h").alias("b"), F.max("h").alias("_b"), F.count(F.lit(1)).alias("n"))
+                    .filter("b != _b").drop("_b"), "minhash-buckets")
     edges = stored(attach(banded, shared, "band", "n").filter("h != b").select(F.col("h").alias("a"), "b").distinct(),
                    "minhash-candidates")
-    if edges.isEmpty():
-        links = spark.createDataFrame([], "a binary, b binary")
-    else:
+    reach = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    links = None
+    if not edges.isEmpty():
         clusters = components(edges, "minhash-clusters").select(F.col("node").alias("h"), F.col("component").alias("_cluster"))
-        members = nodes.withColumn("h", F.xxhash64("node")).join(clusters, "h").drop("h", "copies")
+        # of the rows of a node one is compared; rows of other nodes are not shuffled unless the clusters are very many
+        own = full.withColumn("h", F.xxhash64("node")).join(_few(clusters), "h")
+        members = stored(own.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "n_shingles",
+                                                                "signature", "bands", "_cluster")).alias("_r"))
+                         .select("node", "_r.doc_id", "_r.n_shingles", "_r.signature", "_r.bands", "_r._cluster"),
+                         "minhash-clustered")
         texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
+        wanted = members.select("doc_id").distinct()
+        texts = texts.join(_few(wanted), F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
         members = stored(members.join(texts, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id", "doc_id"), "minhash-members")
         links = stored(_blocks(members, percent).select("_block", "side", "node", "signature", "bands", "text").groupBy("_block")
                        .applyInArrow(_compare(percent), "a binary, b binary"), "minhash-links")
-    reach = nodes.select("node", "doc_id", "copies")
-    if not links.isEmpty():
+    if links is not None and not links.isEmpty():
         groups = components(links, "minhash-groups")
         first = groups.join(reach, "node").groupBy("component").agg(F.min("doc_id").alias("_first"))
-        reach = stored(reach.join(groups.join(first, "component").select("node", "_first"), "node", "left")
-                       .select("node", F.coalesce("_first", "doc_id").alias("doc_id"), "copies"), "minhash-reach")
-    grouped = attach(rows.filter("node IS NOT NULL").select("node", F.col("doc_id").alias("_own"), "n_shingles"), reach,
+        reach = (reach.join(groups.join(first, "component").select("node", "_first"), "node", "left")
+                 .select("node", F.coalesce("_first", "doc_id").alias("doc_id"), "copies"))
+    reach = stored(reach, "minhash-reach")
+    grouped = attach(full.select("node", F.col("doc_id").alias("_own"), "n_shingles"), reach,
                      "node", "copies")
     out = grouped.select(F.col("_own").alias("doc_id"), "n_shingles", F.col("doc_id").alias("component_id"))
     alone = rows.filter("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` whose doc_id stays in its group. Rows that share a doc_id stay or go together."""
+    found = stored(near_duplicates(docs, percent).groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("NOT kept")
+                   .select(F.col("doc_id").alias("_gone")), "minhash-gone")
+    return docs.join(_few(found), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -9,7 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SHINGLE_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 SHINGLE_WORDS = 5
@@ -32,8 +33,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: idle workers stay alive beside the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = kept("malloc_trim", lambda: getattr(ctypes.CDLL(None), "malloc_trim", None))
+    if trim is not None:
+        trim(0)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(2 * CHUNK_BYTES, 1 << (n - 1).bit_length())
+    size = max(2 * CHUNK_BYTES, 1 << (max(n, 1) - 1).bit_length())
 
     def table(base: int) -> np.ndarray:
         out = np.full(size, np.uint64(base), np.uint64)
