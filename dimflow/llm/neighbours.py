@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by collision counting over single projections.
 
 Vectors are dealt into blocks by hash. A block keeps, for each of ``PROJECTIONS`` random directions, its vectors sorted by
-their projection. A query opens a window around its own projection in every sorted array and widens all of them together,
+their projection, and the place of each vector in that array. A query opens a window around its own projection in every sorted array and widens all of them together,
 which is hashing anew at twice the radius. Vectors met in at least ``COLLISIONS`` windows are candidates; once a block has
 enough of them, they are verified on the original vectors.
 """
@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from dimflow.llm.common import stored
 
-PROJECTIONS, COLLISIONS = 96, 60
-FIRST_WIDTH, WIDEN = 0.02, 1.3  # half a window, in spreads of a projection; factor from one radius to the next
-CANDIDATES, SHARE = 160, 0.1  # a block verifies at least so many, and at least this share of its vectors
-BLOCK_VECTORS, GROUP_QUERIES = 8192, 512
-INDEX = "dims int, block int, ids array<long>, vectors array<double>, places array<int>, projections array<float>"
+PROJECTIONS, COLLISIONS = 64, 40
+FIRST_WIDTH, WIDEN = 0.62, 1.1  # half a window, in spreads of a projection; factor from one radius to the next
+APART = 1e3  # more than any two projections of unit vectors differ
+CANDIDATES, SHARE = 160, 0.18  # a block verifies at least so many, and at least this share of its vectors
+BLOCK_VECTORS, GROUP_QUERIES = 8192, 256  # a block stays well below 65,536 vectors
+INDEX = "dims int, block int, ids array<long>, vectors array<double>, ranks array<int>, projections array<float>"
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -48,10 +49,12 @@ def _index_block(key: tuple, rows: pa.Table) -> pa.Table:
     projected = (_unit(vectors) @ directions(dims)).T.astype(np.float32)
     places = np.argsort(projected, axis=1, kind="stable").astype(np.int32)
     sorted_values = np.take_along_axis(projected, places, axis=1)
+    ranks = np.empty_like(places)
+    np.put_along_axis(ranks, places, np.arange(len(vectors), dtype=np.int32)[None, :], axis=1)
     one = lambda v, t: pa.array([v], pa.list_(t))
     return pa.table({"dims": pa.array([dims], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()),
                      "ids": one(rows.column("id").to_numpy(), pa.int64()), "vectors": one(vectors.ravel(), pa.float64()),
-                     "places": one(places.ravel(), pa.int32()), "projections": one(sorted_values.ravel(), pa.float32())})
+                     "ranks": one(ranks.ravel(), pa.int32()), "projections": one(sorted_values.ravel(), pa.float32())})
 
 
 def build_index(rows: DataFrame, block_vectors: int = BLOCK_VECTORS) -> DataFrame:
@@ -62,23 +65,25 @@ def build_index(rows: DataFrame, block_vectors: int = BLOCK_VECTORS) -> DataFram
                   "neighbours-index")
 
 
-def candidates(projected: np.ndarray, places: np.ndarray, values: np.ndarray, spread: np.ndarray) -> np.ndarray:
-    """Places of the vectors that a query with the projections ``projected`` collides with often enough."""
-    n = places.shape[1]
+def candidates(projected: np.ndarray, ranks: np.ndarray, values: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """Indexes of the vectors that a query with the projections ``projected`` collides with often enough.
+
+    ``values`` are the sorted arrays one after the other, ``APART`` more for each, so that one search finds the borders of all
+    windows; ``ranks`` say where each array holds each vector, so that a window is a range of ranks.
+    """
+    n = ranks.shape[1]
     wanted = min(n, max(CANDIDATES, int(SHARE * n)))
-    counts = np.zeros(n, np.int16)
-    low = high = np.array([np.searchsorted(values[j], projected[j]) for j in range(PROJECTIONS)])
+    middle = projected + APART * np.arange(PROJECTIONS)
+    begin = n * np.arange(PROJECTIONS)
     width = FIRST_WIDTH
     while True:
-        reach = (width * spread).astype(np.float32)
-        new_low = np.array([np.searchsorted(values[j], projected[j] - reach[j]) for j in range(PROJECTIONS)])
-        new_high = np.array([np.searchsorted(values[j], projected[j] + reach[j], "right") for j in range(PROJECTIONS)])
-        for j in range(PROJECTIONS):  # a window only adds what it did not hold before
-            counts[places[j, new_low[j]:low[j]]] += 1
-            counts[places[j, high[j]:new_high[j]]] += 1
-        low, high = np.minimum(low, new_low), np.maximum(high, new_high)
+        low = np.clip(np.searchsorted(values, middle - width * spread) - begin, 0, n)
+        size = np.clip(np.searchsorted(values, middle + width * spread, "right") - begin, 0, n) - low
+        counts = np.zeros(n, np.uint8)
+        for own, a, b in zip(ranks, low.astype(np.uint16), size.astype(np.uint16)):
+            counts += (own - a) < b  # unsigned: a rank below the window wraps around
         found = np.flatnonzero(counts >= COLLISIONS)
-        if len(found) >= wanted or (high - low).min() >= n:
+        if len(found) >= wanted or size.min() >= n:
             return found
         width *= WIDEN
 
@@ -88,18 +93,19 @@ def _search(k: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in
-                       ("ids", "vectors", "places", "projections", "query_ids", "query_vectors")}
+                       ("ids", "vectors", "ranks", "projections", "query_ids", "query_vectors")}
                 dims, ids = batch.column("dims")[i].as_py(), row["ids"]
                 n = len(ids)
                 vectors, queries = row["vectors"].reshape(n, dims), row["query_vectors"].reshape(-1, dims)
-                places, values = row["places"].reshape(-1, n), row["projections"].reshape(-1, n)
+                ranks, values = row["ranks"].reshape(-1, n).astype(np.uint16), row["projections"].astype(float).reshape(-1, n)
                 spread = values.std(axis=1) + 1e-6
+                values = (values + APART * np.arange(PROJECTIONS)[:, None]).ravel()
                 norms = np.sqrt((vectors * vectors).sum(axis=1))
-                projected = (_unit(queries) @ directions(dims)).astype(np.float32)
+                projected = (_unit(queries) @ directions(dims)).astype(np.float32).astype(float)
                 out: list[tuple] = []
                 for q, query in enumerate(queries):
                     own = row["query_ids"][q]
-                    found = candidates(projected[q], places, values, spread)
+                    found = candidates(projected[q], ranks, values, spread)
                     found = found[ids[found] != own]
                     cosines = (vectors[found] * query).sum(axis=1) / (norms[found] * np.sqrt((query * query).sum()))
                     best = np.lexsort((ids[found], -cosines))[:k]
