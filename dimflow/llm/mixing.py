@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from dimflow.llm.common import sampled, stored
 from dimflow.llm.sketch import sketch
-from dimflow.llm.words import chunks, find_words, mix
+from dimflow.llm.words import chunks, find_words, give_back, mix
 
 FEATURES = 1 << 17
 MIN_DEVIATIONS = 4.0  # a feature speaks for or against a domain if its rows there are so far from the expected
@@ -59,6 +59,7 @@ class Classifier:
             for features, n in _features(part):
                 tokens.append(n)
                 evidence.append(self.weights[features].sum(axis=0))
+        give_back()
         return np.array(tokens, np.int64), np.array(evidence).reshape(-1, len(self.domains))
 
     def posteriors(self, evidence: np.ndarray, sharpness: float | None = None) -> np.ndarray:

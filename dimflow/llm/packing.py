@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from dimflow.llm.common import stored
 from dimflow.llm.tokens import CHUNK_BYTES, encoder
-from dimflow.llm.words import chunks
+from dimflow.llm.words import chunks, give_back
 
 CAPACITY = 4096
 BLOCK_PIECES = 20_000
@@ -47,6 +47,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end: int = 1, capacity: int =
                         rows.append((own[first + k], i, s, size, zlib.crc32(data[4 * (at + s):4 * (at + s + size)])))
                     at += n
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+            give_back()
 
     return (docs.select(F.col("doc_id").cast("long"), "text")
             .mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long"))

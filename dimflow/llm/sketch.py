@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dimflow.llm.words import chunks, find_words, mix
+from dimflow.llm.words import chunks, find_words, give_back, mix
 
 SKETCH_WORDS = 4
 
@@ -22,6 +22,7 @@ def _sketch(texts: pd.Series) -> pd.Series:
             for k in range(SKETCH_WORDS if b > a else 0):
                 key = mix(np.array([key ^ mix(own + np.uint64(k)).min()]))[0]
             out.append(int(key.view(np.int64)))
+    give_back()
     return pd.Series(out, dtype="int64")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from dimflow.llm.common import sampled, stored
 from dimflow.llm.sketch import sketch
-from dimflow.llm.words import kept
+from dimflow.llm.words import give_back, kept
 
 MAX_WORDS = 5_000  # bound of the lexicon, and of its exceptions
 FIT_ROWS = 20_000  # bound of the sample on which the curve is fitted
@@ -93,6 +93,7 @@ class Lexicon:
         def features(texts: pd.Series) -> pd.DataFrame:
             own = kept(f"lexicon {hash((tuple(self.weights.items()), self.exceptions))}", self._automaton)
             rows = np.array([self.features(t, own) for t in texts], float).reshape(-1, 2)
+            give_back()
             a, b, c = self.curve
             z = np.clip(a + b * rows[:, 0] + c * rows[:, 1], -500, 500)
             return pd.DataFrame({"dense": rows[:, 0], "wide": rows[:, 1], "score": 1 / (1 + np.exp(-z))})
@@ -108,6 +109,7 @@ def _counts(labelled: DataFrame, terms) -> DataFrame:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 by_label[toxic].update(terms(fold(text or "")))
             names = list(by_label[0].keys() | by_label[1].keys())
+            give_back()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), pa.array([by_label[1][n] for n in names], pa.int64()),
                  pa.array([by_label[0][n] for n in names], pa.int64())], names=["term", "toxic", "clean"])
