@@ -35,7 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or leaves out documents so that poor and good tokens come to their shares; the good ones stay as they are."""
+    """Repeats or leaves out documents so that poor and good tokens come to their shares; the good ones' total stays as it is."""
     return mixing.mixed(docs, domain_mix(spark, docs, sf_dir))
 
 

@@ -27,7 +27,6 @@ MIN_DEVIATIONS = 4.0  # a feature speaks for or against a domain if its rows the
 REPEATS = 3  # a text with so many words that repeat the word before has the first feature
 FIT_ROWS = 20_000  # bound of the sample on which the classifier's sharpness is fitted
 STEPS, TOLERANCE = 30, 1e-5
-WHOLE = 0.1  # a rate this near a whole number is taken as it
 
 
 def _features(texts: list[bytes]) -> Iterator[tuple[np.ndarray, int]]:
@@ -189,14 +188,14 @@ def fit(docs: DataFrame, classifier: Classifier, weights: Sequence[float], keep:
 def rated(docs: DataFrame, mix: Mix) -> DataFrame:
     """``docs`` with tokens, posteriors, rate and copies; columns of these names are replaced.
 
-    A document is there ``copies`` times in the mix: its rate if that is within ``WHOLE`` of a whole number, else one of the
-    two whole numbers around it, by a hash of doc_id and text, so that the mean over documents is the rate. NULL and empty
-    texts have no tokens and the priors as posteriors; rows alike fare alike.
+    A document is there ``copies`` times in the mix: one of the two whole numbers around its rate, by a hash of doc_id and
+    text, so that the mean over documents is the rate. NULL and empty texts have no tokens and the priors as posteriors; rows
+    alike fare alike.
     """
     docs = docs.drop("tokens", "posteriors", "rate", "copies").withColumn("_f", mix.column()("text"))
     rate = F.col("_f.rate")
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    copies = F.when(F.abs(rate - F.round(rate)) <= WHOLE, F.round(rate)).otherwise(F.floor(rate + draw))
+    copies = F.floor(rate + draw)
     return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "_f"], F.col("_f.tokens").alias("tokens"),
                        F.col("_f.posteriors").alias("posteriors"), rate.alias("rate"), copies.cast("long").alias("copies"))
 

@@ -54,3 +54,17 @@ def test_awkward_rows_and_empty_tables(spark, docs):
     rows = mixing.rated(frame(spark), mix)
     assert rows.count() == frame(spark).count() and rows.columns[-4:] == ["tokens", "posteriors", "rate", "copies"]
     assert mixing.mixed(empty(spark), mixing.fit(empty(spark), model, (1, 1))).count() == 0
+
+
+@pytest.mark.parametrize("weights", [(8, 92), (2.16, 1), (1.86, 1)])
+def test_tokens_of_the_copies_meet_targets_at_any_rate(spark, weights):
+    """Rates of about 0.04, 1.08 and 0.93 for the domain that is not kept."""
+    docs = spark.createDataFrame(corpus(6000), "doc_id LONG, text STRING, domain STRING").repartition(4)
+    mix = mixing.fit(docs, mixing.learn(docs, ("a", "b")), weights, "b")
+    rows = mixing.rated(docs, mix).collect()
+    found, spread = np.zeros(2), np.zeros(2)
+    for r in rows:
+        tokens = r.tokens * np.array(r.posteriors)
+        found += r.copies * tokens
+        spread += (r.rate % 1) * (1 - r.rate % 1) * tokens ** 2
+    assert (np.abs(found - mix.targets) < 4 * np.sqrt(spread) + 1e-3 * mix.targets).all()
