@@ -10,6 +10,9 @@ from dimflow.llm.common import stored, table
 from dimflow.llm.queries import domain_mix, labelled, tokenizer
 
 
+NEAR_PERCENT = 80  # of the shingles of two near duplicates
+
+
 def _sized(docs: DataFrame) -> DataFrame:
     """``n_chars`` anew, where the table has it."""
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
@@ -31,7 +34,7 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates."""
-    return minhash.without_near_duplicates(docs)
+    return minhash.without_near_duplicates(docs, NEAR_PERCENT)
 
 
 def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

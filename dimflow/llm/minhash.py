@@ -24,8 +24,8 @@ from dimflow.llm.components import components
 from dimflow.llm.words import Words, chunks, find_words, give_back, kept, mix
 
 PERCENT = 85
-BANDS, ROWS = 36, 7  # a pair at 0.85 shares no band with probability 9e-7
-HASHES = BANDS * ROWS
+NO_BAND = 1e-6  # bound of the probability that a pair at the threshold shares no band
+MOST_HASHES = 288
 BATCH = 36
 MISS = 1e-7
 BLOCK_NODES, BLOCK_SHINGLES = 400, 1_000_000
@@ -33,12 +33,29 @@ SHINGLES_AT_ONCE = 512
 BROADCAST_KEYS = 4_000_000  # of one or two 64-bit numbers
 
 
-def _seeds() -> tuple[np.ndarray, np.ndarray]:
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows by which a pair at ``percent`` is missed with at most ``NO_BAND``: the most rows that ``MOST_HASHES``
+    allow, at least one."""
+    def bands(rows: int) -> int:
+        band = (percent / 100) ** rows
+        return math.ceil(math.log(NO_BAND) / math.log1p(-band)) if band < 1 else 1
+
+    rows = 1
+    while (rows + 1) * bands(rows + 1) <= MOST_HASHES:
+        rows += 1
+    return bands(rows), rows
+
+
+BANDS, ROWS = banding(PERCENT)
+HASHES = BANDS * ROWS
+
+
+def _seeds(hashes: int) -> tuple[np.ndarray, np.ndarray]:
     def make():
-        seeds = (mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
-        return seeds[:HASHES], seeds[HASHES:] | np.uint32(1)
+        seeds = (mix(np.arange(1, 2 * hashes + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
+        return seeds[:hashes], seeds[hashes:] | np.uint32(1)
 
-    return kept("minhash seeds", make)
+    return kept(f"minhash seeds {hashes}", make)
 
 
 def set_key(shingles: np.ndarray) -> bytes:
@@ -48,9 +65,9 @@ def set_key(shingles: np.ndarray) -> bytes:
     return np.array([high, low], ">u8").tobytes()
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    xor, odd = _seeds()
-    low = np.full(HASHES, 0xFFFFFFFF, np.uint32)
+def signature(shingles: np.ndarray, hashes: int = HASHES) -> np.ndarray:
+    xor, odd = _seeds(hashes)
+    low = np.full(hashes, 0xFFFFFFFF, np.uint32)
     folded = (shingles >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(folded), SHINGLES_AT_ONCE):
         part = folded[at:at + SHINGLES_AT_ONCE]
@@ -58,18 +75,22 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return low
 
 
-def band_keys(low: np.ndarray) -> np.ndarray:
-    key = np.arange(BANDS, dtype=np.uint64)
-    for column in low.reshape(BANDS, ROWS).T.astype(np.uint64):
+def band_keys(low: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    key = np.arange(bands, dtype=np.uint64)
+    for column in low.reshape(bands, -1).T.astype(np.uint64):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
     return key.view(np.int64)
 
 
+def batch_ends(hashes: int) -> list[int]:
+    return [*range(BATCH, hashes, BATCH), hashes]
+
+
 def least_matches(percent: int, miss: float) -> dict[int, int]:
     """By the number of compared hashes, the matches below which a pair has similarity >= ``percent`` with a posterior
     probability (from a flat prior) of less than ``miss``. That probability is P(Bin(n + 1, threshold) <= matches)."""
     t, out = percent / 100, {}
-    for n in range(BATCH, HASHES + 1, BATCH):
+    for n in batch_ends(math.prod(banding(percent))):
         below, total = 0, 0.0
         while True:
             total += math.exp(math.lgamma(n + 2) - math.lgamma(below + 1) - math.lgamma(n + 2 - below)
@@ -84,8 +105,10 @@ def least_matches(percent: int, miss: float) -> dict[int, int]:
 SIGNED = "doc_id long, n_shingles long, node binary, signature binary, bands array<long>"
 
 
-def signed(docs: DataFrame) -> DataFrame:
+def signed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, node (NULL without words), signature and band keys of every row."""
+    n_bands, n_rows = banding(percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
@@ -96,11 +119,11 @@ def signed(docs: DataFrame) -> DataFrame:
                     shingles = words.shingles(i)
                     n.append(len(shingles))
                     if len(shingles):
-                        low = signature(shingles)
+                        low = signature(shingles, n_bands * n_rows)
                         nodes.append(set_key(shingles))
                         # 16 of the 32 bits tell different values apart well enough to count matches
                         lows.append(low.astype("<u2").tobytes())
-                        bands.append(band_keys(low))
+                        bands.append(band_keys(low, n_bands))
                     else:
                         nodes.append(None), lows.append(None), bands.append(None)
                 yield pa.RecordBatch.from_arrays(
@@ -136,9 +159,10 @@ def linked(shingles: list[np.ndarray], signatures: np.ndarray, bands: np.ndarray
         ok = np.minimum(sizes[others], sizes[i]) * 100 >= percent * np.maximum(sizes[others], sizes[i])
         others = others[ok]
         others = others[(bands[others] == bands[i]).any(axis=1)]
-        matches = np.zeros(len(others), np.int64)
-        for n in range(BATCH, HASHES + 1, BATCH):
-            matches += (signatures[others, n - BATCH:n] == signatures[i, n - BATCH:n]).sum(axis=1)
+        matches, before = np.zeros(len(others), np.int64), 0
+        for n in least:
+            matches += (signatures[others, before:n] == signatures[i, before:n]).sum(axis=1)
+            before = n
             alive = matches >= least[n]
             others, matches = others[alive], matches[alive]
         lefts.append(np.full(len(others), i))
@@ -160,6 +184,8 @@ def linked(shingles: list[np.ndarray], signatures: np.ndarray, bands: np.ndarray
 
 
 def _compare(percent: int):
+    n_bands, n_rows = banding(percent)
+
     def run(block: pa.Table) -> pa.Table:
         block = block.combine_chunks()
         seen, keep, sets = set(), [], []
@@ -176,8 +202,8 @@ def _compare(percent: int):
                     keep.append(at + i)
                     sets.append(shingles)
         rows = block.take(pa.array(keep, pa.int64()))
-        signatures = np.array([np.frombuffer(s, "<u2") for s in rows.column("signature").to_pylist()]).reshape(len(keep), HASHES)
-        bands = np.array(rows.column("bands").to_pylist(), np.int64).reshape(len(keep), BANDS)
+        signatures = np.array([np.frombuffer(s, "<u2") for s in rows.column("signature").to_pylist()]).reshape(len(keep), n_bands * n_rows)
+        bands = np.array(rows.column("bands").to_pylist(), np.int64).reshape(len(keep), n_bands)
         links = linked(sets, signatures, bands, np.array(rows.column("side").to_pylist(), np.int64), percent)
         give_back()
         return pa.table({"a": pa.array([nodes[keep[i]] for i, _ in links], pa.binary()),
@@ -235,7 +261,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     component_id is the smallest doc_id that links reach. NULL, empty and blank texts have no shingles and are linked with
     nothing. Rows with the same set belong together, repeated rows too; a NULL doc_id counts only where a group has no other.
     """
-    rows = stored(signed(docs), "minhash-signed")
+    rows = stored(signed(docs, percent), "minhash-signed")
     full = rows.filter("node IS NOT NULL")
     # clusters of candidates; nodes go by 64 bits here, where a clash only makes a cluster larger
     short = F.xxhash64("node").alias("h")

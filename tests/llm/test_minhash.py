@@ -1,5 +1,6 @@
 import pytest
 
+import corpus_pipeline
 from dimflow.llm import minhash
 from tests.llm.data import documents, empty, frame
 
@@ -60,3 +61,22 @@ def test_posterior_bounds_rise_and_spare_similar_pairs():
     least = minhash.least_matches(85, 1e-7)
     assert list(least.values()) == sorted(least.values()) and all(0 < m < n for n, m in least.items())
     assert least[minhash.HASHES] < 0.85 * minhash.HASHES
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_bands_follow_the_threshold(percent):
+    bands, rows = minhash.banding(percent)
+    assert (1 - (percent / 100) ** rows) ** bands <= 1e-6
+    assert list(minhash.least_matches(percent, 1e-7))[-1] == bands * rows
+    assert minhash.banding(85) == (36, 7)
+
+
+def test_pipeline_links_from_80_percent(spark):
+    """Pairs with 45 of 55 shingles in common (0.818) are one; with 43 of 57 (0.754) they are two."""
+    rows = []
+    for i in range(60):
+        own = [f"w{i}x{k}" for k in range(54)]
+        same = 49 if i % 2 else 47  # words; four fewer shingles
+        rows += [(2 * i, " ".join(own), *[None] * 6), (2 * i + 1, " ".join([*own[:same], *(f"v{i}x{k}" for k in range(54 - same))]), *[None] * 6)]
+    left = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame(spark, rows), "").collect()}
+    assert left == {r[0] for r in rows if r[0] % 4 != 3}
