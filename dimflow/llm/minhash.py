@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.llm.common import attach, stored
-from dimflow.llm.components import components
+from dimflow.llm.components import components, contracted
 from dimflow.llm.words import Words, chunks, find_words, give_back, kept, mix
 
 PERCENT = 85
@@ -268,7 +268,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     banded = full.select(short, F.explode("bands").alias("band"))
     shared = stored(banded.groupBy("band").agg(F.min("h").alias("b"), F.max("h").alias("_b"), F.count(F.lit(1)).alias("n"))
                     .filter("b != _b").drop("_b"), "minhash-buckets")
-    edges = stored(attach(banded, shared, "band", "n").filter("h != b").select(F.col("h").alias("a"), "b").distinct(),
+    # a node has up to an edge a band; only a forest of them goes on
+    edges = stored(contracted(attach(banded, shared, "band", "n").filter("h != b").select(F.col("h").alias("a"), "b")),
                    "minhash-candidates")
     reach = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     links = None
