@@ -8,8 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import licenses, lines, minhash, mixing, neighbours, packing, perfect_hash, pitman_yor, simple8b, toxicity
-from dimflow.llm.common import table
+from dimflow.llm import (licenses, lines, minhash, mixing, neighbours, packing, perfect_hash, periodic, pitman_yor, simple8b,
+                         toxicity, tries, urls)
+from dimflow.llm.common import stored, table
+from dimflow.operators.skew import join_skewed
 from dimflow.sources.storage import work_dir
 
 
@@ -131,6 +133,104 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+#: The rules the query is asked to use.
+URL_RULES = (urls.Rule("allow", "com"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
+             urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/"))
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), urls.UrlFilter(URL_RULES)).drop("hits")
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+OP11_SQL = f"""
+WITH rules(verdict, h, p) AS (VALUES {', '.join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)}),
+terms(term, weight) AS (VALUES {', '.join(f"('{t}', {w})" for t, w in urls.VOCABULARY.items())}),
+u AS (SELECT row_number() OVER () AS nr, page_id, translate(coalesce(url, ''), '{_UPPER}', '{_LOWER}') AS low,
+             CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT nr, page_id, low, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+                 regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
+ruled AS (SELECT nr, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+          FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY nr),
+hits AS (SELECT nr, sum(weight) AS weight, count(*) FILTER (weight >= {urls.REJECT}) AS strict,
+                count(*) FILTER (weight < {urls.REJECT}) AS soft
+         FROM parts JOIN terms ON regexp_matches(low, '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)') GROUP BY nr)
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN weight >= {urls.REJECT} THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(strict, 0) AS n_strict, coalesce(soft, 0) AS n_soft
+FROM parts LEFT JOIN ruled USING (nr) LEFT JOIN hits USING (nr)"""
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id, text: in a tenth of the documents the words from some place on repeat with some period, by the id's checksum."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when((h % 10 == 0), F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0))
+    g, n, a, p = F.floor(h / 10), F.col("_n"), F.col("_a"), F.col("_p")
+    parts = (docs.select("doc_id", "text", g.alias("_g"), words.alias("_words")).withColumn("_n", F.size("_words"))
+             .withColumn("_a", F.when(n > 0, F.col("_g") % n).cast("int"))
+             .withColumn("_p", (1 + F.floor((n - a) / (3 + F.col("_g") % 8))).cast("int")))
+    unit = F.slice("_words", a + 1, p)
+    rest = F.slice(F.flatten(F.array_repeat(unit, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    planted = F.concat_ws(" ", F.slice("_words", F.lit(1), a), rest)
+    return parts.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.without_periods(with_planted_periods(table(spark, sf_dir, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("s"), r["period"].alias("q"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    told = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("_r"), "runs", "text")
+    return told.select("doc_id", "n_runs", F.col("_r.s").alias("start"), (-F.col("_r.n")).alias("length"), F.col("_r.q").alias("period"),
+                       F.expr("(-1000 * _r.n) div _r.q").alias("exponent_milli"),
+                       F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+
+
+FAMILY, HEAD = 20, 4
+
+
+def with_shared_beginnings(rows: DataFrame) -> DataFrame:
+    """``rows`` of ``tries.steps`` with the first h turns of each conversation replaced by those of its family's first one."""
+    h, base = fold_of("conv_id", HEAD), F.col("conv_id") - F.col("conv_id") % FAMILY
+    heads = rows.filter((F.col("conv_id") % FAMILY == 0) & (F.col("pos") < HEAD)).withColumnRenamed("conv_id", "_base")
+    shared = (rows.select("conv_id").distinct().withColumn("_base", base).join(heads, "_base").filter(F.col("pos") <= h)
+              .select(*rows.columns))
+    lengths = heads.groupBy("_base").agg(F.count(F.lit(1)).alias("_n"))
+    own = join_skewed(rows.filter(F.col("pos") > h).withColumn("_base", base), lengths, ["_base"], "left")
+    at = F.col("pos") - h + F.least(h, F.coalesce("_n", F.lit(0)))
+    return shared.unionByName(own.withColumn("pos", at).select(*rows.columns))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stored(tries.steps(table(spark, sf_dir, "conversations")), "trie-steps")
+    return tries.prefix_trie(stored(with_shared_beginnings(rows), "trie-rebuilt"), rows.select("conv_id"))
+
+
+OP13_SQL = """
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos, coalesce(role, '') AS role,
+                  coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+          lambda v, bit: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))) % 4 AS h
+      FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS part, pos, role, text FROM c JOIN t ON t.conv_id = c.base AND pos <= h
+      UNION ALL SELECT c.conv_id, 1, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h),
+d AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth, role, text FROM r),
+b AS (SELECT conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+             list(struct_pack(r := role, t := text)) OVER (PARTITION BY conv_id ORDER BY depth) AS beginning FROM d
+      UNION ALL SELECT conv_id, 0, 0, [] FROM c),
+m AS (SELECT conv_id, depth, words, min(conv_id) OVER (PARTITION BY beginning) AS node FROM b),
+n AS (SELECT node AS conv_id, depth, count(*) AS n_convs, max(words) AS words FROM m GROUP BY node, depth),
+p AS (SELECT n.*, m.node AS parent_conv_id FROM n LEFT JOIN m ON m.conv_id = n.conv_id AND m.depth = n.depth - 1),
+k AS (SELECT p.*, (SELECT count(*) FROM p q WHERE q.parent_conv_id = p.conv_id AND q.depth = p.depth + 1) AS n_children FROM p),
+s AS (SELECT m.node AS conv_id, m.depth, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * k.words)::BIGINT AS saved_tokens
+      FROM k JOIN m ON m.conv_id = k.conv_id AND m.depth <= k.depth GROUP BY m.node, m.depth),
+e AS (SELECT node AS conv_id, depth, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ends
+      FROM (SELECT *, max(depth) OVER (PARTITION BY conv_id) AS last FROM m) WHERE depth = last GROUP BY node, depth)
+SELECT k.conv_id, k.depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM k JOIN s ON k.conv_id = s.conv_id AND k.depth = s.depth LEFT JOIN e ON k.conv_id = e.conv_id AND k.depth = e.depth"""
+
+
 QUERIES = [
     Query("op1_minhash_near_dedup", op1_minhash_near_dedup),
     Query("op2_pitman_yor", op2_pitman_yor),
@@ -142,4 +242,7 @@ QUERIES = [
     Query("op8_toxicity", op8_toxicity),
     Query("op9_collision_counting", op9_collision_counting),
     Query("op10_license_scan", op10_license_scan),
+    Query("op11_url_filter", op11_url_filter, OP11_SQL),
+    Query("op12_periodic_runs", op12_periodic_runs),
+    Query("op13_prefix_trie", op13_prefix_trie, OP13_SQL),
 ]
