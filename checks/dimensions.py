@@ -2,6 +2,7 @@
 
 from checks.base import Check, Checks, fresh_name, table
 from dimflow.operators import scd
+from dimflow.operators.splice import sightings
 from dimflow.plans.pipeline import apply_scd
 from dimflow.sources.tables import overwrite_table
 from dimflow.spec import PipelineSpec, SourceSpec
@@ -109,10 +110,10 @@ def scd_type2_table(spark, sf_dir):
 
 
 def _loaded(spark, sf_dir, scd_type, days, **options):
-    """The dimension after some days' loads by its type."""
+    """The dimension after some days' loads by its type: the first days, or those listed in that order."""
     name = fresh_name("customers")
     spec = PipelineSpec(name, SourceSpec("csv", "unused"), f"staging.{name}", f"target.{name}_dim", scd_type, **options)
-    for day in range(days):
+    for day in range(days) if isinstance(days, int) else days:
         dim = apply_scd(overwrite_table(state(spark, sf_dir, day), spec.staging_table), spec, DAYS[day])
     return dim
 
@@ -212,7 +213,41 @@ def scd_type6(spark, sf_dir):
     return dim
 
 
-CHECKS.append(Check("scd_type6_table", lambda spark, sf_dir: _loaded(spark, sf_dir, 6, 3), CHECKS[-1].sql))
+_TYPE6 = CHECKS[-1].sql
+CHECKS.append(Check("scd_type6_table", lambda spark, sf_dir: _loaded(spark, sf_dir, 6, 3), _TYPE6))
+
+
+def _out_of_order(spark, sf_dir, first, merge, days=(2, 0, 1)):
+    """The three days in another order, with the sightings of the batches so far."""
+    dim = seen = None
+    for day in days:
+        batch, date = state(spark, sf_dir, day), scd.load_date(DAYS[day])
+        dim = first(batch, TRACKED, DAYS[day]) if dim is None else merge(_stored(dim), batch, KEYS, TRACKED, DAYS[day], seen=seen)
+        sighted = sightings(batch, KEYS, date)
+        seen = _stored(sighted if seen is None else seen.unionByName(sighted))
+    return dim
+
+
+@CHECKS.add(_TYPE2)
+def scd_type2_late(spark, sf_dir):
+    """The last day first, then the days before it."""
+    return _out_of_order(spark, sf_dir, scd.scd2_initial, scd.scd2_merge)
+
+
+@CHECKS.add(_TYPE2)
+def scd_type2_late_table(spark, sf_dir):
+    """The middle day last, as loads of a stored dimension."""
+    return _loaded(spark, sf_dir, 2, (0, 2, 1), late_batches=True)
+
+
+@CHECKS.add(_TYPE6)
+def scd_type6_late(spark, sf_dir):
+    return _out_of_order(spark, sf_dir, scd.scd6_initial, scd.scd6)
+
+
+@CHECKS.add(_TYPE6)
+def scd_type6_late_table(spark, sf_dir):
+    return _loaded(spark, sf_dir, 6, (2, 0, 1), late_batches=True)
 
 
 @CHECKS.add(f"""
@@ -228,3 +263,10 @@ def scd_changes(spark, sf_dir):
             "WHERE start_date <= DATE '2024-01-02' AND (end_date IS NULL OR end_date > DATE '2024-01-02')")
 def scd_as_of(spark, sf_dir):
     return scd.as_of(_three_days(spark, sf_dir), "2024-01-02").select("id", "name", "department", "salary")
+
+
+@CHECKS.add(CHECKS[-1].sql)
+def scd_as_of_late(spark, sf_dir):
+    """The state of a day in between, which was loaded last."""
+    dim = _loaded(spark, sf_dir, 2, (0, 2, 1), late_batches=True)
+    return scd.as_of(dim, "2024-01-02").select("id", "name", "department", "salary")

@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from checks.base import Checks, fresh_name, table
+from checks.dimensions import CHECKS as DIMENSIONS
 from checks.dimensions import DAYS, _STATES, _TYPE2
 from checks.school import _MESSAGES, _STATE_ROWS, family_contacts
 from dimflow.sources.storage import work_dir
 from dimflow.spec import PipelineSpec, SourceSpec
-from dimflow.streaming import sessions
+from dimflow.streaming import history, sessions
 from dimflow.streaming.dimension_feed import feed_dimension
 
 CHECKS = Checks()
@@ -35,3 +36,44 @@ def scd_type2_by_stream(spark, sf_dir):
         rows.withColumn("id", F.col("id").cast("string")).write.mode("append").parquet(folder)
         feed_dimension(spark.readStream.schema(schema).parquet(folder), spec, checkpoint, DAYS[day]).awaitTermination()
     return spark.table(spec.target_table)
+
+
+def _dealt(df, parts, folder, key):
+    """Append some of four parts of ``df``, cut without regard to time, as a file each."""
+    for part in parts:
+        df.filter(F.pmod(F.hash(*key), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(folder)
+
+
+@CHECKS.add(_STATE_ROWS)
+def session_state_stream_late(spark, sf_dir):
+    """Messages dealt over files, so that most come after later ones of their sender; a mark closes the day."""
+    talks, folder, out = table(spark, sf_dir, "conversations"), work_dir(spark, "talks"), work_dir(spark, "sessions")
+    _dealt(talks, range(4), folder, ("conv_id", "turn"))
+    spark.createDataFrame([(None, 10_000_000, None, None)], talks.schema).coalesce(1).write.mode("append").parquet(folder)
+    messages = spark.sql(_MESSAGES, conversations=sessions.message_stream(spark, folder, talks.schema, max_bytes=1))
+    states = sessions.session_state_ordered(messages, family_contacts(spark, sf_dir), F.timestamp_seconds(F.col("seq") * 60),
+                                            "1000 days", F.col("from_number").isNull(), 3_600_000)
+    sessions.write_sessions(states, out, work_dir(spark, "checkpoint"))
+    return spark.read.schema(f"{sessions.OUTPUT}, late BOOLEAN").parquet(out).filter("NOT late").drop("late")
+
+
+@CHECKS.add(next(c.sql for c in DIMENSIONS if c.name == "scd_type2_from_log"))
+def scd_type2_from_log_stream(spark, sf_dir):
+    """The event log dealt over files in no order, taken up in two runs; a mark closes the log."""
+    events, folder, out, checkpoint = table(spark, sf_dir, "events"), *(work_dir(spark, x) for x in ("log", "history", "checkpoint"))
+    keys, tracked, order = ["user_id"], ["event_type"], ["ts", "event_id"]
+    log = events.select("user_id", "event_type", "ts", "event_id")
+
+    def run():
+        stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        versions = history.history_stream(stream, keys, tracked, order, "1000 days", F.col("event_id").isNull(), 30 * 86_400_000)
+        history.write_history(versions, out, checkpoint)
+
+    _dealt(log, (0, 1), folder, ("event_id",))
+    run()
+    _dealt(log, (2, 3), folder, ("event_id",))
+    mark = log.limit(1).select(*[F.lit(None).cast(log.schema[c].dataType).alias(c) if c != "ts" else F.lit("2099-01-01").cast(
+        log.schema[c].dataType).alias(c) for c in log.columns])
+    mark.coalesce(1).write.mode("append").parquet(folder)
+    run()
+    return history.history_of(spark.read.parquet(out), keys, tracked, order)

@@ -17,11 +17,11 @@ PLAN = "improvement_plan"
 PLAN_WORD = "improve"
 
 
-def readable(messages: DataFrame) -> DataFrame:
-    """``from_number, seq, text, intent, _phone`` from messages ``from_number, seq, body, model_reply``."""
+def readable(messages: DataFrame, *more: str) -> DataFrame:
+    """``from_number, seq, text, intent, _phone`` and ``more`` from messages ``from_number, seq, body, model_reply``."""
     return messages.select("from_number", "seq", normalize_text(F.col("body")).alias("text"),
                            parse_intent(F.col("model_reply")).alias("intent"),
-                           strip_address(F.col("from_number")).alias("_phone"))
+                           strip_address(F.col("from_number")).alias("_phone"), *more)
 
 
 def families(contacts: DataFrame) -> DataFrame:
@@ -29,9 +29,9 @@ def families(contacts: DataFrame) -> DataFrame:
     return contacts.groupBy(F.col("whatsapp_number").alias("_phone")).agg(F.count(F.lit(1)).alias("_children"))
 
 
-def with_children(joined: DataFrame) -> DataFrame:
+def with_children(joined: DataFrame, *more: str) -> DataFrame:
     children = F.coalesce("_children", F.lit(0))
-    return joined.select("from_number", "seq", "text", children.alias("children"), "intent")
+    return joined.select("from_number", "seq", "text", children.alias("children"), "intent", *more)
 
 
 def prepare_messages(messages: DataFrame, contacts: DataFrame, limit: int = HOT_ROWS) -> DataFrame:

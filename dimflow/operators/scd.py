@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from dimflow.functions.protect import row_hash
 from dimflow.operators.skew import BROADCAST_BYTES, HOT_ROWS, OrderedGroups, byte_size, join_skewed
+from dimflow.operators.splice import is_late, splice, spliced
+from dimflow.sources.storage import checkpointed
 
 VALIDITY = ("start_date", "end_date", "is_current")
 
@@ -109,9 +111,26 @@ def scd2_changes(current: DataFrame, stage: DataFrame, keys: Sequence[str], trac
     return _versions(_paired(current, staged, keys, tracked), current.columns, closing, opening)
 
 
+def _with_late(dim: DataFrame, stage: DataFrame, keys: Sequence[str], tracked: Sequence[str], as_of: str | None,
+               seen: DataFrame | None) -> DataFrame | None:
+    """The history with a batch put between its versions, or None if nothing is known of the batch's day or later."""
+    date = load_date(as_of)
+    if not is_late(dim, date, seen):
+        return None
+    rows, replaced = splice(dim, with_hash(stage, tracked), keys, tracked, date, seen)
+    return spliced(dim, checkpointed(rows), checkpointed(replaced), keys)
+
+
 def scd2_merge(dim: DataFrame, stage: DataFrame, keys: Sequence[str], tracked: Sequence[str],
-               as_of: str | None = None) -> DataFrame:
-    """Full history: changed keys get a closed old and a new current version. The same batch again changes nothing."""
+               as_of: str | None = None, seen: DataFrame | None = None) -> DataFrame:
+    """Full history: changed keys get a closed old and a new current version. The same batch again changes nothing.
+
+    A batch of a day already known is put between the versions around it; with ``seen``, the sightings (``keys, seen_date``)
+    of all batches so far, every order of batches of different days gives the same history.
+    """
+    late = _with_late(dim, stage, keys, tracked, as_of, seen)
+    if late is not None:
+        return late
     changes = scd2_changes(dim.filter("is_current"), stage, keys, tracked, as_of)
     return dim.filter("NOT is_current").unionByName(changes)
 
@@ -198,8 +217,14 @@ def refresh_type6(closed: DataFrame, current: DataFrame, keys: Sequence[str], tr
 
 
 def scd6(dim: DataFrame, stage: DataFrame, keys: Sequence[str], tracked: Sequence[str], as_of: str | None = None,
-         limit: int = HOT_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Full history in which all versions of a key also show its newest values, and each its predecessor's."""
+         limit: int = HOT_ROWS, broadcast_bytes: int = BROADCAST_BYTES, seen: DataFrame | None = None) -> DataFrame:
+    """Full history in which all versions of a key also show its newest values, and each its predecessor's. Late batches
+    are taken as by :func:`scd2_merge`."""
+    late = _with_late(dim, stage, keys, tracked, as_of, seen)
+    if late is not None:
+        late = checkpointed(late)
+        current = late.filter("is_current")
+        return refresh_type6(late.filter("NOT is_current"), current, keys, tracked, limit, broadcast_bytes).unionByName(current)
     changes = scd6_changes(dim.filter("is_current"), stage, keys, tracked, as_of)
     closed = refresh_type6(dim.filter("NOT is_current"), changes.filter("is_current"), keys, tracked, limit,
                            broadcast_bytes)

@@ -3,6 +3,9 @@
 Every load writes its rows once, into its own partitions of ``<table>__loads``; then a view named like the dimension is
 replaced and shows the new state. Closed versions stay in the partitions of the load that closed them, so a load
 rewrites current rows only. A failed load leaves the view as it was, and its files are cleared by the next try.
+
+A late load replaces closed versions, too. It keeps their keys and starts in ``<table>__retired``; the view leaves out what an
+earlier load closed under them. ``<table>__seen`` has the keys of every load with its date, where they are asked for.
 """
 
 from __future__ import annotations
@@ -22,16 +25,47 @@ def loads_table(table: str) -> str:
     return f"{table}__loads"
 
 
-def _number(spark: SparkSession, table: str, name: str) -> int:
+def retired_table(table: str) -> str:
+    return f"{table}__retired"
+
+
+def seen_table(table: str) -> str:
+    return f"{table}__seen"
+
+
+def _noted(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the view says of the load it shows."""
     if not spark.catalog.tableExists(table):
-        return 0
-    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == f"dimflow.{name}").first()
-    return int(found["value"]) if found else 0
+        return {}
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key").startswith("dimflow.")).collect()
+    return {r["key"].removeprefix("dimflow."): r["value"] for r in found}
 
 
 def load_number(spark: SparkSession, table: str) -> int:
     """The number of the load the dimension shows, 0 before the first."""
-    return _number(spark, table, "load")
+    return int(_noted(spark, table).get("load", 0))
+
+
+def newest_day(spark: SparkSession, table: str) -> str | None:
+    """The latest date of any load so far."""
+    return _noted(spark, table).get("newest")
+
+
+def seen_rows(spark: SparkSession, table: str) -> DataFrame | None:
+    """The sightings of the loads that the dimension shows, if they are kept."""
+    noted = _noted(spark, table)
+    if "seen" not in noted or not spark.catalog.tableExists(seen_table(table)):
+        return None
+    return spark.table(seen_table(table)).filter(F.col("load").between(int(noted["seen"]), int(noted["load"]))).drop("load")
+
+
+def keep_beside(rows: DataFrame, table: str, load: int) -> None:
+    """Store rows of a load in its own partition of a table beside the dimension, once however often the load is tried."""
+    spark = rows.sparkSession
+    ensure_database(spark, table)
+    if not spark.catalog.tableExists(table):
+        rows.limit(0).withColumn("load", F.lit(load)).write.format("parquet").partitionBy("load").saveAsTable(table)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (load = {load}) SELECT * FROM {{rows}}", rows=rows)
 
 
 def current_rows(spark: SparkSession, table: str) -> DataFrame:
@@ -57,7 +91,8 @@ def _clear(rows: DataFrame, loads: str, partition: str) -> None:
     spark.sql(f"ALTER TABLE {loads} DROP IF EXISTS PARTITION ({partition})")
 
 
-def _select(loads: str, columns: list[str], number: int, key: str | None, newest: Sequence[str], first: int = 1) -> str:
+def _select(loads: str, columns: list[str], number: int, key: str | None, newest: Sequence[str], first: int = 1,
+            retired: str | None = None) -> str:
     """The query behind the dimension after load ``number``, with versions closed since load ``first``.
 
     The flag is shown as a literal per branch, so that a reader of current rows never plans the closed ones.
@@ -69,6 +104,10 @@ def _select(loads: str, columns: list[str], number: int, key: str | None, newest
         return f"SELECT {listed('')} FROM {loads} WHERE load = {number}"
     current = f"FROM {loads} WHERE load = {number} AND is_current"
     closed = f"SELECT {listed('false')} FROM {loads} WHERE load BETWEEN {first} AND {number} AND NOT is_current"
+    if retired:
+        closed = (f"SELECT {listed('false')} FROM {loads} l LEFT ANTI JOIN {retired} r ON l.{quoted(key)} = r.{quoted(key)} "
+                  f"AND l.start_date = r.start_date AND l.load < r.load AND r.load <= {number} "
+                  f"WHERE load BETWEEN {first} AND {number} AND NOT is_current")
     if newest:
         fresh = {f"current_{c}": f"n.{quoted(c)} AS {quoted(f'current_{c}')}" for c in newest}
         names = ", ".join(fresh.get(c, f"c.{quoted(c)}") for c in columns)
@@ -78,18 +117,25 @@ def _select(loads: str, columns: list[str], number: int, key: str | None, newest
     return f"SELECT {listed('true')} {current} UNION ALL {closed}"
 
 
-def publish(rows: DataFrame, table: str, key: str | None = None, newest: Sequence[str] = (), afresh: bool = False) -> int:
+def publish(rows: DataFrame, table: str, key: str | None = None, newest: Sequence[str] = (), afresh: bool = False,
+            day: str | None = None, seen: DataFrame | None = None, retired: DataFrame | None = None) -> int:
     """Write a load and show it. ``rows`` are the current rows and, with versions, those this load closed. ``afresh``
     leaves out the versions closed by earlier loads, from the moment the view is replaced.
 
     For the columns in ``newest`` closed versions show in ``current_<c>`` what the key's current version holds; that
-    is joined on when read, so a load need not rewrite history for it.
+    is joined on when read, so a load need not rewrite history for it. ``seen`` are the load's sightings on its ``day``;
+    ``retired`` (the key and start_date) are closed versions that ``rows`` replace.
     """
     spark, loads = rows.sparkSession, loads_table(table)
     ensure_database(spark, table)
-    number, path = load_number(spark, table) + 1, table_path(spark, loads)
+    noted = _noted(spark, table)
+    number, path = int(noted.get("load", 0)) + 1, table_path(spark, loads)
     versioned = "is_current" in rows.columns
     partitions = ["load", "is_current"] if versioned else ["load"]
+    if seen is not None:
+        keep_beside(seen, seen_table(table), number)
+    if retired is not None:
+        keep_beside(retired, retired_table(table), number)
     stored = rows.withColumn("load", F.lit(number)).write.format("parquet").partitionBy(*partitions)
     if number == 1:
         # also replaces what a failed first load or a forgotten table left there
@@ -99,9 +145,14 @@ def publish(rows: DataFrame, table: str, key: str | None = None, newest: Sequenc
             for flag in FLAGS if versioned else ("",):
                 _clear(rows, loads, f"load={number}" + (f", is_current={flag}" if flag else ""))
         stored.mode("append").saveAsTable(loads)
-    first = number if afresh else _number(spark, table, "first") or 1
-    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('dimflow.load' = '{number}', 'dimflow.first' = '{first}') AS "
-              + _select(loads, rows.columns, number, key, newest, first))
+    old = {} if afresh else noted
+    facts = {"load": number, "first": number if afresh else old.get("first", 1)}
+    facts |= {"newest": max(day, old.get("newest", day))} if day else {}
+    facts |= {"seen": old.get("seen", number)} if seen is not None else {}  # from this load on
+    facts |= {"retired": "true"} if retired is not None or "retired" in old else {}
+    listed = ", ".join(f"'dimflow.{k}' = '{v}'" for k, v in facts.items())
+    select = _select(loads, rows.columns, number, key, newest, int(facts["first"]), retired_table(table) if "retired" in facts else None)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ({listed}) AS {select}")
     # readers of the previous state may still be running; the one before has been replaced for a whole load
     if number > 2:
         _clear(rows, loads, f"load={number - 2}" + (", is_current=true" if versioned else ""))
@@ -112,4 +163,5 @@ def reset(spark: SparkSession, table: str) -> None:
     """Forget a dimension; its next load is a first load."""
     ensure_database(spark, table)
     spark.sql(f"DROP VIEW IF EXISTS {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {loads_table(table)}")
+    for beside in (loads_table, retired_table, seen_table):
+        spark.sql(f"DROP TABLE IF EXISTS {beside(table)}")

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.operators import scd
+from dimflow.operators.splice import sightings, splice, spliced
 from dimflow.operators.access import create_secure_view
 from dimflow.operators.cleaning import clean, dedup_latest
-from dimflow.plans.dimension_table import current_rows, load_number, publish
+from dimflow.plans.dimension_table import current_rows, keep_beside, load_number, newest_day, publish, seen_rows
 from dimflow.sources.readers import read_source
-from dimflow.sources.tables import ensure_database, export_csv, overwrite_table
+from dimflow.sources.storage import checkpointed
+from dimflow.sources.tables import export_csv, overwrite_table
 from dimflow.spec import PipelineSpec, check_specs
 
 
@@ -36,18 +38,27 @@ def _require_one_row_per_key(staged: DataFrame, spec: PipelineSpec) -> None:
 
 
 def apply_scd(staged: DataFrame, spec: PipelineSpec, as_of: str | None = None) -> DataFrame:
-    """Bring a staged batch into the pipeline's dimension by its SCD type and return the dimension."""
+    """Bring a staged batch into the pipeline's dimension by its SCD type and return the dimension.
+
+    With types 2 and 6 a batch may be of an earlier day than others loaded before; it is then put between their versions.
+    """
     check_specs([spec])
     spark, table, keys, tracked = staged.sparkSession, spec.target_table, [spec.key], list(spec.tracked)
     if spec.merges:
         _require_one_row_per_key(staged, spec)
     first = not spec.merges or load_number(spark, table) == 0
     current = None if first else current_rows(spark, table)
+    more = {}
+    if spec.scd_type in (2, 6):
+        as_of = str(spark.sql("SELECT 1").select(scd.load_date(as_of)).first()[0])
+        more = {"day": as_of} | ({"seen": sightings(staged, keys, scd.load_date(as_of))} if spec.late_batches else {})
     match spec.scd_type:
         case 0:
             rows = staged if first else scd.scd0(current, staged, keys)
         case 1:
             rows = scd.scd1_reload(staged, tracked) if first else scd.scd1_upsert(current, staged, keys, tracked)
+        case 2 | 6 if not first and as_of <= (newest_day(spark, table) or "9999"):
+            rows, more["retired"] = _late(current, staged, spec, as_of)
         case 2:
             rows = (scd.scd2_initial(staged, tracked, as_of) if first
                     else scd.scd2_changes(current, staged, keys, tracked, as_of))
@@ -57,23 +68,22 @@ def apply_scd(staged: DataFrame, spec: PipelineSpec, as_of: str | None = None) -
             rows = scd.scd1_reload(staged, tracked)
             if not first:
                 rows, replaced = scd.scd4(current, staged, keys, tracked, as_of)
-                _keep_replaced(replaced, history_table(spec), load_number(spark, table) + 1)
+                keep_beside(replaced, history_table(spec), load_number(spark, table) + 1)
         case 6:
             rows = (scd.scd6_initial(staged, tracked, as_of) if first
                     else scd.scd6_changes(current, staged, keys, tracked, as_of))
     # a reload replaces what is there in the step that shows it
-    publish(rows, table, spec.key, tracked if spec.scd_type == 6 else (), afresh=not spec.merges)
+    publish(rows, table, spec.key, tracked if spec.scd_type == 6 else (), afresh=not spec.merges, **more)
     return spark.table(table)
 
 
-def _keep_replaced(replaced: DataFrame, table: str, load: int) -> None:
-    """Store a load's replaced rows in its own partition, once however often the load is tried."""
-    spark = replaced.sparkSession
-    ensure_database(spark, table)
-    rows = replaced.withColumn("load", F.lit(load))
-    if not spark.catalog.tableExists(table):
-        rows.limit(0).write.format("parquet").partitionBy("load").saveAsTable(table)
-    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (load = {load}) SELECT * FROM {{rows}}", rows=replaced)
+def _late(current: DataFrame, staged: DataFrame, spec: PipelineSpec, as_of: str) -> tuple[DataFrame, DataFrame]:
+    """(current rows and versions that a late load closes, key and start of all it replaces)."""
+    spark, keys = staged.sparkSession, [spec.key]
+    rows, replaced = splice(spark.table(spec.target_table), scd.with_hash(staged, spec.tracked), keys, list(spec.tracked),
+                            scd.load_date(as_of), seen_rows(spark, spec.target_table))
+    rows, replaced = checkpointed(rows), checkpointed(replaced)
+    return spliced(current, rows, replaced, keys), replaced
 
 
 def run_pipeline(spark: SparkSession, spec: PipelineSpec, export_dir: str, as_of: str | None = None,

@@ -45,6 +45,8 @@ class PipelineSpec:
     key_type: str = "int"
     int_type: str = "int"
     hash_salt: str | None = None
+    #: Keep the keys of every load of types 2 and 6, so that the order in which days are loaded does not matter.
+    late_batches: bool = False
 
     @property
     def merges(self) -> bool:

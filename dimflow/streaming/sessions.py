@@ -10,11 +10,12 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from dimflow.operators.messages import PLAN, PLAN_WORD, choice, families, readable, with_children
 from dimflow.sources.storage import checkpointed
+from dimflow.streaming.ordered import AT, BUCKET_MS, OrderedProcessor, in_order, timed
 
 # the state handler travels to the workers by value, so they need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -29,6 +30,29 @@ def _earlier(values: pd.Series, at_start: Any) -> pd.Series:
     return values.shift(1, fill_value=at_start).ffill()
 
 
+def _turns(talk: pd.DataFrame, child: int | None, mark: str | None) -> tuple[pd.DataFrame, tuple[int | None, str | None]]:
+    """The turns of a sender's next messages, which are in order, and (chosen child, last mark) after them."""
+    picks = talk["pick"].astype("Int64")
+    valid = picks.where(picks > 0)
+    selected = _earlier(valid, pd.NA if child is None else child)
+    several = talk["children"] > 1
+    turn = pd.Series(np.select(
+        [talk["children"] == 0, valid.notna(), picks.eq(0).fillna(False), several & selected.isna()],
+        ["unregistered", "select", "menu", "menu"], "ask"))
+    asks = turn == "ask"
+    marks = pd.Series(np.select([turn == "select", asks & (talk["intent"] == "summary")],
+                                ["selection", "summary"], None), dtype=object)
+    after = _earlier(marks, mark).eq("summary")
+    plan = asks & after & talk["text"].str.contains(PLAN_WORD, regex=False).fillna(False).astype(bool)
+    children = valid.where(turn == "select", selected.fillna(1).where(asks))
+    newest = [x for x in (child, *valid.dropna().tail(1)) if x is not None]
+    last = [x for x in (mark, *marks.dropna().tail(1)) if x is not None]
+    turns = pd.DataFrame({"from_number": talk["from_number"], "seq": talk["seq"], "turn": turn, "child": children,
+                          "after_summary": after,
+                          "intent": talk["intent"].where(~plan, PLAN).where(asks, None)})
+    return turns, (int(newest[-1]) if newest else None, last[-1] if last else None)
+
+
 class SessionProcessor(StatefulProcessor):
     """Keeps (chosen child, last mark) per sender; the rows of one sender in a micro-batch are taken in seq order.
 
@@ -40,32 +64,33 @@ class SessionProcessor(StatefulProcessor):
         self._session = handle.getValueState("session", "child BIGINT, mark STRING")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        child, mark = self._session.get() if self._session.exists() else (None, None)
-        talk = pd.concat(list(rows)).sort_values("seq", ignore_index=True)
-        picks = talk["pick"].astype("Int64")
-        valid = picks.where(picks > 0)
-        selected = _earlier(valid, pd.NA if child is None else child)
-        several = talk["children"] > 1
-        turn = pd.Series(np.select(
-            [talk["children"] == 0, valid.notna(), picks.eq(0).fillna(False), several & selected.isna()],
-            ["unregistered", "select", "menu", "menu"], "ask"))
-        asks = turn == "ask"
-        marks = pd.Series(np.select([turn == "select", asks & (talk["intent"] == "summary")],
-                                    ["selection", "summary"], None), dtype=object)
-        after = _earlier(marks, mark).eq("summary")
-        plan = asks & after & talk["text"].str.contains(PLAN_WORD, regex=False).fillna(False).astype(bool)
-        children = valid.where(turn == "select", selected.fillna(1).where(asks))
-        newest = [x for x in (child, *valid.dropna().tail(1)) if x is not None]
-        last = [x for x in (mark, *marks.dropna().tail(1)) if x is not None]
-        self._session.update((int(newest[-1]) if newest else None, last[-1] if last else None))
-        yield pd.DataFrame({"from_number": talk["from_number"], "seq": talk["seq"], "turn": turn, "child": children,
-                            "after_summary": after,
-                            "intent": talk["intent"].where(~plan, PLAN).where(asks, None)})
+        state = self._session.get() if self._session.exists() else (None, None)
+        turns, state = _turns(pd.concat(list(rows)).sort_values("seq", ignore_index=True), *state)
+        self._session.update(state)
+        yield turns
 
     def close(self) -> None:
         pass
 
 
+class OrderedSessionProcessor(OrderedProcessor):
+    """As :class:`SessionProcessor`, with the messages of all micro-batches in order."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self._session = handle.getValueState("session", "child BIGINT, mark STRING")
+
+    def take(self, key: Any, rows: pd.DataFrame) -> pd.DataFrame:
+        state = self._session.get() if self._session.exists() else (None, None)
+        turns, state = _turns(rows, *state)
+        self._session.update(state)
+        return turns.assign(late=False)
+
+    def late(self, rows: pd.DataFrame) -> pd.DataFrame:
+        unknown = {"turn": None, "child": None, "after_summary": None, "intent": rows["intent"], "late": True}
+        return rows[["from_number", "seq"]].assign(**unknown)
+
+
 def message_stream(spark: SparkSession, path: str, schema: Any, max_bytes: int = 1 << 30, **options: Any) -> DataFrame:
     """Parquet message files as a stream of micro-batches of at most ``max_bytes`` (or one file, if that is larger)."""
     return spark.readStream.schema(schema).options(maxBytesPerTrigger=max_bytes, **options).parquet(path)
@@ -77,13 +102,30 @@ def session_state_stream(messages: DataFrame, contacts: DataFrame) -> DataFrame:
     Messages are taken in the order of ``seq`` within a micro-batch and of arrival across micro-batches: one that comes
     after a later one of its sender in another micro-batch meets the state that one left.
     """
-    joined = readable(messages).join(checkpointed(families(contacts)), "_phone", "left")
-    rows = with_children(joined)
-    rows = rows.withColumn("pick", choice())
+    rows = _prepared(readable(messages), contacts)
     return rows.groupBy("from_number").transformWithStateInPandas(
         statefulProcessor=SessionProcessor(), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
 
 
+def _prepared(rows: DataFrame, contacts: DataFrame, *more: str) -> DataFrame:
+    joined = rows.join(checkpointed(families(contacts)), "_phone", "left")
+    return with_children(joined, *more).withColumn("pick", choice())
+
+
+def session_state_ordered(messages: DataFrame, contacts: DataFrame, event_time: Column, delay: str, clock: Column | None = None,
+                          bucket_ms: int = BUCKET_MS) -> DataFrame:
+    """:func:`session_state_stream` over messages in any order: the columns of that, and ``late``.
+
+    Messages are taken by event time and ``seq`` once the watermark, ``delay`` behind the newest message, has passed them; what
+    is still within the delay when the stream ends is taken by the next run. A message that the watermark had passed before it
+    came changes no state: it is given out with ``late`` true and without a turn. Rows for which ``clock`` holds are no
+    messages and only move the watermark, e.g. to close a day.
+    """
+    rows = timed(messages, event_time, delay, clock)
+    rows = _prepared(readable(rows, AT), contacts, AT)
+    return in_order(rows, ["from_number"], OrderedSessionProcessor(["seq"], bucket_ms), f"{OUTPUT}, late BOOLEAN")
+
+
 @contextmanager
 def rocksdb_state(spark: SparkSession):
     """Streams started inside keep their state in RocksDB; the session's own setting comes back afterwards."""
@@ -99,8 +141,11 @@ def rocksdb_state(spark: SparkSession):
 
 
 def write_sessions(states: DataFrame, path: str, checkpoint: str) -> None:
-    """Process what is there into Parquet files, each message once over all runs with the same checkpoint."""
+    """Process what is there into Parquet files, each message once over all runs with the same checkpoint. Late messages, where
+    the states have them, go to a folder of their own, ``late=true``."""
     with rocksdb_state(states.sparkSession):
-        query = (states.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-                 .option("path", path).trigger(availableNow=True).start())
+        writer = states.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", path)
+        if "late" in states.columns:
+            writer = writer.partitionBy("late")
+        query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
