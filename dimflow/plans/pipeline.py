@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from dimflow.operators import scd
-from dimflow.operators.splice import sightings, splice, spliced
 from dimflow.operators.access import create_secure_view
 from dimflow.operators.cleaning import clean, dedup_latest
-from dimflow.plans.dimension_table import current_rows, keep_beside, load_number, newest_day, publish, seen_rows
+from dimflow.operators.splice import sightings, splice, spliced
+from dimflow.plans.commits import ConcurrentLoad
+from dimflow.plans.dimension_table import current_rows, publish, seen_rows, settle
 from dimflow.sources.readers import read_source
 from dimflow.sources.storage import checkpointed
 from dimflow.sources.tables import export_csv, overwrite_table
 from dimflow.spec import PipelineSpec, check_specs
 
+TRIES = 3
+
 
 def stage(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     """Read, clean, optionally keep the newest row per key, and store as the staging table."""
@@ -37,27 +39,39 @@ def _require_one_row_per_key(staged: DataFrame, spec: PipelineSpec) -> None:
         raise ValueError(f"{spec.pipeline_name}: key {repeated[0][0]!r} is staged more than once; set dedup_order")
 
 
-def apply_scd(staged: DataFrame, spec: PipelineSpec, as_of: str | None = None) -> DataFrame:
+def apply_scd(staged: DataFrame, spec: PipelineSpec, as_of: str | None = None, tries: int = TRIES) -> DataFrame:
     """Bring a staged batch into the pipeline's dimension by its SCD type and return the dimension.
 
     With types 2 and 6 a batch may be of an earlier day than others loaded before; it is then put between their versions.
+    If another load is committed meanwhile, the batch is merged again with what that left, up to ``tries`` times in all.
     """
     check_specs([spec])
-    spark, table, keys, tracked = staged.sparkSession, spec.target_table, [spec.key], list(spec.tracked)
     if spec.merges:
         _require_one_row_per_key(staged, spec)
-    first = not spec.merges or load_number(spark, table) == 0
+    while True:
+        tries -= 1
+        try:
+            return _load(staged, spec, as_of)
+        except ConcurrentLoad:
+            if tries <= 0:
+                raise
+
+
+def _load(staged: DataFrame, spec: PipelineSpec, as_of: str | None) -> DataFrame:
+    spark, table, keys, tracked = staged.sparkSession, spec.target_table, [spec.key], list(spec.tracked)
+    base = settle(spark, table)
+    first = not spec.merges or "load" not in base
     current = None if first else current_rows(spark, table)
-    more = {}
+    more = {"base": base}
     if spec.scd_type in (2, 6):
         as_of = str(spark.sql("SELECT 1").select(scd.load_date(as_of)).first()[0])
-        more = {"day": as_of} | ({"seen": sightings(staged, keys, scd.load_date(as_of))} if spec.late_batches else {})
+        more |= {"day": as_of} | ({"seen": sightings(staged, keys, scd.load_date(as_of))} if spec.late_batches else {})
     match spec.scd_type:
         case 0:
             rows = staged if first else scd.scd0(current, staged, keys)
         case 1:
             rows = scd.scd1_reload(staged, tracked) if first else scd.scd1_upsert(current, staged, keys, tracked)
-        case 2 | 6 if not first and as_of <= (newest_day(spark, table) or "9999"):
+        case 2 | 6 if not first and as_of <= base.get("newest", "9999"):
             rows, more["retired"] = _late(current, staged, spec, as_of)
         case 2:
             rows = (scd.scd2_initial(staged, tracked, as_of) if first
@@ -68,7 +82,7 @@ def apply_scd(staged: DataFrame, spec: PipelineSpec, as_of: str | None = None) -
             rows = scd.scd1_reload(staged, tracked)
             if not first:
                 rows, replaced = scd.scd4(current, staged, keys, tracked, as_of)
-                keep_beside(replaced, history_table(spec), load_number(spark, table) + 1)
+                more["replaced"] = history_table(spec), replaced
         case 6:
             rows = (scd.scd6_initial(staged, tracked, as_of) if first
                     else scd.scd6_changes(current, staged, keys, tracked, as_of))
