@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks.base import Checks, fresh_name, table
 from dimflow.operators import quality
 from dimflow.plans.pipeline import run_pipelines
-from dimflow.sources import readers, tables
+from dimflow.sources import compare, readers, tables
 from dimflow.sources.storage import work_dir
 from dimflow.spec import PipelineSpec, SourceSpec
 
@@ -126,6 +126,20 @@ def sink_readback_report(spark, sf_dir):
     return tables.validate_readback(orders, name)
 
 
+@CHECKS.add("""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_totalprice > 450000 THEN 'missing' ELSE 'changed' END AS difference FROM orders
+WHERE o_orderstatus = 'P' AND o_totalprice > 450000 OR o_orderpriority LIKE '1%' AND o_totalprice < 60000
+UNION ALL SELECT -o_orderkey, 'extra' FROM orders WHERE o_totalprice > 490000""")
+def sink_readback_diff(spark, sf_dir):
+    """A stored copy of the orders with some of them lost, some altered and some that never were, against the orders."""
+    name, orders = f"staging.{fresh_name('compared')}", table(spark, sf_dir, "orders")
+    lost = "NOT (o_orderstatus = 'P' AND o_totalprice > 450000)"
+    altered = F.expr("CASE WHEN o_orderpriority LIKE '1%' AND o_totalprice < 60000 THEN NULL ELSE o_orderpriority END")
+    extra = orders.filter("o_totalprice > 490000").withColumn("o_orderkey", -F.col("o_orderkey"))
+    stored = compare.overwrite_ranged(orders.filter(lost).withColumn("o_orderpriority", altered).unionByName(extra), name, ["o_orderkey"])
+    return compare.differences(orders, stored, ["o_orderkey"])
+
+
 @CHECKS.add("SELECT c_custkey AS id, '****' AS name_masked, c_mktsegment AS department FROM customer")
 def sink_export_dashboard(spark, sf_dir):
     view, path = fresh_name("board"), work_dir(spark, "board")

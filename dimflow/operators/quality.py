@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimflow.operators import bloom
 from dimflow.operators.skew import BROADCAST_BYTES, HOT_ROWS, byte_size, join_skewed
 from dimflow.sources.storage import checkpointed
 
@@ -75,6 +76,24 @@ def foreign_key(column: str, parent: DataFrame, parent_key: str) -> Rule:
     return Rule(f"{column}_foreign_key", "foreign_key", column, parent=parent, parent_key=parent_key)
 
 
+def mark_orphans(df: DataFrame, base: DataFrame, parents: DataFrame, column: str, mark: str, limit: int,
+                 broadcast_bytes: int) -> DataFrame:
+    """``df`` with ``mark`` true where ``column`` is a value that ``parents`` lack, for parents too many to broadcast.
+
+    Only the different values of the column (in ``base``) meet the parents, not the rows. The values that have no parent are
+    broadcast to the rows if they are few; else a Bloom filter of them is, which settles the rows it does not hold, and only
+    the others are joined with the values themselves.
+    """
+    values = base.select(column).filter(F.col(column).isNotNull()).distinct()
+    orphans = checkpointed(values.join(parents, column, "left_anti").withColumn(mark, F.lit(True)))
+    if byte_size(orphans) <= broadcast_bytes:
+        return df.join(F.broadcast(orphans), column, "left")
+    may_be = bloom.probed(df, bloom.built(orphans, column, orphans.count()), column, "_may_be")
+    settled = may_be.filter("NOT _may_be").withColumn(mark, F.lit(None).cast("boolean"))
+    exact = join_skewed(may_be.filter("_may_be"), orphans, [column], "left", limit, broadcast_bytes)
+    return settled.drop("_may_be").unionByName(exact.drop("_may_be"))
+
+
 def _failure_flags(df: DataFrame, rules: Sequence[Rule], limit: int,
                    broadcast_bytes: int) -> tuple[DataFrame, list[Column]]:
     """The rows with what the set-wise rules need joined on, and one failing condition per rule."""
@@ -82,21 +101,22 @@ def _failure_flags(df: DataFrame, rules: Sequence[Rule], limit: int,
     for i, rule in enumerate(rules):
         failure = rule.row_failure()
         if failure is None:
-            mark, key, counts = f"_mark{i}", F.col(rule.column), None
+            mark, key = f"_mark{i}", F.col(rule.column)
             if rule.kind == "unique":
                 # counting combines per task first; only the repeated values, kept on disk, come back to the rows
                 counts = checkpointed(base.groupBy(rule.column).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1"))
                 # NULL is repeated too, and may be hot, but breaks no rule
                 found = counts.filter(key.isNotNull()).select(rule.column, F.lit(True).alias(mark))
                 failure = F.col(mark).isNotNull()
+                df = join_skewed(df, found, [rule.column], "left", limit, broadcast_bytes, counts)
             else:
-                found = (rule.parent.select(F.col(rule.parent_key).alias(rule.column)).distinct()
-                         .withColumn(mark, F.lit(True)))
-                failure = key.isNotNull() & F.col(mark).isNull()
-                # joins add no rows, so keys counted on the input hold for the rows joined so far
-                if byte_size(found) > broadcast_bytes:
-                    counts = base.groupBy(rule.column).agg(F.count(F.lit(1)).alias("_rows"))
-            df = join_skewed(df, found, [rule.column], "left", limit, broadcast_bytes, counts)
+                parents = rule.parent.select(F.col(rule.parent_key).alias(rule.column)).filter(key.isNotNull())
+                if byte_size(parents) <= broadcast_bytes:
+                    df = df.join(F.broadcast(parents.distinct().withColumn(mark, F.lit(True))), rule.column, "left")
+                    failure = key.isNotNull() & F.col(mark).isNull()
+                else:
+                    df = mark_orphans(df, base, parents, rule.column, mark, limit, broadcast_bytes)
+                    failure = F.col(mark).isNotNull()
         flags.append(F.coalesce(failure, F.lit(False)))
     return df, flags
 

@@ -1,0 +1,54 @@
+"""Bloom filters, and foreign keys whose parents are too many to broadcast."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from dimflow.operators import bloom, quality
+from dimflow.operators.quality import foreign_key, validate
+from tests.conftest import rows
+
+
+def test_filter_holds_its_keys_and_few_others(spark):
+    keys = spark.range(0, 20_000, 2).withColumnRenamed("id", "k")
+    made = bloom.built(keys, "k", 10_000)
+    assert made.count() <= bloom.words_for(10_000)
+    seen = bloom.probed(spark.range(0, 20_000).withColumnRenamed("id", "k"), made, "k", "may").groupBy((F.col("k") % 2).alias("odd")).agg(
+        F.count_if("may").alias("n"))
+    found = {r.odd: r.n for r in seen.collect()}
+    assert found[0] == 10_000 and found[1] < 1500
+
+
+def test_parts_merge_to_the_filter_of_all(spark):
+    df = spark.createDataFrame([(f"key {i}",) for i in range(500)] + [(None,)], "k STRING")
+    parts = [bloom.built(df.filter(F.crc32("k") % 3 == i), "k", 500) for i in range(3)]
+    whole = bloom.merged(parts[0].union(parts[1]).union(parts[2]))
+    assert rows(whole) == rows(bloom.built(df, "k", 500))
+    assert bloom.probed(df, whole, "k", "may").filter("may").count() == 500
+
+
+def test_an_empty_filter_holds_nothing_and_a_full_one_all(spark, monkeypatch):
+    df = spark.range(300).withColumnRenamed("id", "k")
+    assert bloom.probed(df, bloom.built(df.limit(0), "k", 0), "k", "may").filter("may").count() == 0
+    monkeypatch.setattr(bloom, "MOST_WORDS", 1)
+    assert bloom.probed(df, bloom.built(df, "k", 300), "k", "may").filter("may").count() == 300
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 26, 3_000, 0])
+def test_foreign_keys_by_all_three_ways(spark, broadcast_bytes):
+    child = spark.createDataFrame([(i, None if i % 50 == 0 else i % 400) for i in range(4000)], "id INT, p INT").repartition(4)
+    parents = spark.createDataFrame([(i,) for i in range(400) if i % 7] + [(None,), (1,)], "pk INT")
+    checked = validate(child, [foreign_key("p", parents, "pk")], broadcast_bytes=broadcast_bytes)
+    wrong = {r.id for r in checked.filter(F.size("violations") > 0).collect()}
+    assert wrong == {i for i in range(4000) if i % 50 and (i % 400) % 7 == 0}
+    assert checked.count() == 4000 and checked.columns == ["id", "p", "violations"]
+
+
+def test_rows_of_known_keys_are_not_shuffled(spark):
+    child = spark.range(4000).select(F.col("id"), (F.col("id") % 400).alias("p"))
+    parents = spark.range(395).withColumnRenamed("id", "p")
+    marked = quality.mark_orphans(child, child, parents, "p", "_mark", 10**6, 1 << 20)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    settled = bloom.probed(child, bloom.built(parents, "p", 395), "p", "may")
+    plan = settled._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    assert "Exchange hashpartitioning" not in plan
