@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from checks.base import Checks, table
+from checks.base import Checks, fresh_name, table
 from dimflow.functions import convert, text
 from dimflow.operators import cleaning, quality, shape
+from dimflow.plans import key_index
 from dimflow.spec import PipelineSpec, SourceSpec
 
 CHECKS = Checks()
@@ -110,6 +111,16 @@ def dedup_latest(spark, sf_dir):
     return cleaning.dedup_latest(events, ["user_id"], ["ts", "event_id"])
 
 
+@CHECKS.add(CHECKS[-1].sql)
+def dedup_latest_incremental(spark, sf_dir):
+    """The events in three deliveries, each merged into an index of the newest ones by user."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    name = f"target.{fresh_name('newest')}"
+    for day in (1, 0, 2):
+        found = key_index.merge_latest(events.filter(F.col("event_id") % 3 == day), name, ["user_id"], ["ts", "event_id"], 16)
+    return found
+
+
 _BROKEN = ("SELECT o_orderkey, nullif(o_custkey, 0) AS o_custkey, nullif(o_orderstatus, 'P') AS o_orderstatus, "
            "o_totalprice, o_orderpriority FROM {0}")
 _RULES = ("o_orderstatus_not_null", "o_totalprice_range", "o_orderpriority_regex", "o_orderstatus_in_set",

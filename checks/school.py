@@ -146,6 +146,18 @@ def weekly_digest_parts(spark, sf_dir):
         F.sort_array(F.collect_list(F.struct("part", "body"))), lambda p: p["body"]), "\n").alias("body"))
 
 
+_DATES = [f"2024-01-{d:02}" for d in range(1, 31)]
+
+
+@CHECKS.add(" UNION ALL ".join(f"SELECT DATE '{d}' AS date, * FROM ({_DIGEST.replace(DAY, d)})" for d in _DATES))
+def weekly_digest_daily(spark, sf_dir):
+    """The digests of thirty dates in one pass, the attendance from two deliveries."""
+    students, attendance, homework, grades = _facts(spark, sf_dir, _ATTENDANCE, _HOMEWORK, _GRADES)
+    first = F.col("attendance_date") < "2024-01-11"
+    by_day = facts.merged_days(facts.attendance_by_day(attendance.filter(first)), facts.attendance_by_day(attendance.filter(~first)))
+    return facts.weekly_digest_daily(students, by_day, homework, grades, _DATES, homework_order=("event_id",), unique=True)
+
+
 _PLAIN = """
 SELECT m.*, coalesce(n.children, 0) AS children, trim(lower(m.body)) AS text,
        CASE WHEN json_extract_string(model_reply, '$.intent') IN ('attendance', 'homework', 'grades', 'summary', 'fee',

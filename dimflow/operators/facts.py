@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow.functions.replies import DIGEST_HEADING, NO_GRADES, NO_HOMEWORK
@@ -23,17 +23,23 @@ def attendance_pct(students: DataFrame, attendance: DataFrame, as_of: str | None
 
 
 def _text_or(students: DataFrame, lines: DataFrame, order: Sequence[str], name: str, default: str, limit: int,
-             lines_per_part: int, unique: bool) -> DataFrame:
-    """Texts of the students' lines, and the default for students without any.
+             lines_per_part: int, unique: bool, dates: Sequence[str] = ()) -> DataFrame:
+    """Texts of the students' lines, and the default for students without any; with ``dates`` for each student and date.
 
     The lines are matched with the students, not the finished texts, which may be long and many for one student.
     """
-    known = students.select("student_id")
+    known, keys = students.select("student_id"), ["student_id", "date"] if dates else ["student_id"]
     own = join_skewed(lines, known, ["student_id"], "left_semi", limit)
-    texts = join_lines(own, ["student_id"], order, "line", name, "\n", lines_per_part, limit, unique)
-    without = known.join(lines.select("student_id").distinct(), "student_id", "left_anti")
-    return texts.select("student_id", "part", name).unionByName(
-        without.select("student_id", F.lit(1).cast("long").alias("part"), F.lit(default).alias(name)))
+    texts = join_lines(own, keys, order, "line", name, "\n", lines_per_part, limit, unique)
+    wanted = _dated(known, dates) if dates else known
+    without = wanted.join(lines.select(*keys).distinct(), keys, "left_anti")
+    return texts.select(*keys, "part", name).unionByName(
+        without.select(*keys, F.lit(1).cast("long").alias("part"), F.lit(default).alias(name)))
+
+
+def _dated(rows: DataFrame, dates: Sequence[str]) -> DataFrame:
+    """Every row once for each date."""
+    return rows.withColumn("date", F.explode(F.array(*[F.lit(d).cast("date") for d in dates])))
 
 
 def homework_text(students: DataFrame, homework: DataFrame, as_of: str | None = None,
@@ -69,22 +75,73 @@ def weekly_digest(students: DataFrame, attendance: DataFrame, homework: DataFram
     """
     works = homework_text(students, homework, as_of, homework_order, unique, limit, lines_per_part)
     marks = grades_text(students, grades, grades_order, False, limit, lines_per_part)
-    present = attendance_pct(students, attendance, as_of, days)
+    return _digests(works, marks, attendance_pct(students, attendance, as_of, days), ["student_id"])
+
+
+def _digests(works: DataFrame, marks: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
+    """Digests per ``keys`` from the parts of homework and grades and the attendance."""
     none = F.lit(None).cast("string")
-    more = works.filter("part > 1").groupBy("student_id").agg((F.max("part") - 1).alias("_shift"))
+    more = works.filter("part > 1").groupBy(*keys).agg((F.max("part") - 1).alias("_shift"))
     one = F.lit(1).cast("long")
-    rows = works.select("student_id", "part", F.lit(None).cast("double").alias("attendance_pct"), "homework",
+    rows = works.select(*keys, "part", F.lit(None).cast("double").alias("attendance_pct"), "homework",
                         none.alias("grades"), F.col("homework").alias("_first"), none.alias("_second"))
-    rows = rows.unionByName(marks.select("student_id", "part", F.lit(None).cast("double").alias("attendance_pct"),
+    rows = rows.unionByName(marks.select(*keys, "part", F.lit(None).cast("double").alias("attendance_pct"),
                                          none.alias("homework"), "grades", none.alias("_first"), none.alias("_second")))
     shifted = F.col("part") + F.coalesce("_shift", F.lit(0))
-    rows = rows.unionByName(marks.join(more, "student_id", "left").select(
-        "student_id", shifted.alias("part"), F.lit(None).cast("double").alias("attendance_pct"), none.alias("homework"),
+    rows = rows.unionByName(marks.join(more, keys, "left").select(
+        *keys, shifted.alias("part"), F.lit(None).cast("double").alias("attendance_pct"), none.alias("homework"),
         none.alias("grades"), none.alias("_first"), F.col("grades").alias("_second")))
-    rows = rows.unionByName(present.select("student_id", one.alias("part"), "attendance_pct", none.alias("homework"),
+    rows = rows.unionByName(present.select(*keys, one.alias("part"), "attendance_pct", none.alias("homework"),
                                            none.alias("grades"), none.alias("_first"), none.alias("_second")))
-    # at most four rows for each student and part
-    whole = rows.groupBy("student_id", "part").agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns[2:]])
+    # at most four rows for each student (and date) and part
+    whole = rows.groupBy(*keys, "part").agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns[len(keys) + 1:]])
     heading = F.when(F.col("part") == 1, render_prompt(DIGEST_HEADING, attendance=F.col("attendance_pct")))
-    return whole.select("student_id", "part", "attendance_pct", "homework", "grades",
+    return whole.select(*keys, "part", "attendance_pct", "homework", "grades",
                         F.concat_ws("\n", heading, "_first", "_second").alias("body"))
+
+
+def attendance_by_day(attendance: DataFrame) -> DataFrame:
+    """``student_id, attendance_date, present, total``: partial sums that :func:`merged_days` adds up. Rows without a date
+    count for no window."""
+    return attendance.filter(F.col("attendance_date").isNotNull()).groupBy("student_id", "attendance_date").agg(
+        F.count_if(F.col("status") == "Present").alias("present"), F.count(F.lit(1)).alias("total"))
+
+
+def merged_days(days: DataFrame, more: DataFrame) -> DataFrame:
+    """The sums of two deliveries of attendance, e.g. a stored table and a new day."""
+    return days.unionByName(more).groupBy("student_id", "attendance_date").agg(F.sum("present").alias("present"),
+                                                                              F.sum("total").alias("total"))
+
+
+def attendance_pct_daily(students: DataFrame, by_day: DataFrame, dates: Sequence[str], days: int = 7) -> DataFrame:
+    """``student_id, date, attendance_pct`` for all dates, as :func:`attendance_pct` gives it for each.
+
+    A window is what running sums over a student's days hold at its border, so all dates cost one pass over the days. A
+    student's days are few, as they were summed up before; days of other people than the students are left out.
+    """
+    points = _dated(students.select("student_id"), dates)
+    zero = F.lit(0).cast("long")
+    marks = points.select("student_id", F.date_sub("date", days).alias("day"), zero.alias("present"), zero.alias("total"), "date")
+    sums = by_day.select("student_id", F.col("attendance_date").alias("day"), "present", "total", F.lit(None).cast("date").alias("date"))
+    # from the last day backwards; a border comes after the rows of its own day
+    running = Window.partitionBy("student_id").orderBy(F.desc("day"), F.col("date").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    window = sums.unionByName(marks).select("student_id", "date", F.sum("present").over(running).alias("_p"),
+                                            F.sum("total").over(running).alias("_t")).filter(F.col("date").isNotNull())
+    pct = F.bround(F.try_divide(F.col("_p") * F.lit(100.0), F.col("_t")), 2)
+    return window.select("student_id", "date", F.coalesce(pct, F.lit(0.0)).alias("attendance_pct"))
+
+
+def weekly_digest_daily(students: DataFrame, by_day: DataFrame, homework: DataFrame, grades: DataFrame, dates: Sequence[str],
+                        days: int = 7, homework_order: Sequence[str] = ("line",), grades_order: Sequence[str] = ("line",),
+                        unique: bool = False, limit: int = HOT_ROWS, lines_per_part: int = LINES_PER_PART) -> DataFrame:
+    """:func:`weekly_digest` of many dates at once: its columns and ``date``.
+
+    Attendance comes as sums by day (:func:`attendance_by_day`), which a table can keep and each delivery add to; homework is
+    read once for all dates, and the grades' text, the same on every date, is made once.
+    """
+    line = render_prompt("- {subject}: {status}", subject=F.col("subject"), status=F.col("status")).alias("line")
+    lines = homework.withColumnRenamed("homework_date", "date").filter(F.col("date").isin([F.lit(d).cast("date") for d in dates]))
+    lines = lines.select("student_id", "date", *[c for c in homework_order if c != "line"], line)
+    works = _text_or(students, lines, homework_order, "homework", NO_HOMEWORK, limit, lines_per_part, unique, dates)
+    marks = _dated(grades_text(students, grades, grades_order, False, limit, lines_per_part), dates)
+    return _digests(works, marks, attendance_pct_daily(students, by_day, dates, days), ["student_id", "date"])

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from dimflow.plans import commits
 from dimflow.plans.commits import ConcurrentLoad, noted
+from dimflow.sources.storage import remove
 from dimflow.sources.tables import ensure_database, quoted, table_path
 
 FLAGS = ("true", "false")
@@ -78,7 +79,7 @@ def _keep_beside(rows: DataFrame, table: str, load: int) -> None:
     _put(rows, table, load)
 
 
-def _era(spark: SparkSession, table: str) -> str | None:
+def era_of(spark: SparkSession, table: str) -> str | None:
     """Names one creation of the loads table, so that commits to an earlier one do not count."""
     return noted(spark, loads_table(table)).get("era") if spark.catalog.tableExists(loads_table(table)) else None
 
@@ -96,21 +97,21 @@ def _ensure_loads(rows: DataFrame, table: str, first: bool) -> str:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {loads} ({columns}, load INT{', is_current BOOLEAN' * bool(flag)}) USING parquet "
               f"PARTITIONED BY ({', '.join(['load', *flag])}) LOCATION {commits.literal(table_path(spark, loads))} "
               + commits.properties({"era": uuid.uuid4().hex[:8]}))
-    return _era(spark, table)
+    return era_of(spark, table)
 
 
 def settle(spark: SparkSession, table: str) -> dict[str, str]:
     """The facts of the load that the next one starts from. Shows it, where its writer did not come to that."""
-    era = _era(spark, table)
+    era = era_of(spark, table)
     while True:
         facts = noted(spark, table)
         after = commits.following(spark, table, era, int(facts.get("load", 0))) if era else {}
         if not after:
             return facts
-        _show(spark, table, after)
+        show(spark, table, after)
 
 
-def _show(spark: SparkSession, table: str, facts: dict[str, object]) -> None:
+def show(spark: SparkSession, table: str, facts: dict[str, object]) -> None:
     """Replace the view, and that of replaced rows, by what a commit says."""
     shown = {k: v for k, v in facts.items() if k not in ("select", "beside", "beside_select")}
     if "beside" in facts:
@@ -127,8 +128,7 @@ def current_rows(spark: SparkSession, table: str) -> DataFrame:
 def _clear(spark: SparkSession, table: str, load: int, flag: str = "") -> None:
     """Forget and empty one partition."""
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (load={load}{f', is_current={flag}' if flag else ''})")
-    path = f"{table_path(spark, table)}/load={load}{f'/is_current={flag}' if flag else ''}"
-    spark.range(0).write.mode("overwrite").parquet(path)
+    remove(spark, f"{table_path(spark, table)}/load={load}{f'/is_current={flag}' if flag else ''}")
 
 
 def _select(loads: str, columns: list[str], facts: dict[str, object], key: str | None, newest: Sequence[str],
@@ -200,7 +200,7 @@ def publish(rows: DataFrame, table: str, key: str | None = None, newest: Sequenc
         for flag in flags or ("",):
             _clear(spark, loads, number, flag)
         raise ConcurrentLoad(f"{table}: another load came after load {start}; load {number} is not shown")
-    _show(spark, table, facts)
+    show(spark, table, facts)
     settle(spark, table)  # a later load may have been shown meanwhile
     commits.forget(spark, table, era, number)
     # readers of the previous state may still be running; the one before has been replaced for a whole load

@@ -167,3 +167,24 @@ def test_contacts_keep_repeated_links(spark):
     students = spark.createDataFrame([("s1", "Kid", "5", "B")], "student_id STRING, student_name STRING, grade STRING, section STRING")
     assert people.contacts(parents, links, students).count() == 3
     assert people.contacts(parents, links, students, "whatsapp:+2").first().parent_name == "B"
+
+
+def test_daily_digests_are_the_digests_of_each_date(spark):
+    rand = random.Random(6)
+    dates = [f"2024-03-{d:02}" for d in range(1, 13)]
+    students = spark.createDataFrame([(f"s{i}",) for i in range(6)], "student_id STRING")
+    day = lambda: rand.choice([*dates, None])
+    who = lambda: rand.choice(["s0", "s0", "s1", "s2", "s3", "s9"])
+    attendance = spark.createDataFrame([(who(), day(), rand.choice(["Present", "Absent", None])) for _ in range(150)],
+                                       "student_id STRING, attendance_date STRING, status STRING")
+    homework = spark.createDataFrame([(who(), day(), f"m{i}", rand.choice(["done", None])) for i in range(150)],
+                                     "student_id STRING, homework_date STRING, subject STRING, status STRING")
+    grades = spark.createDataFrame([(who(), f"m{i}", i, 9) for i in range(20)], "student_id STRING, subject STRING, score INT, max_score INT")
+    attendance = attendance.withColumn("attendance_date", attendance.attendance_date.cast("date"))
+    homework = homework.withColumn("homework_date", homework.homework_date.cast("date"))
+    wanted = dates[3:9]
+    for per_part in (2, 100):
+        found = facts.weekly_digest_daily(students, facts.attendance_by_day(attendance), homework, grades, wanted, 3, lines_per_part=per_part)
+        for d in wanted:
+            plain = facts.weekly_digest(students, attendance, homework, grades, d, 3, lines_per_part=per_part)
+            assert rows(found.filter(found.date == d).drop("date").select(*plain.columns)) == rows(plain)

@@ -89,11 +89,11 @@ def test_two_first_loads(spark, monkeypatch):
 def test_a_load_committed_but_not_shown_is_shown_by_the_next(spark, monkeypatch):
     spec = spec_of("unshown", 4)
     apply_scd(batch(spark, "Old", 1, 2), spec, "2024-01-01")
-    real = dimension_table._show
-    monkeypatch.setattr(dimension_table, "_show", lambda *a: 1 / 0)
+    real = dimension_table.show
+    monkeypatch.setattr(dimension_table, "show", lambda *a: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         apply_scd(batch(spark, "New", 1), spec, "2024-01-02")
-    monkeypatch.setattr(dimension_table, "_show", real)
+    monkeypatch.setattr(dimension_table, "show", real)
     assert load_number(spark, spec.target_table) == 1
     apply_scd(batch(spark, "Newer", 2), spec, "2024-01-03")
     assert rows(spark.table(spec.target_table).select("id", "name")) == [(1, "New"), (2, "Newer")]
