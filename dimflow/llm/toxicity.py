@@ -21,7 +21,7 @@ from dimflow.llm.common import sampled, stored
 from dimflow.llm.sketch import sketch
 from dimflow.llm.words import give_back, kept
 
-MAX_WORDS = 5_000  # bound of the lexicon, and of its exceptions
+MOST_TERMS = 200_000  # words or exceptions that a worker can hold; more are an error, none is left out
 FIT_ROWS = 20_000  # bound of the sample on which the curve is fitted
 MIN_TOXIC, MIN_DEVIATIONS, MIN_WEIGHT = 3, 4.0, 3.0
 THRESHOLD = 0.7
@@ -118,17 +118,24 @@ def _counts(labelled: DataFrame, terms) -> DataFrame:
     return parts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def learn(labelled: DataFrame, max_words: int = MAX_WORDS, fit_rows: int = FIT_ROWS) -> Lexicon:
+def _all_of(terms: DataFrame, what: str) -> list:
+    found = terms.limit(MOST_TERMS + 1).collect()
+    if len(found) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} {what}: a worker cannot hold them all, and none may be left out")
+    return found
+
+
+def learn(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Lexicon:
     """A lexicon from rows (text, toxic 0 or 1; other labels are left out).
 
     A word is taken if clearly more toxic rows hold it than its frequency leads to expect. Copies would make any word of
-    theirs look telling, so of rows with the same label and sketch one is taken. Counts cover all such rows; only the curve
-    is fitted on a sample of at most ``fit_rows`` rows, chosen by hash. Without both labels the lexicon is
-    empty and every score low.
+    theirs look telling, so of rows with the same label and sketch one is taken, the same whenever it runs. Counts cover all
+    such rows; only the curve is fitted on a sample of at most ``fit_rows`` rows, chosen by hash. Without both labels the
+    lexicon is empty and every score low. All terms that pass the tests are taken.
     """
     labelled = labelled.filter(F.col("toxic").isin(0, 1)).select("text", F.col("toxic").cast("int").alias("toxic"))
-    labelled = stored(labelled.withColumn("_sketch", sketch("text"))
-                      .dropDuplicates(["toxic", "_sketch"]).drop("_sketch"), "toxicity-labelled")
+    labelled = stored(labelled.groupBy("toxic", sketch("text").alias("_sketch")).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+                      .select("text", "toxic"), "toxicity-labelled")
     toxic, clean = labelled.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()
     if not toxic or not clean:
         return Lexicon({})
@@ -137,18 +144,17 @@ def learn(labelled: DataFrame, max_words: int = MAX_WORDS, fit_rows: int = FIT_R
     expected = (F.col("toxic") + F.col("clean")) * rate
     words = _counts(labelled, lambda folded: set(folded.split())).select("term", weight, "toxic", (
         (F.col("toxic") - expected) / F.sqrt(expected + 1)).alias("deviations"))
-    chosen = (words.filter((F.col("toxic") >= MIN_TOXIC) & (F.col("deviations") >= MIN_DEVIATIONS) & (F.col("weight") >= MIN_WEIGHT))
-              .orderBy(F.desc("deviations"), "term").limit(max_words).collect())
-    weights = {r.term: r.weight for r in chosen}
+    chosen = words.filter((F.col("toxic") >= MIN_TOXIC) & (F.col("deviations") >= MIN_DEVIATIONS) & (F.col("weight") >= MIN_WEIGHT))
+    weights = {r.term: r.weight for r in sorted(_all_of(chosen, "words"), key=lambda r: r.term)}
 
     def around(folded: str) -> set[str]:
         own = folded.split()
         return {f"{a} {b}" for a, b in zip(own, own[1:]) if a in weights or b in weights}
 
     # a phrase that clean rows hold far more often than the word in it would lead to expect
-    safe = (_counts(labelled, around).filter((F.col("clean") >= MIN_TOXIC) & (F.col("toxic") <= rate * F.col("clean")))
-            .orderBy(F.desc("clean"), "term").limit(max_words).collect()) if weights else []
-    lexicon = Lexicon(weights, tuple(r.term for r in safe))
+    harmless = (F.col("clean") >= MIN_TOXIC) & (F.col("toxic") <= rate * F.col("clean"))
+    safe = _all_of(_counts(labelled, around).filter(harmless), "exceptions") if weights else []
+    lexicon = Lexicon(weights, tuple(sorted(r.term for r in safe)))
     sample = labelled.filter(sampled(fit_rows, toxic + clean))
     rows = sample.select("toxic", lexicon.column()("text").alias("f")).select("toxic", "f.dense", "f.wide").toPandas()
     return Lexicon(lexicon.weights, lexicon.exceptions, _curve(rows[["dense", "wide"]].to_numpy(), rows["toxic"].to_numpy()))

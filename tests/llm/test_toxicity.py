@@ -1,3 +1,5 @@
+import pytest
+
 from dimflow.llm import toxicity
 from dimflow.llm.toxicity import Lexicon, fold
 from tests.llm.data import empty, frame
@@ -43,3 +45,24 @@ def test_without_labels_and_empty_tables(spark):
     assert none.weights == {} and toxicity.scored(empty(spark), none).count() == 0
     assert toxicity.learn(spark.createDataFrame([], "text STRING, toxic INT")).weights == {}
     assert {r.predicted for r in toxicity.scored(frame(spark), none).collect()} == {0}
+
+
+def test_no_term_is_left_out(spark, monkeypatch):
+    """Six thousand toxic words, each in three rows, are all taken; too many for a worker are an error."""
+    monkeypatch.setattr(toxicity, "MIN_DEVIATIONS", 1.0)
+    monkeypatch.setattr(toxicity, "MIN_WEIGHT", 0.5)
+    name = lambda i: "zz" + "".join(chr(97 + int(d)) for d in f"{i:05}")
+    toxic = [(" ".join(name(i) for i in range(a * 200, a * 200 + 200)) + f" r{chr(97 + a % 26)}{chr(97 + k)}", 1)
+             for a in range(30) for k in range(3)]
+    clean = [(" ".join("cc" + "".join(chr(97 + int(d)) for d in f"{a * 20 + i:05}") for i in range(20)), 0) for a in range(200)]
+    # near copies are taken once, so each of three rows has words of its own
+    toxic = [(text + " " + " ".join(f"own{chr(97 + n % 26)}{chr(97 + n // 26)}{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(400)), t)
+             for n, (text, t) in enumerate(toxic)]
+    rows = spark.createDataFrame(toxic + clean, "text STRING, toxic INT").repartition(4)
+    monkeypatch.setattr(toxicity, "MIN_TOXIC", 1)
+    lexicon = toxicity.learn(rows)
+    assert {name(i) for i in range(6000)} <= lexicon.weights.keys()
+    assert toxicity.learn(rows.repartition(7)) == lexicon  # whatever the partitions are
+    monkeypatch.setattr(toxicity, "MOST_TERMS", 100)
+    with pytest.raises(ValueError, match="none may be left out"):
+        toxicity.learn(rows)
