@@ -1,8 +1,8 @@
 """Approximate nearest neighbours by collision counting over single projections.
 
-Vectors are dealt into blocks by hash. A block keeps, for each of ``PROJECTIONS`` random directions, its vectors sorted by
-their projection, and the place of each vector in that array. A query opens a window around its own projection in every sorted array and widens all of them together,
-which is hashing anew at twice the radius. Vectors met in at least ``COLLISIONS`` windows are candidates; once a block has
+Vectors are dealt into blocks by a running number. A block keeps, for each of ``PROJECTIONS`` random directions, its vectors
+sorted by their projection, and the place of each vector in that array. A query opens a window around its own projection in
+every sorted array and widens all of them together, which is hashing anew at twice the radius. Vectors met in at least ``COLLISIONS`` windows are candidates; once a block has
 enough of them, they are verified on the original vectors.
 """
 
@@ -21,17 +21,20 @@ PROJECTIONS, COLLISIONS = 64, 40
 FIRST_WIDTH, WIDEN = 0.62, 1.1  # half a window, in spreads of a projection; factor from one radius to the next
 APART = 1e3  # more than any two projections of unit vectors differ
 CANDIDATES, SHARE = 160, 0.18  # a block verifies at least so many, and at least this share of its vectors
-BLOCK_VECTORS, GROUP_QUERIES = 8192, 256  # a block stays well below 65,536 vectors
+BLOCK_VECTORS, GROUP_QUERIES = 8192, 256
 INDEX = "dims int, block int, ids array<long>, vectors array<double>, ranks array<int>, projections array<float>"
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """id, vector, dims of rows whose vector is not NULL, empty or zero and has only finite components."""
+    """id, vector, dims of rows whose vector is not NULL, empty or zero and has only finite components. Vectors whose squares
+    leave the range of doubles are divided by their largest component, which changes no cosine."""
     v = F.col("vector")
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     norm = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("vector"))
-    return rows.filter(good & (norm > 0)).withColumn("dims", F.size("vector"))
+    largest = F.array_max(F.transform(v, F.abs))
+    fair = F.when(norm.between(1e-280, 1e280), v).otherwise(F.transform(v, lambda x: x / largest))
+    return rows.filter(good & (largest > 0)).withColumn("vector", fair).withColumn("dims", F.size("vector"))
 
 
 def directions(dims: int) -> np.ndarray:
@@ -58,9 +61,9 @@ def _index_block(key: tuple, rows: pa.Table) -> pa.Table:
 
 
 def build_index(rows: DataFrame, block_vectors: int = BLOCK_VECTORS) -> DataFrame:
-    """The stored index of all ``rows`` (id, vector, dims), a row for each block."""
+    """The stored index of all stored ``rows`` (id, vector, dims), a row for each block. Repeated rows spread like others."""
     blocks = max(1, -(-rows.count() // block_vectors))
-    block = F.pmod(F.xxhash64("id", "vector"), F.lit(blocks)).cast("int").alias("block")
+    block = F.pmod(F.monotonically_increasing_id(), F.lit(blocks)).cast("int").alias("block")
     return stored(rows.select("dims", block, "id", "vector").groupBy("dims", "block").applyInArrow(_index_block, INDEX),
                   "neighbours-index")
 
@@ -74,13 +77,13 @@ def candidates(projected: np.ndarray, ranks: np.ndarray, values: np.ndarray, spr
     n = ranks.shape[1]
     wanted = min(n, max(CANDIDATES, int(SHARE * n)))
     middle = projected + APART * np.arange(PROJECTIONS)
-    begin = n * np.arange(PROJECTIONS)
+    begin, kind = n * np.arange(PROJECTIONS), ranks.dtype
     width = FIRST_WIDTH
     while True:
         low = np.clip(np.searchsorted(values, middle - width * spread) - begin, 0, n)
         size = np.clip(np.searchsorted(values, middle + width * spread, "right") - begin, 0, n) - low
         counts = np.zeros(n, np.uint8)
-        for own, a, b in zip(ranks, low.astype(np.uint16), size.astype(np.uint16)):
+        for own, a, b in zip(ranks, low.astype(kind), size.astype(kind)):
             counts += (own - a) < b  # unsigned: a rank below the window wraps around
         found = np.flatnonzero(counts >= COLLISIONS)
         if len(found) >= wanted or size.min() >= n:
@@ -97,7 +100,7 @@ def _search(k: int):
                 dims, ids = batch.column("dims")[i].as_py(), row["ids"]
                 n = len(ids)
                 vectors, queries = row["vectors"].reshape(n, dims), row["query_vectors"].reshape(-1, dims)
-                ranks, values = row["ranks"].reshape(-1, n).astype(np.uint16), row["projections"].astype(float).reshape(-1, n)
+                ranks, values = row["ranks"].reshape(-1, n).astype(np.uint16 if n < 1 << 16 else np.uint32), row["projections"].astype(float).reshape(-1, n)
                 spread = values.std(axis=1) + 1e-6
                 values = (values + APART * np.arange(PROJECTIONS)[:, None]).ravel()
                 norms = np.sqrt((vectors * vectors).sum(axis=1))
@@ -120,7 +123,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, id_column: str = "vec_id",
     """query_id, rank, vec_id, score: the ``k`` largest cosines found for each row of which ``is_query`` (of ``id``) holds.
 
     All rows are indexed; each query meets every block. Ties go to the smaller id. A row is no candidate of queries with its
-    own id, so repeated ids never find each other. Vectors that are NULL, empty, zero or hold NULL or non-finite components
+    own id, so repeated ids never find each other; identical rows are candidates like others. Vectors that are NULL, empty, zero or hold NULL or non-finite components
     take no part, nor do vectors of another length than the query's. Rows without an id are left out.
     """
     rows = stored(usable(vectors, id_column, vector_column).filter("id IS NOT NULL"), "neighbours-vectors")
