@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,46 +73,58 @@ def session_state(messages: DataFrame, contacts: DataFrame, limit: int = HOT_ROW
                           after_summary.alias("after_summary"), intent.alias("intent"))
 
 
+def _told(numbered: DataFrame, facts: DataFrame, menus: DataFrame, limit: int) -> DataFrame:
+    """All that replies say, by ``_phone`` and ``_slot``: a child's number, or 0 for the menu. First parts, and numbers of parts."""
+    first = lambda c: F.max(F.when(F.col("part") == 1, F.col(c)))
+    parts = lambda c: F.max(F.when(F.col(c).isNotNull(), F.col("part")))
+    by_student = facts.groupBy("student_id").agg(
+        first("attendance_pct").alias("_pct"), first("homework").alias("_homework"), first("grades").alias("_grades"),
+        parts("homework").alias("_homeworks"), parts("grades").alias("_gradess"))
+    pupils = numbered.select(F.col("whatsapp_number").alias("_phone"), F.col("child").cast("long").alias("_slot"), "student_id",
+                             "student_name")
+    children = join_skewed(pupils, by_student, ["student_id"], "left", limit)
+    listed = menus.groupBy(F.col("whatsapp_number").alias("_phone")).agg(first("menu").alias("_menu"), F.max("part").alias("_menus"))
+    return children.unionByName(listed.withColumn("_slot", F.lit(0).cast("long")), allowMissingColumns=True)
+
+
 def route_reply(states: DataFrame, numbered: DataFrame, facts: DataFrame, menus: DataFrame,
                 limit: int = HOT_ROWS) -> DataFrame:
     """``from_number, seq, part, reply`` from session states, numbered contacts, digest facts and menu texts.
 
-    Replies are one part, but for menus and texts that have more. The states are stored here, once; the other three
-    tables are measured before they are joined, so pass stored ones rather than plans still to be computed.
+    What can be told is put together once for each child and menu, and every turn looks it up by one key. Replies are one
+    part, but for menus and texts that have more, whose further parts are joined to their turns only. The states and what
+    can be told are stored here; the other tables are read more than once: pass stored ones.
     """
-    keyed = checkpointed(states.withColumn("_phone", strip_address(F.col("from_number"))))
-    pupils = numbered.select(F.col("whatsapp_number").alias("_phone"), "child", "student_id", "student_name")
-    asked = join_skewed(keyed.filter(F.col("turn") != "menu"), pupils, ["_phone", "child"], "left", limit)
-    # how many parts each wanted text has, then every part by its own key
+    menu, one = F.col("turn") == "menu", F.lit(1).cast("long")
+    slot = F.when(menu, F.lit(0).cast("long")).otherwise(F.col("child"))
+    keyed = checkpointed(states.withColumn("_phone", strip_address(F.col("from_number"))).withColumn("_slot", slot))
+    told = checkpointed(_told(numbered, facts, menus, limit))
+    asked = join_skewed(keyed, told, ["_phone", "_slot"], "left", limit).filter(~menu | F.col("_menu").isNotNull())
     homework, grades = F.col("intent") == "homework", F.col("intent") == "grades"
-    sizes = facts.groupBy(F.col("student_id").alias("_student")).agg(
-        F.max(F.when(F.col("homework").isNotNull(), F.col("part"))).alias("_homework"),
-        F.max(F.when(F.col("grades").isNotNull(), F.col("part"))).alias("_grades"))
-    # other turns read no facts; a NULL key finds none
-    wanted = asked.withColumn("_student", F.when(homework | grades | (F.col("intent") == "attendance"), F.col("student_id")))
-    sized = join_skewed(wanted, sizes, ["_student"], "left", limit)
-    parts = F.coalesce(F.when(homework, F.col("_homework")).when(grades, F.col("_grades")), F.lit(1)).cast("long")
-    spread = sized.withColumn("part", F.explode(F.sequence(F.lit(1).cast("long"), parts)))
-    told = facts.select(F.col("student_id").alias("_student"), "part", "attendance_pct", "homework", "grades")
-    joined = join_skewed(spread, told, ["_student", "part"], "left", limit)
-    text = (F.when(F.col("turn") == "unregistered", replies.NOT_REGISTERED)
+    text = (F.when(menu, F.col("_menu")).when(F.col("turn") == "unregistered", replies.NOT_REGISTERED)
             .when(F.col("turn") == "select", F.replace(F.lit(replies.SELECTED), F.lit("{name}"), F.coalesce("student_name", F.lit("None"))))
             .when(F.col("intent") == "summary", replies.SUMMARY_STARTED)
             .when(F.col("intent") == PLAN, replies.PLAN_STARTED)
             .when(F.col("intent") == "attendance",
-                  F.replace(F.lit(replies.ATTENDANCE), F.lit("{attendance}"),
-                            F.coalesce("attendance_pct", F.lit(0.0)).cast("string")))
-            .when(homework, F.coalesce("homework", F.lit(replies.NO_HOMEWORK)))
-            .when(grades, F.coalesce("grades", F.lit(replies.NO_GRADES)))
+                  F.replace(F.lit(replies.ATTENDANCE), F.lit("{attendance}"), F.coalesce("_pct", F.lit(0.0)).cast("string")))
+            .when(homework, F.coalesce("_homework", F.lit(replies.NO_HOMEWORK)))
+            .when(grades, F.coalesce("_grades", F.lit(replies.NO_GRADES)))
             .when(F.col("intent") == "greeting", replies.GREETING).otherwise(replies.HELP))
-    direct = joined.select("from_number", "seq", "part", text.alias("reply"))
-    texts = menus.select(F.col("whatsapp_number").alias("_phone"), "part", F.col("menu").alias("reply"))
-    lengths = texts.groupBy("_phone").agg(F.max("part").alias("_parts"))
-    listed = join_skewed(keyed.filter(F.col("turn") == "menu").select("from_number", "seq", "_phone"), lengths, ["_phone"],
-                         "inner", limit)
-    listed = listed.withColumn("part", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_parts"))))
-    shown = join_skewed(listed, texts, ["_phone", "part"], "inner", limit)
-    return direct.unionByName(shown.select("from_number", "seq", "part", "reply"))
+    direct = asked.select("from_number", "seq", one.alias("part"), text.alias("reply"))
+    more = [facts.filter("part > 1").select(F.col("student_id").alias("_owner"), F.lit(c).alias("_kind"), "part", F.col(c).alias("reply"))
+            .filter("reply IS NOT NULL") for c in ("homework", "grades")]
+    more.append(menus.filter("part > 1").select(F.col("whatsapp_number").alias("_owner"), F.lit("menu").alias("_kind"), "part",
+                                                F.col("menu").alias("reply")))
+    texts = reduce(DataFrame.unionByName, more)
+    if texts.isEmpty():
+        return direct
+    kind = F.when(menu, "menu").when(homework, "homework").when(grades, "grades")
+    parts = F.when(menu, F.col("_menus")).when(homework, F.col("_homeworks")).when(grades, F.col("_gradess"))
+    owner = F.when(menu, F.col("_phone")).otherwise(F.col("student_id"))
+    spread = asked.filter(parts > 1).select("from_number", "seq", owner.alias("_owner"), kind.alias("_kind"),
+                                            F.explode(F.sequence(one + 1, parts.cast("long"))).alias("part"))
+    further = join_skewed(spread, checkpointed(texts), ["_owner", "_kind", "part"], "inner", limit)
+    return direct.unionByName(further.select("from_number", "seq", "part", "reply"))
 
 
 def follow_ups(states: DataFrame, numbered: DataFrame, bodies: DataFrame, model_texts: DataFrame,

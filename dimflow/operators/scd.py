@@ -38,6 +38,10 @@ def _unknown(stage: DataFrame, dim: DataFrame, keys: Sequence[str], small: bool)
     return stage.join(known, list(keys), "left_anti")
 
 
+def _same(tracked: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in tracked])
+
+
 def _paired(dim: DataFrame, stage: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
     """Both sides by key as ``_old`` and ``_new`` structs, with the ``change`` between them.
 
@@ -52,9 +56,8 @@ def _paired(dim: DataFrame, stage: DataFrame, keys: Sequence[str], tracked: Sequ
             fresh.withColumn("_old", F.lit(None).cast(old.schema["_old"].dataType)))
     else:
         both = old.join(new, list(keys), "full_outer")
-    same = reduce(lambda a, b: a & b, [F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in tracked])
     change = (F.when(F.col("_old").isNull(), "new").when(F.col("_new").isNull(), "absent")
-              .when(same, "unchanged").otherwise("changed"))
+              .when(_same(tracked), "unchanged").otherwise("changed"))
     return both.withColumn("change", change)
 
 
@@ -175,11 +178,20 @@ def scd3(dim: DataFrame, stage: DataFrame, keys: Sequence[str], columns: Sequenc
 
 def scd4(dim: DataFrame, stage: DataFrame, keys: Sequence[str], tracked: Sequence[str],
          as_of: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(current rows, rows replaced by this batch with ``valid_to``); the second go to a history table."""
+    """(current rows, rows replaced by this batch with ``valid_to``); the second go to a history table.
+
+    With a small batch both are a scan of the dimension; a large one is paired with it once, and the pairs stored for both.
+    """
     staged = with_hash(stage, tracked).select(*dim.columns)
-    replaced = (_paired(dim, staged, keys, tracked).filter(F.col("change") == "changed")
-                .select("_old.*", load_date(as_of).alias("valid_to")))
-    return scd1_upsert(dim, stage, keys, tracked), replaced
+    if byte_size(staged) <= BROADCAST_BYTES:
+        new = staged.select(*keys, F.struct(*staged.columns).alias("_new"))
+        both = dim.select(*keys, F.struct(*dim.columns).alias("_old")).join(F.broadcast(new), list(keys)).filter(~_same(tracked))
+        current = scd1_upsert(dim, stage, keys, tracked)
+    else:
+        both = checkpointed(_paired(dim, staged, keys, tracked))
+        current = both.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
+        both = both.filter(F.col("change") == "changed")
+    return current, both.select("_old.*", load_date(as_of).alias("valid_to"))
 
 
 def scd6_initial(stage: DataFrame, tracked: Sequence[str], as_of: str | None = None) -> DataFrame:
