@@ -2,8 +2,8 @@
 
 Vectors are dealt into blocks by a running number. A block keeps, for each of ``PROJECTIONS`` random directions, its vectors
 sorted by their projection, and the place of each vector in that array. A query opens a window around its own projection in
-every sorted array and widens all of them together, which is hashing anew at twice the radius. Vectors met in at least ``COLLISIONS`` windows are candidates; once a block has
-enough of them, they are verified on the original vectors.
+every sorted array and widens all of them together, which is hashing anew at twice the radius. Vectors met in at least
+``COLLISIONS`` windows are candidates; once a block has enough of them, they are verified on the original vectors.
 """
 
 from __future__ import annotations
