@@ -15,7 +15,6 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from dimflow.plans import commits
 from dimflow.plans.commits import ConcurrentLoad, noted
