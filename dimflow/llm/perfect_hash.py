@@ -80,6 +80,11 @@ def _shard(shards: int) -> Column:
     return F.pmod(F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("long"), F.lit(shards)).alias("shard")
 
 
+def shards_for(digests: int) -> int:
+    """Shards of at most about ``SHARD_DIGESTS`` digests, of the index or of those looked up, whichever are more."""
+    return max(1, -(-digests // SHARD_DIGESTS))
+
+
 def build_index(history: DataFrame, shards: int, label: str = "perfect-hash") -> DataFrame:
     """The stored index of ``history`` (digest binary of 32 bytes, distinct; keep_id long): one row for each shard."""
     return stored(history.select("digest", "keep_id", _shard(shards)).groupBy("shard").applyInArrow(_build_shard, INDEX), label)
@@ -122,7 +127,9 @@ def exact_duplicates(docs: DataFrame, historical: Column) -> DataFrame:
     sums = rows.groupBy("old", "digest").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
     sums = stored(sums, "exact-digests")
     old, new = sums.filter("old").drop("old"), sums.filter("NOT old").drop("old")
-    shards = max(1, -(-old.count() // SHARD_DIGESTS))
+    # the larger side decides: a small history must not send all new digests to few tasks, nor a large one be few indexes
+    larger = sums.groupBy("old").count().agg(F.max("count")).first()[0] or 0
+    shards = shards_for(larger)
     index = build_index(old, shards)
     looked = stored(look_up(new, index, shards).withColumnRenamed("keep_id", "old_id"), "exact-looked-up")
     checked = new.join(looked, "digest")

@@ -30,5 +30,16 @@ def test_groups_as_by_brute_force(spark, monkeypatch):
         assert sorted(str(tuple(r)) for r in found.collect()) == want
 
 
+def test_little_history_and_many_new_digests(spark, monkeypatch):
+    """Three rows of history: the lookups still go to as many groups as the new digests need."""
+    monkeypatch.setattr(perfect_hash, "SHARD_DIGESTS", 100)
+    asked, look_up = [], perfect_hash.look_up
+    monkeypatch.setattr(perfect_hash, "look_up", lambda *a: asked.append(a[2]) or look_up(*a))
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 4000).alias("text"))
+    found = perfect_hash.exact_duplicates(docs, F.col("doc_id") < 3)
+    assert asked == [40]
+    assert found.filter("keep_id = doc_id % 4000 AND kept = (doc_id < 4000)").count() == 5000
+
+
 def test_empty_table(spark):
     assert perfect_hash.exact_duplicates(empty(spark), F.lit(True)).count() == 0

@@ -1,5 +1,8 @@
+import math
 import random
 
+import pytest
+
 from dimflow.llm import licenses
 from tests.llm.data import documents, empty, frame
 
@@ -59,3 +62,38 @@ def test_own_templates_and_empty_tables(spark):
     rows = frame(spark, [(1, "x my own notice y", *[None] * 6), (2, None, *[None] * 6), (3, "", *[None] * 6)])
     assert [r.doc_id for r in licenses.scan(rows, {"own": "My own NOTICE!", "none": " ... "}).collect()] == [1]
     assert licenses.scan(rows, {}).count() == 0
+
+
+def test_bands_alone_retrieve():
+    """Bands suffice for the stated miss probability, and with other minima in them nothing is found."""
+    own = licenses.prepared(licenses.TEMPLATES)
+    for t in own:
+        n, inside = len(t.shingles), math.ceil(licenses.CONTAINED * len(t.shingles))
+        assert inside / (2 * t.step + n - inside) >= 0.18
+        assert (1 - inside / (2 * t.step + n - inside)) ** t.bands <= licenses.MISS
+    text = " ".join(["some words before"] * 40 + [licenses.TEMPLATES["MIT grant"]] + ["and after"] * 40).encode()
+    words = licenses.find_words([licenses._letters(t) for t in (b"", b"one", text, b"two words", b"")])
+    bands = licenses.index(own)
+    found = licenses.retrieved(words.hashes, words.first, bands)
+    assert (2, [t.name for t in own].index("MIT grant")) in found
+    none = [licenses.Bands(b.words, b.step, [m ^ m for m in b.minima], b.owners) for b in bands]
+    assert licenses.retrieved(words.hashes, words.first, none) == set()
+
+
+def test_several_hundred_templates_from_a_table(spark):
+    rand = random.Random(3)
+    own = {f"t{i}": " ".join(f"v{rand.randrange(4000)}" for _ in range(rand.randrange(1, 90))) for i in range(400)}
+    table = spark.createDataFrame([*own.items(), ("none", None), (None, "x")], "name STRING, text STRING")
+    rows = []
+    for i in range(80):
+        words = [f"w{rand.randrange(90)}" for _ in range(rand.randrange(0, 300))]
+        for name in rand.sample(sorted(own), 3):
+            at = rand.randrange(len(words) + 1)
+            words[at:at] = own[name].split()
+        rows.append((i, " ".join(words), *[None] * 6))
+    want = {(i, name, round(share, 9)) for i, text, *_ in rows for name, t in own.items() if set(t.split()) & set(text.split())
+            for share in [best_window(letters(text), t, None)] if share >= licenses.CONTAINED}
+    found = licenses.scan(frame(spark, rows), table)
+    assert {(r.doc_id, r.license, round(r.containment, 9)) for r in found.collect()} == want and len(want) > 150
+    with pytest.raises(ValueError):
+        licenses.templates_of(table, 100)
