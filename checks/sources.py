@@ -167,6 +167,31 @@ def end_to_end_parquet(spark, sf_dir):
         spark, extract, schema="id BIGINT, name_masked STRING, department STRING, salary_hash STRING, start_date DATE")
 
 
+REJECTS_SQL = """
+SELECT CASE WHEN c_custkey % 7 <> 0 THEN 'x' || c_custkey END AS key_value,
+       CASE WHEN c_custkey % 7 = 0 THEN 'key is missing' ELSE 'key is no int' END AS reason,
+       c_name AS name, DATE '2024-01-31' AS load_date
+FROM customer WHERE c_custkey % 7 = 0 OR c_custkey % 11 = 0"""
+
+
+@CHECKS.add(REJECTS_SQL)
+def end_to_end_rejects(spark, sf_dir):
+    """What a run could not load, after the day was run twice."""
+    key = F.when(F.col("c_custkey") % 7 == 0, None).when(F.col("c_custkey") % 11 == 0, F.concat(F.lit("x"), "c_custkey"))
+    whole = (F.col("c_custkey") % 7 != 0) & (F.col("c_custkey") % 11 != 0)
+    raw = table(spark, sf_dir, "customer").select(
+        F.when(whole, F.col("c_custkey").cast("string")).otherwise(key).alias("id"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("department"), F.lit(1).alias("salary"))
+    path = tables.export_csv(raw, work_dir(spark, "raw"))
+    name = fresh_name("customers")
+    spec = PipelineSpec(name, SourceSpec("csv", path), f"staging.{name}", f"target.{name}_dim",
+                        rejects_table=f"staging.{name}_rejects")
+    for _ in range(2):
+        run_pipelines(spark, [spec], work_dir(spark, "extracts"), "2024-01-31")
+    return spark.table(spec.rejects_table).select(
+        "key_value", "reason", F.get_json_object("source_row", "$.name").alias("name"), "load_date")
+
+
 @CHECKS.add("SELECT r_regionkey, r_name FROM region")
 def src_preview(spark, sf_dir):
     """More rows asked for than there are."""

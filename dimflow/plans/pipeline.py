@@ -12,6 +12,7 @@ from dimflow.operators.cleaning import clean, dedup_latest
 from dimflow.operators.splice import sightings, splice, spliced
 from dimflow.plans.commits import ConcurrentLoad
 from dimflow.plans.dimension_table import current_rows, publish, seen_rows, settle
+from dimflow.plans.rejects import store_rejects
 from dimflow.sources.readers import read_source
 from dimflow.sources.storage import checkpointed
 from dimflow.sources.tables import export_csv, overwrite_table
@@ -20,9 +21,17 @@ from dimflow.spec import PipelineSpec, check_specs
 TRIES = 3
 
 
-def stage(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
-    """Read, clean, optionally keep the newest row per key, and store as the staging table."""
-    rows = clean(read_source(spark, spec.source), spec)
+def _day(spark: SparkSession, as_of: str | None) -> str:
+    return str(spark.sql("SELECT 1").select(scd.load_date(as_of)).first()[0])
+
+
+def stage(spark: SparkSession, spec: PipelineSpec, as_of: str | None = None) -> DataFrame:
+    """Read, clean, optionally keep the newest row per key, and store as the staging table. Rows without a usable key go to
+    the pipeline's table of rejects, if it has one; the source is then read twice."""
+    raw = read_source(spark, spec.source)
+    rows = clean(raw, spec)
+    if spec.rejects_table:
+        store_rejects(raw, spec, _day(spark, as_of))
     if spec.dedup_order:
         rows = dedup_latest(rows, [spec.key], spec.dedup_order)
     return overwrite_table(rows, spec.staging_table)
@@ -64,7 +73,7 @@ def _load(staged: DataFrame, spec: PipelineSpec, as_of: str | None) -> DataFrame
     current = None if first else current_rows(spark, table)
     more = {"base": base}
     if spec.scd_type in (2, 6):
-        as_of = str(spark.sql("SELECT 1").select(scd.load_date(as_of)).first()[0])
+        as_of = _day(spark, as_of)
         more |= {"day": as_of} | ({"seen": sightings(staged, keys, scd.load_date(as_of))} if spec.late_batches else {})
     match spec.scd_type:
         case 0:
@@ -103,7 +112,7 @@ def _late(current: DataFrame, staged: DataFrame, spec: PipelineSpec, as_of: str)
 def run_pipeline(spark: SparkSession, spec: PipelineSpec, export_dir: str, as_of: str | None = None,
                  single_file: bool = False) -> str:
     """Stage, load, publish the masked view and export it; returns the extract's folder."""
-    apply_scd(stage(spark, spec), spec, as_of)
+    apply_scd(stage(spark, spec, as_of), spec, as_of)
     view = create_secure_view(spark, spec)
     return export_csv(spark.table(view), f"{export_dir.rstrip('/')}/dashboard_{spec.pipeline_name}.csv", single_file)
 

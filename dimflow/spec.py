@@ -47,6 +47,8 @@ class PipelineSpec:
     hash_salt: str | None = None
     #: Keep the keys of every load of types 2 and 6, so that the order in which days are loaded does not matter.
     late_batches: bool = False
+    #: Where source rows without a usable key are kept by day of load; without a table they are only left out.
+    rejects_table: str | None = None
 
     @property
     def merges(self) -> bool:
@@ -76,7 +78,7 @@ class PipelineSpec:
         found = []
         if not _IDENTIFIER.fullmatch(self.pipeline_name or ""):
             found.append(f"bad pipeline name {self.pipeline_name!r}")
-        for table in (self.staging_table, self.target_table):
+        for table in (self.staging_table, self.target_table, *([self.rejects_table] if self.rejects_table else [])):
             parts = table.split(".")
             if len(parts) != 2 or not all(_IDENTIFIER.fullmatch(p) for p in parts):
                 found.append(f"{self.pipeline_name}: table must be database.name, got {table!r}")
@@ -95,8 +97,8 @@ def check_specs(specs: Iterable[PipelineSpec]) -> list[PipelineSpec]:
     """All specs, or one error naming everything wrong with them, before any pipeline has started."""
     specs = list(specs)
     found = [p for s in specs for p in s.problems()]
-    for attribute in ("pipeline_name", "staging_table", "target_table"):
-        values = [getattr(s, attribute) for s in specs]
+    for attribute in ("pipeline_name", "staging_table", "target_table", "rejects_table"):
+        values = [getattr(s, attribute) for s in specs if getattr(s, attribute) is not None]
         found += [f"{attribute} {v!r} is used twice" for v in sorted({v for v in values if values.count(v) > 1})]
     if found:
         raise ValueError("; ".join(found))
