@@ -48,3 +48,23 @@ def test_genetic_search_keeps_packings_whole():
     assert (child >= 0).all() and np.bincount(child, weights=sizes).max() <= 100
     assert packing.fitness(best[0], sizes, 100) >= packing.fitness(
         packing.best_fit(sizes, np.argsort(-sizes, kind="stable"), 100), sizes, 100)
+
+
+def test_genetic_search_beats_best_fit_decreasing(spark):
+    """Pieces that fill sequences three by three: best-fit decreasing needs more sequences than the islands find, whose
+    crossover, elite and epochs all take part."""
+    rng, sizes = np.random.default_rng(5), []
+    for _ in range(150):
+        a, b = (int(x) for x in rng.integers(1100, 1500, 2))
+        sizes += [a, b, 4096 - a - b]
+    sizes = np.array(sizes)
+    plain = packing.best_fit(sizes, np.argsort(-sizes, kind="stable"), 4096).max() + 1
+    pieces = spark.createDataFrame([(i, 0, 0, int(n), 0) for i, n in enumerate(sizes)],
+                                   "doc_id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG")
+    found = packing.pack(pieces, 4096).collect()
+    fill = {}
+    for r in found:
+        fill.setdefault(r.sequence_id, []).append(r.length)
+    assert sorted(r.length for r in found) == sorted(sizes.tolist()) and max(map(sum, fill.values())) <= 4096
+    print("sequences:", len(fill), "best-fit decreasing:", plain, "least:", 150)
+    assert 150 <= len(fill) < plain

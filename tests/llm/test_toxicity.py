@@ -1,6 +1,13 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from dimflow.llm import toxicity
+from dimflow.llm.sketch import sketch
 from dimflow.llm.toxicity import Lexicon, fold
 from tests.llm.data import empty, frame
 
@@ -66,3 +73,69 @@ def test_no_term_is_left_out(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "MOST_TERMS", 100)
     with pytest.raises(ValueError, match="none may be left out"):
         toxicity.learn(rows)
+
+
+def naive_hits(weights, exceptions, folded):
+    """Words of the lexicon that stand outside every exception phrase, word by word."""
+    words = folded.split()
+    safe = {k for i in range(len(words) - 1) if f"{words[i]} {words[i + 1]}" in exceptions for k in (i, i + 1)}
+    return [w for k, w in enumerate(words) if w in weights and k not in safe]
+
+
+def test_weights_exceptions_curve_and_scores_by_brute_force(spark):
+    """Counts, weights and scores worked out in plain Python; repeated rows, very long texts and clashing columns included."""
+    rand, rows = random.Random(4), []
+    name = lambda n: "".join(chr(97 + n // 26 ** k % 26) for k in range(3)) + "q"
+    for i in range(240):
+        words = [name(rand.randrange(3000)) for _ in range(rand.randrange(20, 60))]
+        toxic = int(i % 5 == 0)
+        if toxic:
+            words[rand.randrange(len(words))] = rand.choice(["ZORG", "z0rg", "blat", "bl\u0430t"])
+            words[rand.randrange(len(words))] = "grum"
+        elif i % 30 == 1:
+            at = rand.randrange(len(words) - 2)
+            words[at:at + 2] = ["grum", "valley"]
+        rows.append((" ".join(words), toxic))
+    rows += [(" ".join(name(rand.randrange(3000)) for _ in range(60_000)), 0), (None, 0), ("", 1), ("zorg", None)]
+    rows += rows[:40] * 3  # copies count once
+    frame_ = spark.createDataFrame(rows, "text STRING, toxic INT").withColumn("term", F.lit("x")).withColumn("weight", F.lit("y"))
+    lexicon = toxicity.learn(frame_.repartition(3))
+
+    keyed = frame_.filter("toxic IN (0, 1)").select("text", "toxic", sketch("text"), F.xxhash64("text")).collect()
+    taken = {}
+    for text, toxic, key, order in keyed:
+        taken[toxic, key] = min(taken.get((toxic, key), (order, text)), (order, text), key=lambda x: x[0])
+    labelled_rows = [(text, toxic) for (toxic, _), (_, text) in taken.items()]
+    n = Counter(toxic for _, toxic in labelled_rows)
+    rate = n[1] / (n[0] + n[1])
+    held = {label: Counter(w for text, toxic in labelled_rows if toxic == label for w in set(fold(text or "").split())) for label in (0, 1)}
+    weights = {}
+    for word, a in held[1].items():
+        c = held[0][word]
+        expected, weight = (a + c) * rate, math.log((a + 0.5) / (n[1] + 1)) - math.log((c + 0.5) / (n[0] + 1))
+        if a >= toxicity.MIN_TOXIC and (a - expected) / math.sqrt(expected + 1) >= toxicity.MIN_DEVIATIONS and weight >= toxicity.MIN_WEIGHT:
+            weights[word] = weight
+    assert lexicon.weights.keys() == weights.keys() and {"zorg", "blat"} <= weights.keys()
+    assert all(abs(lexicon.weights[w] - weights[w]) < 1e-9 for w in weights)
+    pairs = {0: Counter(), 1: Counter()}
+    for text, toxic in labelled_rows:
+        own = fold(text or "").split()
+        pairs[toxic].update({f"{a} {b}" for a, b in zip(own, own[1:]) if a in weights or b in weights})
+    exceptions = {p for p, c in pairs[0].items() if c >= toxicity.MIN_TOXIC and pairs[1][p] <= rate * c}
+    assert set(lexicon.exceptions) == exceptions and "grum valley" in exceptions
+
+    def features(text):
+        folded = fold(text or "")
+        hits = naive_hits(weights, exceptions, folded)
+        return ((sum(weights[w] for w in hits) / math.sqrt(len(folded.split()) + 1), math.log1p(sum(weights[w] for w in set(hits))))
+                if hits else (0.0, 0.0))
+
+    x, y = np.array([features(t) for t, _ in labelled_rows]), np.array([toxic for _, toxic in labelled_rows])
+    # the curve is where the penalised likelihood has no slope
+    a, b, c = lexicon.curve
+    p = 1 / (1 + np.exp(-(a + x @ [b, c])))
+    assert np.abs([(p - y).sum(), x[:, 0] @ (p - y) + 0.1 * b, x[:, 1] @ (p - y) + 0.1 * c]).max() < 1e-4
+    for r in toxicity.scored(frame_, lexicon).select("text", "score", "predicted").collect():
+        dense, wide = features(r.text)
+        want = 1 / (1 + math.exp(-(a + b * dense + c * wide)))
+        assert abs(r.score - want) < 1e-9 and r.predicted == (want >= toxicity.THRESHOLD)
