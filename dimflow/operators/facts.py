@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.functions.replies import DIGEST_HEADING, NO_GRADES, NO_HOMEWORK
 from dimflow.functions.text import render_prompt
 from dimflow.operators.scd import load_date
-from dimflow.operators.skew import HOT_ROWS, LINES_PER_PART, join_lines, join_skewed
+from dimflow.operators.skew import HOT_ROWS, LINES_PER_PART, hot_keys, join_lines, join_skewed, split_hot
+from dimflow.sources.storage import checkpointed
 
 
 def attendance_pct(students: DataFrame, attendance: DataFrame, as_of: str | None = None, days: int = 7) -> DataFrame:
@@ -22,21 +23,31 @@ def attendance_pct(students: DataFrame, attendance: DataFrame, as_of: str | None
             .select("student_id", F.coalesce(F.bround("_pct", 2), F.lit(0.0)).alias("attendance_pct")))
 
 
-def _text_or(students: DataFrame, lines: DataFrame, order: Sequence[str], name: str, default: str, limit: int,
-             lines_per_part: int, unique: bool, dates: Sequence[str] = ()) -> DataFrame:
-    """Texts of the students' lines, and the default for students without any; with ``dates`` for each student and date.
+def _texts(students: DataFrame, lines: DataFrame, keys: list[str], order: Sequence[str], name: str, limit: int,
+           lines_per_part: int, unique: bool) -> DataFrame:
+    """Texts of the students' lines by ``keys`` and ``part``, and their number of ``lines``.
 
     The lines are matched with the students, not the finished texts, which may be long and many for one student.
     """
-    known, keys = students.select("student_id"), ["student_id", "date"] if dates else ["student_id"]
-    own = join_skewed(lines, known, ["student_id"], "left_semi", limit)
-    texts = join_lines(own, keys, order, "line", name, "\n", lines_per_part, limit, unique)
-    wanted = _dated(known, dates) if dates else known
-    without = wanted.join(lines.select(*keys).distinct(), keys, "left_anti")
+    own = join_skewed(lines, students.select("student_id"), ["student_id"], "left_semi", limit)
+    return join_lines(own, keys, order, "line", name, "\n", lines_per_part, limit, unique)
+
+
+def _or_default(texts: DataFrame, wanted: DataFrame, told: DataFrame, keys: list[str], name: str, default: str) -> DataFrame:
+    """The texts, and the default for those ``wanted`` that are not ``told`` anything."""
+    without = wanted.join(told, keys, "left_anti")
     return texts.select(*keys, "part", name).unionByName(
         without.select(*keys, F.lit(1).cast("long").alias("part"), F.lit(default).alias(name)))
 
 
+def _text_or(students: DataFrame, lines: DataFrame, order: Sequence[str], name: str, default: str, limit: int,
+             lines_per_part: int, unique: bool) -> DataFrame:
+    """Texts of the students' lines, and the default for students without any."""
+    keys = ["student_id"]
+    texts = _texts(students, lines, keys, order, name, limit, lines_per_part, unique)
+    return _or_default(texts, students.select(*keys), lines.select(*keys).distinct(), keys, name, default)
+
+
 def _dated(rows: DataFrame, dates: Sequence[str]) -> DataFrame:
     """Every row once for each date."""
     return rows.withColumn("date", F.explode(F.array(*[F.lit(d).cast("date") for d in dates])))
@@ -56,10 +67,13 @@ def homework_text(students: DataFrame, homework: DataFrame, as_of: str | None =
 def grades_text(students: DataFrame, grades: DataFrame, order: Sequence[str] = ("line",), unique: bool = False,
                 limit: int = HOT_ROWS, lines_per_part: int = LINES_PER_PART) -> DataFrame:
     """``student_id, part, grades``: a line per grade, or the sentence for none. A NULL field reads ``None``."""
+    return _text_or(students, _grade_lines(grades, order), order, "grades", NO_GRADES, limit, lines_per_part, unique)
+
+
+def _grade_lines(grades: DataFrame, order: Sequence[str]) -> DataFrame:
     line = render_prompt("- {subject}: {score}/{max_score}", subject=F.col("subject"), score=F.col("score"),
                          max_score=F.col("max_score")).alias("line")
-    lines = grades.select("student_id", *[c for c in order if c != "line"], line)
-    return _text_or(students, lines, order, "grades", NO_GRADES, limit, lines_per_part, unique)
+    return grades.select("student_id", *[c for c in order if c != "line"], line)
 
 
 def weekly_digest(students: DataFrame, attendance: DataFrame, homework: DataFrame, grades: DataFrame,
@@ -114,21 +128,33 @@ def merged_days(days: DataFrame, more: DataFrame) -> DataFrame:
 
 
 def attendance_pct_daily(students: DataFrame, by_day: DataFrame, dates: Sequence[str], days: int = 7) -> DataFrame:
-    """``student_id, date, attendance_pct`` for all dates, as :func:`attendance_pct` gives it for each.
+    """``student_id, date, attendance_pct`` for all dates, as :func:`attendance_pct` gives it for each."""
+    return _attended(students, by_day, dates, days).select("student_id", F.inline("_days"))
+
+
+def _attended(students: DataFrame, by_day: DataFrame, dates: Sequence[str], days: int) -> DataFrame:
+    """``student_id, _days``: a row per student with the attendance on each date, as structs ``date, attendance_pct``.
 
-    A window is what running sums over a student's days hold at its border, so all dates cost one pass over the days. A
-    student's days are few, as they were summed up before; days of other people than the students are left out.
+    A window has no end, so a day counts for the dates up to some date: days are summed up by it first, after which a
+    student has no more sums than there are dates; days of other people than the students are left out.
     """
-    points = _dated(students.select("student_id"), dates)
-    zero = F.lit(0).cast("long")
-    marks = points.select("student_id", F.date_sub("date", days).alias("day"), zero.alias("present"), zero.alias("total"), "date")
-    sums = by_day.select("student_id", F.col("attendance_date").alias("day"), "present", "total", F.lit(None).cast("date").alias("date"))
-    # from the last day backwards; a border comes after the rows of its own day
-    running = Window.partitionBy("student_id").orderBy(F.desc("day"), F.col("date").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    window = sums.unionByName(marks).select("student_id", "date", F.sum("present").over(running).alias("_p"),
-                                            F.sum("total").over(running).alias("_t")).filter(F.col("date").isNotNull())
-    pct = F.bround(F.try_divide(F.col("_p") * F.lit(100.0), F.col("_t")), 2)
-    return window.select("student_id", "date", F.coalesce(pct, F.lit(0.0)).alias("attendance_pct"))
+    asked = F.array_sort(F.array_distinct(F.array(*[F.lit(d).cast("date") for d in dates])))
+    last = F.size(F.filter(asked, lambda d: F.date_sub(d, days) <= F.col("attendance_date")))
+    sums = (by_day.select("student_id", last.alias("last"), "present", "total").filter("last > 0")
+            .groupBy("student_id", "last").agg(F.sum("present").alias("present"), F.sum("total").alias("total")))
+    rows = sums.select("student_id", F.struct("last", "present", "total").alias("_sum"), F.lit(False).alias("_known")).unionByName(
+        students.select("student_id", F.lit(None).cast("struct<last:int,present:bigint,total:bigint>").alias("_sum"),
+                        F.lit(True).alias("_known")))
+    own = rows.groupBy("student_id").agg(F.collect_list("_sum").alias("_sums"), F.max("_known").alias("_known")).filter("_known")
+
+    def total(name: str, nr: Column) -> Column:
+        return F.aggregate(F.filter("_sums", lambda x: x["last"] > nr), F.lit(0).cast("long"), lambda a, x: a + x[name])
+
+    def day(d: Column, nr: Column) -> Column:
+        pct = F.bround(F.try_divide(total("present", nr) * F.lit(100.0), total("total", nr)), 2)
+        return F.struct(d.alias("date"), F.coalesce(pct, F.lit(0.0)).alias("attendance_pct"))
+
+    return own.select("student_id", F.transform(asked, day).alias("_days"))
 
 
 def weekly_digest_daily(students: DataFrame, by_day: DataFrame, homework: DataFrame, grades: DataFrame, dates: Sequence[str],
@@ -137,11 +163,42 @@ def weekly_digest_daily(students: DataFrame, by_day: DataFrame, homework: DataFr
     """:func:`weekly_digest` of many dates at once: its columns and ``date``.
 
     Attendance comes as sums by day (:func:`attendance_by_day`), which a table can keep and each delivery add to; homework is
-    read once for all dates, and the grades' text, the same on every date, is made once.
+    read once for all dates, and the grades' text, the same on every date, is made once. What there is about a student meets
+    in one row, from which the dates are spread; so nothing is shuffled once for each date. Only students with more than
+    ``lines_per_part`` lines, of grades or of all homework, which should not meet in a row, get a row for each date and part first.
     """
     line = render_prompt("- {subject}: {status}", subject=F.col("subject"), status=F.col("status")).alias("line")
     lines = homework.withColumnRenamed("homework_date", "date").filter(F.col("date").isin([F.lit(d).cast("date") for d in dates]))
     lines = lines.select("student_id", "date", *[c for c in homework_order if c != "line"], line)
-    works = _text_or(students, lines, homework_order, "homework", NO_HOMEWORK, limit, lines_per_part, unique, dates)
-    marks = _dated(grades_text(students, grades, grades_order, False, limit, lines_per_part), dates)
-    return _digests(works, marks, attendance_pct_daily(students, by_day, dates, days), ["student_id", "date"])
+    keys = ["student_id", "date"]
+    works = checkpointed(_texts(students, lines, keys, homework_order, "homework", limit, lines_per_part, unique))
+    marks = checkpointed(_texts(students, _grade_lines(grades, grades_order), ["student_id"], grades_order, "grades", limit,
+                                lines_per_part, False))
+    present = _attended(students, by_day, dates, days)
+    told = works.select("student_id", "lines").unionByName(marks.filter("part > 1").select(
+        "student_id", F.lit(lines_per_part + 1).alias("lines")))
+    long = hot_keys(told, ["student_id"], lines_per_part, F.sum("lines"))
+    if long is None:
+        return _spread(works, marks, present)
+    (works, long_works), (marks, long_marks), (present, long_present) = (
+        split_hot(df, ["student_id"], long) for df in (works, marks, present))
+    own = long.select("student_id")
+    long_works = _or_default(long_works, _dated(own, dates), long_works.select(*keys), keys, "homework", NO_HOMEWORK)
+    long_marks = _or_default(long_marks, own, long_marks.select("student_id"), ["student_id"], "grades", NO_GRADES)
+    return _spread(works, marks, present).unionByName(
+        _digests(long_works, _dated(long_marks, dates), long_present.select("student_id", F.inline("_days")), keys))
+
+
+def _spread(works: DataFrame, marks: DataFrame, present: DataFrame) -> DataFrame:
+    """Digests of one part for each date, from texts of one part and the rows of :func:`_attended`."""
+    rows = present.select("student_id", "_days")
+    rows = rows.unionByName(marks.select("student_id", "grades"), allowMissingColumns=True)
+    rows = rows.unionByName(works.select("student_id", F.struct("date", "homework").alias("_work")), allowMissingColumns=True)
+    whole = rows.groupBy("student_id").agg(F.first("_days", ignorenulls=True).alias("_days"),
+                                           F.first("grades", ignorenulls=True).alias("grades"),
+                                           F.map_from_entries(F.collect_list("_work")).alias("_works"))
+    daily = whole.select("student_id", F.inline("_days"), "_works", F.coalesce("grades", F.lit(NO_GRADES)).alias("grades"))
+    daily = daily.withColumn("homework", F.coalesce(F.try_element_at("_works", F.col("date")), F.lit(NO_HOMEWORK)))
+    heading = render_prompt(DIGEST_HEADING, attendance=F.col("attendance_pct"))
+    return daily.select("student_id", "date", F.lit(1).cast("long").alias("part"), "attendance_pct", "homework", "grades",
+                        F.concat_ws("\n", heading, "homework", "grades").alias("body"))

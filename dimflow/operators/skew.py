@@ -27,9 +27,9 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame | None:
-    """The keys with more than ``limit`` rows and their ``_rows``, stored, or None."""
-    return heaviest(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), limit)
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS, weight: Column | None = None) -> DataFrame | None:
+    """The keys with more than ``limit`` rows and their ``_rows``, stored, or None. ``weight`` sums up what counts instead."""
+    return heaviest(df.groupBy(*keys).agg((F.count(F.lit(1)) if weight is None else weight).alias("_rows")), limit)
 
 
 def heaviest(counts: DataFrame, limit: int = HOT_ROWS) -> DataFrame | None:

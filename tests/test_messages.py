@@ -189,3 +189,13 @@ def test_daily_digests_are_the_digests_of_each_date(spark):
         for d in some:
             plain = facts.weekly_digest(students, attendance, homework, grades, d, 3, lines_per_part=per_part)
             assert rows(found.filter(found.date == d).drop("date").select(*plain.columns)) == rows(plain)
+
+
+def test_daily_digests_shuffle_nothing_once_for_each_date(spark):
+    students, attendance, homework, grades = school(spark)
+    found = facts.weekly_digest_daily(students, facts.attendance_by_day(attendance), homework, grades, ["2024-03-08", "2024-03-07"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Generate ") < plan.index("Exchange ")
+    assert found.count() == 6
+    told = {(r.student_id, str(r.date)): r for r in found.collect()}
+    assert told["s+11", "2024-03-07"].body == "Attendance: 60.0%\n- Music: Done\n- Maths: 38/50"
