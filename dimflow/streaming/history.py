@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
-from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessorHandle
 
-from dimflow.streaming.ordered import AT, OrderedProcessor, in_order, packed, timed, unpacked
+from dimflow.streaming.ordered import AT, GROUPS, KEY, OrderedProcessor, by_key, in_order, timed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -27,32 +26,34 @@ class HistoryProcessor(OrderedProcessor):
         super().__init__(order, bucket_ms)
         self.shown, self.start = list(shown), start
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self._open = handle.getValueState("open", "row BINARY")
-
-    def take(self, key: Any, rows: pd.DataFrame) -> pd.DataFrame:
-        kept = self._open.get() if self._open.exists() else None
+    def take(self, kept: pd.DataFrame | None, rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        rows, others = rows[[KEY, *self.shown, "_state"]].assign(_new=True), []
         if kept is not None:
-            rows = pd.concat([unpacked(bytes(kept[0])), rows], ignore_index=True)
-        starts = rows[rows["_state"] != rows["_state"].shift()]
-        # the first row is the version that was open before
-        closed = starts.assign(_end=starts[self.start].shift(-1))[:-1]
-        opened = starts.assign(_end=None)[0 if kept is None else 1:]
-        self._open.update((packed(starts[-1:]),))
-        return pd.concat([closed, opened])[[*self.shown, "_end"]].assign(late=False)
+            met = kept[KEY].isin(rows[KEY])
+            others = [kept[~met]]
+            # before a key's rows comes the version that was open
+            rows = pd.concat([kept[met].assign(_new=False), rows], ignore_index=True)
+        rows, first = by_key(rows)
+        starting = first | (rows["_state"] != rows["_state"].shift()).to_numpy()
+        starts, first = rows[starting], first[starting]
+        last = np.append(first[1:], True)
+        closed = starts.assign(_end=starts[self.start].shift(-1))[~last]
+        opened = starts[starts["_new"].astype(bool)].assign(_end=None)
+        kept = pd.concat([*others, starts[last].drop(columns="_new")], ignore_index=True)
+        return pd.concat([closed, opened])[[*self.shown, "_end"]].assign(late=False), kept
 
     def late(self, rows: pd.DataFrame) -> pd.DataFrame:
         return rows[self.shown].assign(_end=None, late=True)
 
 
 def history_stream(log: DataFrame, keys: Sequence[str], tracked: Sequence[str], order: Sequence[str], delay: str,
-                   clock: Column | None = None, bucket_ms: int = 3_600_000) -> DataFrame:
+                   clock: Column | None = None, bucket_ms: int = 3_600_000, groups: int = GROUPS) -> DataFrame:
     """``keys, tracked, order, end_at, late`` from a stream of changes: every version when it opens and when it closes.
 
     ``order`` is as in ``scd2_from_log``: a timestamp first, all together unique within a key and never NULL. Changes may come
     in any order within ``delay`` of the newest one; what comes later still is given out as it is, marked ``late``, for a
     splice. Versions are compared by all tracked columns, NULL being a value of its own. Columns are plain values, no structs.
+    The keys share state by ``groups``.
     """
     columns = list(dict.fromkeys([*keys, *tracked, *order]))
     shown, ranks = [f"_c{i}" for i in range(len(columns))], [f"_o{i}" for i in range(len(order))]
@@ -61,9 +62,9 @@ def history_stream(log: DataFrame, keys: Sequence[str], tracked: Sequence[str],
     rows = timed(log, F.col(order[0]), delay, clock).select(
         *keys, *[text(c).alias(n) for c, n in zip(columns, shown)], *[F.col(c).alias(n) for c, n in zip(order, ranks) if c not in keys],
         state.alias("_state"), AT)
-    ranks = [n if c not in keys else c for c, n in zip(order, ranks)]
+    ranks = [n for c, n in zip(order, ranks) if c not in keys]
     output = ", ".join([*[f"{n} STRING" for n in shown], "_end STRING", "late BOOLEAN"])
-    told = in_order(rows, keys, HistoryProcessor(shown, shown[columns.index(order[0])], ranks, bucket_ms), output)
+    told = in_order(rows, keys, HistoryProcessor(shown, shown[columns.index(order[0])], ranks, bucket_ms), output, groups)
 
     def value(c: str, name: str) -> Column:
         kind = log.schema[c].dataType

@@ -1,7 +1,8 @@
 """Rows of a stream in the order of their event time, whatever micro-batch brings them.
 
-The rows of a key wait in its state until the watermark has passed them; a timer then hands them on in order. A row that the
-watermark had passed before it came can no longer be put in order: it is given out as late, never dropped.
+Rows wait in state until the watermark has passed them; a timer then hands them on in order. A row that the watermark had
+passed before it came can no longer be put in order: it is given out as late, never dropped. Keys are dealt into a fixed number
+of groups, which share their state and timers: what a call to a state handler costs is paid by group, not by key.
 """
 
 from __future__ import annotations
@@ -9,8 +10,10 @@ from __future__ import annotations
 import io
 import sys
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -23,6 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 AT = "_at"  # event time in milliseconds, the unit of watermarks
 BUCKET_MS = 60_000
+GROUP, KEY = "_group", "_key"  # the group of a row's key, and the key as text that is never missing
+GROUPS = 1024
 
 
 def timed(rows: DataFrame, event_time: Column, delay: str, clock: Column | None = None) -> DataFrame:
@@ -49,10 +54,42 @@ def unpacked(blob: bytes) -> pd.DataFrame:
     return pa.ipc.open_stream(blob).read_all().to_pandas(integer_object_nulls=True)
 
 
-class OrderedProcessor(StatefulProcessor):
+def by_key(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    """The rows with those of a key together, otherwise in the order they are in, and whether a row is the first of its key."""
+    codes = pd.factorize(rows[KEY])[0]
+    places = np.argsort(codes, kind="stable")
+    codes = codes[places]
+    return rows.iloc[places].reset_index(drop=True), np.append(True, codes[1:] != codes[:-1])[:len(codes)]
+
+
+def dealt(rows: DataFrame, keys: Sequence[str], groups: int = GROUPS) -> DataFrame:
+    """``rows`` with their key as text and its group. The number of groups must stay the same over a checkpoint's life."""
+    plain = [F.hex(c) if rows.schema[c].dataType.typeName() == "binary" else F.col(c).cast("string") for c in keys]
+    return (rows.withColumn(KEY, F.to_json(F.array(*plain), {"ignoreNullFields": "false"}))
+            .withColumn(GROUP, F.pmod(F.xxhash64(KEY), F.lit(groups)).cast("int")))
+
+
+class GroupProcessor(StatefulProcessor):
+    """Keeps one small row per key, ``kept`` being those of all keys of a group: a frame, packed into one value."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._rows = handle.getValueState("kept", "rows BINARY")
+
+    def _kept(self) -> pd.DataFrame | None:
+        return unpacked(bytes(self._rows.get()[0])) if self._rows.exists() else None
+
+    def _store(self, kept: pd.DataFrame) -> None:
+        self._rows.update((packed(kept),))
+
+    def close(self) -> None:
+        pass
+
+
+class OrderedProcessor(GroupProcessor):
     """Keeps rows by buckets of event time and hands them to :meth:`take` in the order of ``order``.
 
-    A key's rows are held in memory one bucket at a time. What one micro-batch brings is stored as it comes, in Arrow
+    A group's rows are held in memory one bucket at a time. What one micro-batch brings is stored as it comes, in Arrow
     batches; so neither a key with very many rows nor a long delay needs a large task. Rows without an event time come first.
     """
 
@@ -60,12 +97,12 @@ class OrderedProcessor(StatefulProcessor):
         self.order, self.bucket_ms, self.input = list(order), bucket_ms, []
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
+        super().init(handle)
         self._chunks = handle.getMapState("chunks", "bucket BIGINT, nr BIGINT", "rows BINARY")
         self._next = handle.getValueState("next", "nr BIGINT")
 
-    def take(self, key: Any, rows: pd.DataFrame) -> pd.DataFrame:
-        """The output for the next rows of a key, which are in order."""
+    def take(self, kept: pd.DataFrame | None, rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """The output for the next rows of a group's keys, which are in order, and what is kept after them."""
         raise NotImplementedError
 
     def late(self, rows: pd.DataFrame) -> pd.DataFrame:
@@ -84,7 +121,7 @@ class OrderedProcessor(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
         for frame in rows:
-            if frame.empty:  # given for a key of which only a timer has expired
+            if frame.empty:  # given for a group of which only a timer has expired
                 continue
             frame.columns = self.input  # names with a leading underscore do not come through
             frame[AT] = frame[AT].fillna(0).astype("int64")
@@ -97,25 +134,28 @@ class OrderedProcessor(StatefulProcessor):
         passed = timerValues.getCurrentWatermarkInMs()
         keys = sorted(self._chunks.keys())
         ready = [k for k in keys if k[0] * self.bucket_ms <= passed]
-        for bucket in dict.fromkeys(k[0] for k in ready):
-            own = [k for k in ready if k[0] == bucket]
+        kept, taken = self._kept() if ready else None, False
+        for bucket, own in groupby(ready, lambda k: k[0]):
+            own = list(own)
             rows = pd.concat([unpacked(bytes(self._chunks.getValue(k)[0])) for k in own], ignore_index=True)
             for k in own:
                 self._chunks.removeKey(k)
             due = rows[AT] <= passed
             if due.any():
-                yield self.take(key, rows[due].sort_values([AT, *self.order], ignore_index=True, na_position="first"))
+                told, kept = self.take(kept, rows[due].sort_values([AT, *self.order], ignore_index=True, na_position="first"))
+                taken = True
+                yield told
             if not due.all():
                 self._keep([(bucket, rows[~due])])
+        if taken:
+            self._store(kept)
         if len(ready) < len(keys):
             self._handle.registerTimer(keys[len(ready)][0] * self.bucket_ms)
 
-    def close(self) -> None:
-        pass
-
 
-def in_order(rows: DataFrame, keys: Sequence[str], processor: OrderedProcessor, output: str) -> DataFrame:
+def in_order(rows: DataFrame, keys: Sequence[str], processor: OrderedProcessor, output: str, groups: int = GROUPS) -> DataFrame:
     """The output of ``processor`` for the rows of :func:`timed`."""
+    rows = dealt(rows, keys, groups)
     processor.input = rows.columns
-    return rows.groupBy(*keys).transformWithStateInPandas(statefulProcessor=processor, outputStructType=output, outputMode="Append",
+    return rows.groupBy(GROUP).transformWithStateInPandas(statefulProcessor=processor, outputStructType=output, outputMode="Append",
                                                           timeMode="EventTime")

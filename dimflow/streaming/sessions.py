@@ -11,11 +11,11 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from dimflow.operators.messages import PLAN, PLAN_WORD, choice, families, readable, with_children
 from dimflow.sources.storage import checkpointed
-from dimflow.streaming.ordered import AT, BUCKET_MS, OrderedProcessor, in_order, timed
+from dimflow.streaming.ordered import (AT, BUCKET_MS, GROUP, GROUPS, KEY, GroupProcessor, OrderedProcessor, by_key, dealt,
+                                       in_order, timed)
 
 # the state handler travels to the workers by value, so they need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -25,16 +25,20 @@ _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _earlier(values: pd.Series, at_start: Any) -> pd.Series:
-    """The last value before each row that is not missing, beginning with what was there before the first row."""
-    return values.shift(1, fill_value=at_start).ffill()
+def _earlier(values: pd.Series, first: np.ndarray, at_start: pd.Series) -> pd.Series:
+    """The last value before each row of its sender that is not missing, beginning with what was there before the first row."""
+    return values.shift(1).where(~first, at_start).groupby(np.cumsum(first)).ffill()
 
 
-def _turns(talk: pd.DataFrame, child: int | None, mark: str | None) -> tuple[pd.DataFrame, tuple[int | None, str | None]]:
-    """The turns of a sender's next messages, which are in order, and (chosen child, last mark) after them."""
+def _turns(kept: pd.DataFrame | None, talk: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """The turns of some senders' next messages, which are in order, and (chosen child, last mark) of all senders after them."""
+    talk, first = by_key(talk)
+    known = pd.DataFrame({KEY: [], "child": [], "mark": []}, dtype=object) if kept is None else kept
+    before = known.set_index(KEY).reindex(talk[KEY]).reset_index(drop=True)
+    child, mark = before["child"].astype("Int64"), before["mark"].astype(object).where(before["mark"].notna(), None)
     picks = talk["pick"].astype("Int64")
     valid = picks.where(picks > 0)
-    selected = _earlier(valid, pd.NA if child is None else child)
+    selected = _earlier(valid, first, child)
     several = talk["children"] > 1
     turn = pd.Series(np.select(
         [talk["children"] == 0, valid.notna(), picks.eq(0).fillna(False), several & selected.isna()],
@@ -42,49 +46,43 @@ def _turns(talk: pd.DataFrame, child: int | None, mark: str | None) -> tuple[pd.
     asks = turn == "ask"
     marks = pd.Series(np.select([turn == "select", asks & (talk["intent"] == "summary")],
                                 ["selection", "summary"], None), dtype=object)
-    after = _earlier(marks, mark).eq("summary")
+    earlier = _earlier(marks, first, mark)
+    after = earlier.eq("summary")
     plan = asks & after & talk["text"].str.contains(PLAN_WORD, regex=False).fillna(False).astype(bool)
     children = valid.where(turn == "select", selected.fillna(1).where(asks))
-    newest = [x for x in (child, *valid.dropna().tail(1)) if x is not None]
-    last = [x for x in (mark, *marks.dropna().tail(1)) if x is not None]
     turns = pd.DataFrame({"from_number": talk["from_number"], "seq": talk["seq"], "turn": turn, "child": children,
                           "after_summary": after,
                           "intent": talk["intent"].where(~plan, PLAN).where(asks, None)})
-    return turns, (int(newest[-1]) if newest else None, last[-1] if last else None)
+    newest = pd.DataFrame({KEY: talk[KEY], "child": valid.fillna(selected), "mark": marks.where(marks.notna(), earlier)})
+    newest = newest[np.append(first[1:], True)]
+    others = [] if kept is None else [kept[~kept[KEY].isin(newest[KEY])]]
+    return turns, pd.concat([*others, newest], ignore_index=True)
 
 
-class SessionProcessor(StatefulProcessor):
-    """Keeps (chosen child, last mark) per sender; the rows of one sender in a micro-batch are taken in seq order.
+class SessionProcessor(GroupProcessor):
+    """Keeps (chosen child, last mark) per sender; the rows of a sender in a micro-batch are taken in seq order.
 
-    One task holds what a sender brings in one micro-batch, so the source must bound micro-batches, as
+    One task holds what a group's senders bring in one micro-batch, so the source must bound micro-batches, as
     :func:`message_stream` does. Large backlogs belong to the batch operator, which cuts hot senders.
     """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._session = handle.getValueState("session", "child BIGINT, mark STRING")
+    def __init__(self, input: list[str]):
+        self.input = input
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        state = self._session.get() if self._session.exists() else (None, None)
-        turns, state = _turns(pd.concat(list(rows)).sort_values("seq", ignore_index=True), *state)
-        self._session.update(state)
+        talk = pd.concat(list(rows))
+        talk.columns = self.input  # names with a leading underscore do not come through
+        turns, kept = _turns(self._kept(), talk.sort_values("seq", ignore_index=True))
+        self._store(kept)
         yield turns
 
-    def close(self) -> None:
-        pass
-
 
 class OrderedSessionProcessor(OrderedProcessor):
     """As :class:`SessionProcessor`, with the messages of all micro-batches in order."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self._session = handle.getValueState("session", "child BIGINT, mark STRING")
-
-    def take(self, key: Any, rows: pd.DataFrame) -> pd.DataFrame:
-        state = self._session.get() if self._session.exists() else (None, None)
-        turns, state = _turns(rows, *state)
-        self._session.update(state)
-        return turns.assign(late=False)
+    def take(self, kept: pd.DataFrame | None, rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        turns, kept = _turns(kept, rows)
+        return turns.assign(late=False), kept
 
     def late(self, rows: pd.DataFrame) -> pd.DataFrame:
         unknown = {"turn": None, "child": None, "after_summary": None, "intent": rows["intent"], "late": True}
@@ -96,15 +94,15 @@ def message_stream(spark: SparkSession, path: str, schema: Any, max_bytes: int =
     return spark.readStream.schema(schema).options(maxBytesPerTrigger=max_bytes, **options).parquet(path)
 
 
-def session_state_stream(messages: DataFrame, contacts: DataFrame) -> DataFrame:
+def session_state_stream(messages: DataFrame, contacts: DataFrame, groups: int = GROUPS) -> DataFrame:
     """The streaming form of ``operators.messages.session_state``; contacts are a static table, counted once.
 
     Messages are taken in the order of ``seq`` within a micro-batch and of arrival across micro-batches: one that comes
-    after a later one of its sender in another micro-batch meets the state that one left.
+    after a later one of its sender in another micro-batch meets the state that one left. The senders share state by ``groups``.
     """
-    rows = _prepared(readable(messages), contacts)
-    return rows.groupBy("from_number").transformWithStateInPandas(
-        statefulProcessor=SessionProcessor(), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
+    rows = dealt(_prepared(readable(messages), contacts), ["from_number"], groups)
+    return rows.groupBy(GROUP).transformWithStateInPandas(
+        statefulProcessor=SessionProcessor(rows.columns), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
 
 
 def _prepared(rows: DataFrame, contacts: DataFrame, *more: str) -> DataFrame:
@@ -113,7 +111,7 @@ def _prepared(rows: DataFrame, contacts: DataFrame, *more: str) -> DataFrame:
 
 
 def session_state_ordered(messages: DataFrame, contacts: DataFrame, event_time: Column, delay: str, clock: Column | None = None,
-                          bucket_ms: int = BUCKET_MS) -> DataFrame:
+                          bucket_ms: int = BUCKET_MS, groups: int = GROUPS) -> DataFrame:
     """:func:`session_state_stream` over messages in any order: the columns of that, and ``late``.
 
     Messages are taken by event time and ``seq`` once the watermark, ``delay`` behind the newest message, has passed them; what
@@ -123,7 +121,7 @@ def session_state_ordered(messages: DataFrame, contacts: DataFrame, event_time:
     """
     rows = timed(messages, event_time, delay, clock)
     rows = _prepared(readable(rows, AT), contacts, AT)
-    return in_order(rows, ["from_number"], OrderedSessionProcessor(["seq"], bucket_ms), f"{OUTPUT}, late BOOLEAN")
+    return in_order(rows, ["from_number"], OrderedSessionProcessor(["seq"], bucket_ms), f"{OUTPUT}, late BOOLEAN", groups)
 
 
 @contextmanager

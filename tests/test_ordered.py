@@ -119,3 +119,35 @@ def test_rows_survive_packing():
     frame = pd.DataFrame({"a": ["x", None], "n": pd.Series([2**60, None], dtype=object), "t": pd.to_datetime(["2024-01-01", None])})
     back = unpacked(packed(frame))
     assert back["n"].tolist() == [2**60, None] and back["a"].tolist() == ["x", None] and back["t"].isna().tolist() == [False, True]
+
+
+def test_turns_of_many_senders_at_once_are_those_of_one_after_the_other():
+    import pandas as pd
+
+    from tests.test_messages import CHILDREN, INTENTS, fold
+    from tests.test_messages import talk as told
+
+    def prepared(sender, seq, body, reply):
+        text, children, intent = body.strip().lower(), CHILDREN[sender.removeprefix("whatsapp:")], reply.split('"')[3]
+        pick = None if not text.isdigit() or children < 2 else int(text) if 1 <= int(text) <= children else 0
+        return sender, seq, text, children, intent if intent != INTENTS[-1] else "unknown", pick, sender
+
+    data, kept, found = told(5, 300), None, []
+    for half in (data[:170], data[170:]):
+        talk = pd.DataFrame([prepared(*m) for m in half], columns=["from_number", "seq", "text", "children", "intent", "pick", "_key"])
+        turns, kept = sessions._turns(kept, talk)
+        found += [(a, b, c, None if pd.isna(d) else int(d), e, None if pd.isna(f) else f) for a, b, c, d, e, f in turns.itertuples(index=False)]
+        kept = unpacked(packed(kept))
+    assert sorted(map(str, found)) == fold(data) and len(kept) == len(CHILDREN)
+
+
+def test_versions_of_many_keys_at_once():
+    import pandas as pd
+
+    taker = history.HistoryProcessor(["_c0", "_c1"], "_c1", [], 60_000)
+    frame = lambda *r: pd.DataFrame(r, columns=["_key", "_c0", "_c1", "_state"])
+    _, kept = taker.take(None, frame(("a", "x", "1", "x"), ("b", None, "1", "n"), ("a", "x", "2", "x"), ("c", "z", "3", "z")))
+    told, kept = taker.take(unpacked(packed(kept)), frame(("b", None, "5", "n"), ("a", "y", "5", "y"), ("d", "x", "6", "x"), ("a", "x", "7", "x")))
+    assert sorted(map(str, told[["_c0", "_c1", "_end"]].itertuples(index=False, name=None))) == [
+        "('x', '1', '5')", "('x', '6', None)", "('x', '7', None)", "('y', '5', '7')", "('y', '5', None)"]
+    assert sorted(kept["_key"]) == ["a", "b", "c", "d"] and sorted(kept["_c1"]) == ["1", "3", "6", "7"]
