@@ -127,9 +127,13 @@ def grades_text(spark, sf_dir):
     return facts.grades_text(*_facts(spark, sf_dir, _GRADES))
 
 
-def _digest(spark, sf_dir):
-    return facts.weekly_digest(*_facts(spark, sf_dir, _ATTENDANCE, _HOMEWORK, _GRADES), DAY, homework_order=("event_id",),
-                               unique=True)
+def _digest(spark, sf_dir, who=None):
+    """The digests of all students, or of those of ``who`` only, to which all tables are brought down first."""
+    tables = _facts(spark, sf_dir, _ATTENDANCE, _HOMEWORK, _GRADES)
+    if who is not None:
+        asked = checkpointed(who.select("student_id").distinct())
+        tables = [checkpointed(join_skewed(t, asked, ["student_id"], "left_semi")) for t in tables]
+    return facts.weekly_digest(*tables, DAY, homework_order=("event_id",), unique=True)
 
 
 @CHECKS.add(_DIGEST)
@@ -225,7 +229,7 @@ LEFT JOIN menus m ON m.whatsapp_number = replace(s.from_number, 'whatsapp:', '')
 def route_reply(spark, sf_dir):
     known = checkpointed(family_contacts(spark, sf_dir))
     states = messages.session_state(incoming(spark, sf_dir), known)
-    return messages.route_reply(states, checkpointed(people.number_children(known)), checkpointed(_digest(spark, sf_dir)),
+    return messages.route_reply(states, checkpointed(people.number_children(known)), checkpointed(_digest(spark, sf_dir, known)),
                                 checkpointed(people.menu_text(known)))
 
 
@@ -239,10 +243,14 @@ _PLAN_TEXT = " || chr(10) || ".join(f"'{line}'" for line in (
 
 def _follow_ups(spark, sf_dir, intent):
     known = checkpointed(family_contacts(spark, sf_dir))
-    states = checkpointed(messages.session_state(incoming(spark, sf_dir), known))
-    sent = messages.follow_ups(states, checkpointed(people.number_children(known)), checkpointed(_digest(spark, sf_dir)),
-                               checkpointed(_read(spark, sf_dir, _MODEL_TEXTS)))
-    return sent.filter(F.col("intent") == intent).drop("intent")
+    turns = messages.session_state(incoming(spark, sf_dir), known)
+    states = checkpointed(turns.filter(F.col("intent") == intent))
+    numbered = checkpointed(people.number_children(known))
+    # of the texts and digests only those that can be sent: a plan needs no digest
+    own = _read(spark, sf_dir, _MODEL_TEXTS).join(states.select("from_number", "seq"), ["from_number", "seq"], "left_semi")
+    senders = states.filter("intent = 'summary'").select(text.strip_address(F.col("from_number")).alias("whatsapp_number")).distinct()
+    who = numbered.join(senders, "whatsapp_number", "left_semi")
+    return messages.follow_ups(states, numbered, checkpointed(_digest(spark, sf_dir, who)), checkpointed(own)).drop("intent")
 
 
 @CHECKS.add(_STATE + f""",
@@ -276,8 +284,8 @@ JOIN {_sql(_LINKS)} l USING (parent_id) JOIN ({_DIGEST}) b USING (student_id),
      unnest(range(0, length(b.body), 1500)) AS k(i)""")
 def digest_messages(spark, sf_dir):
     """Every parent's weekly digests, cut into pieces and addressed."""
-    known = family_contacts(spark, sf_dir).select("student_id", F.col("whatsapp_number").alias("to"))
-    bodies = _digest(spark, sf_dir).select("student_id", "part", "body")
+    known = checkpointed(family_contacts(spark, sf_dir).select("student_id", F.col("whatsapp_number").alias("to")))
+    bodies = _digest(spark, sf_dir, known).select("student_id", "part", "body")
     # a child has few parents, so the links are the side with repeated keys
     linked = join_skewed(known, checkpointed(bodies), ["student_id"])
     return messages.outgoing(linked.select("student_id", "part", "to", "body"), "to", "body")

@@ -199,3 +199,25 @@ def test_daily_digests_shuffle_nothing_once_for_each_date(spark):
     assert found.count() == 6
     told = {(r.student_id, str(r.date)): r for r in found.collect()}
     assert told["s+11", "2024-03-07"].body == "Attendance: 60.0%\n- Music: Done\n- Maths: 38/50"
+
+
+def test_follow_ups_make_digests_only_of_students_asked_about(spark, tmp_path, monkeypatch):
+    from checks import school as check
+
+    told = {"conversations": ([(1, 0, "user", "abc"), (1, 1, "user", "abc"), (2, 0, "user", "ab")],
+                              "conv_id BIGINT, turn BIGINT, role STRING, text STRING"),
+            "labels": ([(9,)], "doc_id BIGINT"),
+            "part": ([(i, f"n{i}", 5, "B") for i in range(1, 9)], "p_partkey BIGINT, p_name STRING, p_size INT, p_brand STRING"),
+            "lineitem": ([(1, 4, "A", 1, 7.0), (1, 5, "A", 1, 8.0)],
+                         "l_suppkey BIGINT, l_partkey BIGINT, l_returnflag STRING, l_linenumber INT, l_quantity DOUBLE")}
+    for name, (own, schema) in told.items():
+        spark.createDataFrame(own, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    spark.sql("SELECT 1L AS event_id, TIMESTAMP_NTZ '2024-01-30 01:00:00' AS ts, 4L AS user_id, 'view' AS event_type, 'p' AS props"
+              ).write.parquet(str(tmp_path / "events.parquet"))
+    made, plain = [], facts.weekly_digest
+    monkeypatch.setattr(facts, "weekly_digest", lambda s, *a, **k: made.append(rows(s.select("student_id"))) or plain(s, *a, **k))
+    found = rows(check.summary_messages(spark, str(tmp_path)))
+    assert found == [("whatsapp:+1001", 0, 1, 1, "abc abc abc "),
+                     ("whatsapp:+1001", 1, 1, 1, "Attendance: 100.0%\n- view: p\n- A: 7/50")]
+    assert rows(check.plan_messages(spark, str(tmp_path))) == []
+    assert made == [[("4",)], []]
