@@ -46,7 +46,7 @@ def src_json_roundtrip(spark, sf_dir):
 @CHECKS.add("SELECT * FROM customer")
 def src_xml_roundtrip(spark, sf_dir):
     customer, path = table(spark, sf_dir, "customer"), work_dir(spark, "xml")
-    customer.write.option("rowTag", "customer").xml(path)
+    tables.write_xml(customer, path, "customer")
     return readers.read_xml(spark, path, "customer", schema=customer.schema)
 
 

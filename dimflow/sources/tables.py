@@ -68,3 +68,9 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """Write a header CSV to a folder, replacing it. A single file means a single writer: only for small extracts."""
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
     return path
+
+
+def write_xml(df: DataFrame, path: str, row_tag: str, rows_per_file: int = 100_000) -> str:
+    """Write XML to a folder. Spark reads an XML file whole in one task, so no file has more than ``rows_per_file`` rows."""
+    df.write.option("rowTag", row_tag).option("maxRecordsPerFile", rows_per_file).xml(path)
+    return path

@@ -115,3 +115,10 @@ def test_policies(spark):
 
 def test_shared_folder(spark):
     assert work_dir(spark, "x").startswith(shared_root(spark)) and work_dir(spark, "x") != work_dir(spark, "x")
+
+
+def test_xml_files_are_bounded(spark, tmp_path):
+    df = spark.range(10).selectExpr("CAST(id AS INT) AS id", "concat('n', id) AS name").coalesce(1)
+    path = tables.write_xml(df, str(tmp_path / "xml"), "row", rows_per_file=4)
+    found = readers.read_source(spark, SourceSpec("xml", path, schema="id INT, name STRING"))
+    assert len(found.inputFiles()) == 3 and rows(found) == [(i, f"n{i}") for i in range(10)]
