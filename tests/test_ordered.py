@@ -151,3 +151,11 @@ def test_versions_of_many_keys_at_once():
     assert sorted(map(str, told[["_c0", "_c1", "_end"]].itertuples(index=False, name=None))) == [
         "('x', '1', '5')", "('x', '6', None)", "('x', '7', None)", "('y', '5', '7')", "('y', '5', None)"]
     assert sorted(kept["_key"]) == ["a", "b", "c", "d"] and sorted(kept["_c1"]) == ["1", "3", "6", "7"]
+
+
+def test_a_missing_key_is_a_key_of_its_own(spark):
+    from dimflow.streaming.ordered import dealt
+
+    known = spark.createDataFrame([(None, None), (0, None), (0, ""), (None, "null"), (None, None)], "a BIGINT, b STRING")
+    found = dealt(known, ["a", "b"], 3).collect()
+    assert len({r["_key"] for r in found}) == 4 and all(r["_key"] is not None and 0 <= r["_group"] < 3 for r in found)
