@@ -11,6 +11,14 @@ from dimflow.llm.queries import domain_mix, labelled, tokenizer
 
 
 NEAR_PERCENT = 80  # of the shingles of two near duplicates
+BATCH_ROWS = 500  # of whole texts that go to a worker at once: about a chunk. Spark's 10,000 are meant for short rows
+
+
+def _short_batches(spark: SparkSession) -> None:
+    """From here on, as stages run when their results are written. A smaller number that the session has stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -20,6 +28,7 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents scored toxic, by a lexicon learned from the labelled ones."""
+    _short_batches(spark)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     lexicon = toxicity.learn(labelled(docs.select("doc_id", "text"), labels))
     return toxicity.scored(docs, lexicon).filter("predicted = 0").select(*docs.columns)
@@ -34,16 +43,19 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates."""
+    _short_batches(spark)
     return minhash.without_near_duplicates(docs, NEAR_PERCENT)
 
 
 def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or leaves out documents so that poor and good tokens come to their shares; the good ones' total stays as it is."""
+    _short_batches(spark)
     return mixing.mixed(docs, domain_mix(spark, docs, sf_dir))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the documents' token pieces into sequences."""
+    _short_batches(spark)
     return packing.pack(packing.token_pieces(docs, tokenizer()))
 
 

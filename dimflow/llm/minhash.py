@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from dimflow.llm.common import attach, stored
 from dimflow.llm.components import components, contracted
-from dimflow.llm.words import Words, chunks, find_words, give_back, kept, mix
+from dimflow.llm.words import chunks, find_words, give_back, kept, mix
 
 PERCENT = 85
 NO_BAND = 1e-6  # bound of the probability that a pair at the threshold shares no band
@@ -190,10 +190,10 @@ def _compare(percent: int):
         block = block.combine_chunks()
         seen, keep, sets = set(), [], []
         nodes = block.column("node").to_pylist()
-        texts = block.column("text").cast(pa.binary()).to_pylist()
-        for at in range(0, len(texts), 64):
-            words: Words = find_words(texts[at:at + 64])
-            for i in range(len(words.first) - 1):
+        # by bytes: texts are of any length, and the arrays made of them are many times as large
+        for at, texts in chunks(block.column("text")):
+            words = find_words(texts)
+            for i in range(len(texts)):
                 node = nodes[at + i]
                 shingles = words.shingles(i) if node not in seen else None
                 # another row with the same doc_id may have another text
@@ -201,7 +201,7 @@ def _compare(percent: int):
                     seen.add(node)
                     keep.append(at + i)
                     sets.append(shingles)
-        rows = block.take(pa.array(keep, pa.int64()))
+        rows = block.select(["signature", "bands", "side"]).take(pa.array(keep, pa.int64()))
         signatures = np.array([np.frombuffer(s, "<u2") for s in rows.column("signature").to_pylist()]).reshape(len(keep), n_bands * n_rows)
         bands = np.array(rows.column("bands").to_pylist(), np.int64).reshape(len(keep), n_bands)
         links = linked(sets, signatures, bands, np.array(rows.column("side").to_pylist(), np.int64), percent)

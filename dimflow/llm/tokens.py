@@ -10,8 +10,9 @@ import numpy as np
 
 from dimflow.llm.words import Words, find_words, kept
 
-CACHED = 300_000
-CHUNK_BYTES = 2 << 20
+CACHED, CACHED_IDS = 300_000, 2_400_000  # words, and ids of theirs
+CACHED_PIECES = 50_000
+CHUNK_BYTES = 1 << 20
 # Bytes of texts in which the tokenizer's white space, case folding and classes are those spelled out below:
 # ASCII without other control characters, and the Latin letters U+00C0 to U+00FF, whose UTF-8 begins with C3.
 ODD = np.ones(256, bool)
@@ -42,8 +43,10 @@ class WordEncoder:
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.alphabet = dict(enumerate(byte_alphabet()))
         self.pieces: dict[str, bytes] = {}
-        self.words: dict[int, bytes] = {}
-        self.old_words: dict[int, bytes] = {}
+        # words met lately, by ascending hash, in arrays: objects of their own would take ten times the memory
+        self.names = np.zeros(0, np.uint64)
+        self.sizes, self.used, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        self.chunk = 0
 
     def _plain(self, texts: list[bytes]) -> list[bool]:
         data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
@@ -56,7 +59,7 @@ class WordEncoder:
         """Ids of a piece in the tokenizer's byte alphabet."""
         found = self.pieces.get(shown)
         if found is None:
-            if len(self.pieces) >= CACHED:
+            if len(self.pieces) >= CACHED_PIECES:
                 self.pieces.clear()
             found = self.pieces[shown] = array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
         return found
@@ -70,20 +73,32 @@ class WordEncoder:
         parts = [text] if text.isalpha() else PIECES.findall(text)
         return b"".join([self._piece(p.encode().decode("latin-1").translate(self.alphabet)) for p in parts])
 
-    def _coded(self, names: list[int], words: Words, at: np.ndarray) -> list[bytes]:
-        """Ids of the words at ``at``, named by their hashes. Words met lately are kept for two generations."""
-        coded = list(map(self.words.get, names))
-        new = [i for i, c in enumerate(coded) if c is None]
-        places = at[new]
-        starts, ends, data, old = words.starts[places].tolist(), words.ends[places].tolist(), words.data, self.old_words
-        if len(self.words) + len(new) > CACHED:
-            self.words, self.old_words = {}, self.words
-        held = self.words
-        for i, s, e in zip(new, starts, ends):
-            name = names[i]
-            found = old.get(name)
-            coded[i] = held[name] = self._word(data[s:e]) if found is None else found
-        return coded
+    def _coded(self, names: np.ndarray, words: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of known words, and where those of the words at ``at`` begin and how many they are. ``names``: their hashes,
+        ascending and distinct. Words stay for later chunks; once there are too many, those met lately, at most half, do."""
+        self.chunk += 1
+        if len(self.names) > CACHED or len(self.ids) > CACHED_IDS:
+            half = len(self.used) // 2
+            keep = self.used > np.partition(self.used, half)[half]
+            self.ids = self.ids[np.repeat(keep, self.sizes)]
+            self.names, self.sizes, self.used = self.names[keep], self.sizes[keep], self.used[keep]
+        place = np.searchsorted(self.names, names)
+        there = np.zeros(len(names), bool)
+        inside = place < len(self.names)
+        there[inside] = self.names[place[inside]] == names[inside]
+        new = np.flatnonzero(~there)
+        if len(new):
+            starts, ends, data = words.starts[at[new]].tolist(), words.ends[at[new]].tolist(), words.data
+            coded = [self._word(data[s:e]) for s, e in zip(starts, ends)]
+            sizes = np.fromiter(map(len, coded), np.int32, len(coded)) // 4
+            before = np.concatenate([[0], np.cumsum(self.sizes)])
+            self.ids = np.insert(self.ids, np.repeat(before[place[new]], sizes), np.frombuffer(b"".join(coded), np.uint32))
+            self.names = np.insert(self.names, place[new], names[new])
+            self.sizes = np.insert(self.sizes, place[new], sizes)
+            self.used = np.insert(self.used, place[new], self.chunk)
+            place = np.searchsorted(self.names, names)
+        self.used[place] = self.chunk
+        return self.ids, (np.cumsum(self.sizes, dtype=np.int64) - self.sizes)[place], self.sizes[place].astype(np.int64)
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids one text after the other, each followed by the id ``end``; the number of ids of each text."""
@@ -95,11 +110,7 @@ class WordEncoder:
         new[1:] = ordered[1:] != ordered[:-1]
         at, which = order[new], np.empty(len(order), np.int64)
         which[order] = np.cumsum(new) - 1
-        names = words.hashes[at].tolist()
-        coded = self._coded(names, words, at)
-        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        flat = np.frombuffer(b"".join(coded), np.uint32)
-        begin = np.cumsum(size) - size
+        flat, begin, size = self._coded(words.hashes[at], words, at)
         sizes = size[which]
         before = np.concatenate([[0], np.cumsum(sizes)])
         ids = flat[np.arange(before[-1]) + np.repeat(begin[which] - before[:-1], sizes)]

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+POWERS = CHUNK_BYTES + (1 << 16)  # kept by a worker; a chunk has a byte more for each text
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SHINGLE_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 SHINGLE_WORDS = 5
@@ -42,14 +43,18 @@ def give_back() -> None:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(2 * CHUNK_BYTES, 1 << (max(n, 1) - 1).bit_length())
+    size = max(POWERS, n)
 
     def table(base: int) -> np.ndarray:
         out = np.full(size, np.uint64(base), np.uint64)
         out[0] = 1
         return np.cumprod(out)
 
-    return kept(f"powers {size}", lambda: (table(int(BASE)), table(pow(int(BASE), -1, 2**64))))
+    def make() -> tuple[np.ndarray, np.ndarray]:
+        return table(int(BASE)), table(pow(int(BASE), -1, 2**64))
+
+    # those of a larger text go with it: making them is quick, and workers live on beside later stages
+    return make() if size > POWERS else kept("powers", make)
 
 
 def _byte_tables() -> tuple[np.ndarray, np.ndarray]:

@@ -1,3 +1,5 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -80,3 +82,21 @@ def test_pipeline_links_from_80_percent(spark):
         rows += [(2 * i, " ".join(own), *[None] * 6), (2 * i + 1, " ".join([*own[:same], *(f"v{i}x{k}" for k in range(54 - same))]), *[None] * 6)]
     left = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame(spark, rows), "").collect()}
     assert left == {r[0] for r in rows if r[0] % 4 != 3}
+
+
+def test_blocks_are_read_by_bytes(monkeypatch):
+    """Of long texts few at once: a block of 40 texts of 120,000 bytes, each the start of a common one and its own end."""
+    common = [f"w{k}" for k in range(18_000)]
+    texts = [" ".join([*common, *(f"v{i}x{k}" for k in range(100))]).encode() for i in range(40)]
+    bands, rows = minhash.banding(80)
+    sets = [minhash.find_words([t]).shingles(0) for t in texts]
+    lows = [minhash.signature(s, bands * rows) for s in sets]
+    nodes = [minhash.set_key(s) for s in sets]
+    block = pa.table({"node": pa.array(nodes, pa.binary()), "signature": pa.array([x.astype("<u2").tobytes() for x in lows], pa.binary()),
+                      "bands": [minhash.band_keys(x, bands).tolist() for x in lows], "side": [0] * 40,
+                      "text": [t.decode() for t in texts]})
+    seen, find = [], minhash.find_words
+    monkeypatch.setattr(minhash, "find_words", lambda part: seen.append(sum(map(len, part))) or find(part))
+    links = minhash._compare(80)(block)
+    assert len(links) == 39 and len(np.unique(links.column("a").to_pylist() + links.column("b").to_pylist())) == 40
+    assert sum(seen) == sum(map(len, texts)) and max(seen) <= 1 << 20

@@ -1,5 +1,7 @@
 import inspect
 
+import pyarrow as pa
+
 import corpus_pipeline
 from dimflow.llm.common import stored, table
 from dimflow.llm.queries import QUERIES
@@ -45,3 +47,24 @@ def test_stages_on_an_empty_table(spark):
 
 def test_one_query_for_each_operator():
     assert sorted(int(q.name[2:].split("_")[0]) for q in QUERIES) == list(range(1, len(QUERIES) + 1))
+
+
+def test_workers_get_few_texts_at_once(spark):
+    """Long texts: a batch of Spark's 10,000 would hold them all. A smaller number of the session's own stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = table(spark, SF, "documents")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    try:
+        for stage, own, most in (("toxic_documents", "10000", 500), ("near_duplicates", "0", 500), ("near_duplicates", "7", 7),
+                                 ("target_weights", "10000", 500), ("best_fit_packing", "10000", 500)):
+            spark.conf.set(name, own)
+            getattr(corpus_pipeline, stage)(spark, docs.filter("false"), SF)
+            found = [r.n for r in spark.range(0, 1200, 1, 1).mapInArrow(sizes, "n long").collect()]
+            assert sum(found) == 1200 and max(found) == most
+    finally:
+        spark.conf.set(name, before)

@@ -1,3 +1,6 @@
+import sys
+import tracemalloc
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -45,3 +48,25 @@ def test_ids_are_the_tokenizers(monkeypatch):
                 assert ids[at:at + n].tolist() == coder.tokenizer.encode(text.decode(), add_special_tokens=False).ids + [9]
                 at += n
     assert at == len(ids)
+
+
+def test_a_worker_keeps_no_tables_of_large_texts():
+    find_words([b"a b"])
+    held = dict(sys._kept_by_workers)
+    assert len(find_words([b"a b " * (1 << 20)]).hashes) == 2 << 20
+    assert sys._kept_by_workers == held
+    assert sum(table.nbytes for table in held["powers"]) < 18 << 20
+
+
+def test_known_words_take_little_memory():
+    coder = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [" ".join(f"w{i + k}x" for k in range(2000)).encode() for i in range(0, 120_000, 2000)]
+    texts += [" ".join(f"{w}{a}{b}{c}" for w in ("q", "z") for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"
+                       for c in (f"{x}{y}" for x in "abcdefghijkl" for y in "abcdefghijkl")).encode()]
+    tracemalloc.start()
+    try:
+        for text in texts:
+            coder.encode([text], 9)
+        assert tracemalloc.get_traced_memory()[0] < 30e6
+    finally:
+        tracemalloc.stop()
